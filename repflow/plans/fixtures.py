@@ -148,3 +148,61 @@ def srx_dictionary(spark: SparkSession, assay: str) -> DataFrame:
     base = {"A": 1000, "B": 2000}[assay]
     rows = [(f"SRX{base + i}", f"P{i // 2}", "tumor" if i % 2 == 0 else "LNM", i) for i in range(16)]
     return spark.createDataFrame(rows, "srx string, patient string, sample_type string, ord int")
+
+
+def _cdr3_rule(key: Column, mod: int = 700) -> Column:
+    return F.concat(F.lit("C"), _digits_to_aa(key % mod), F.repeat(F.lit("G"), (key % 35).cast("int")))
+
+
+def sc_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single-cell match table ``seq_id, CDR3_match, UMI, CB`` (raw barcodes).
+
+    Barcodes carry the ``Z:`` tag and a ``-1`` or ``*`` suffix; some are null.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    return li.select(
+        ((F.col("l_orderkey") * 7 + ln) % 12000).cast("string").alias("seq_id"),
+        _cdr3_rule(F.col("l_partkey") + F.col("l_suppkey")).alias("CDR3_match"),
+        F.concat(F.lit("U"), ln.cast("string")).alias("UMI"),
+        F.when(ln == 7, F.lit(None).cast("string")).otherwise(
+            F.concat(F.lit("Z:BC"), (F.col("l_orderkey") % 400).cast("string"),
+                     F.when(ln == 3, F.lit("*")).otherwise(F.lit("-1")))).alias("CB"),
+    )
+
+
+def publicness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publicness rows ``CDR3_match, publicness_score, ord`` with repeated sequences."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(_cdr3_rule(F.col("l_partkey")).alias("CDR3_match"),
+                     (F.col("l_discount") * 10).alias("publicness_score"),
+                     (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"))
+
+
+def expression_barcoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expression COO with 10x-style barcodes ``BC<k>-1`` for cell ``CELL<k>``."""
+    e = expression(spark, sf_dir)
+    return e.withColumn("barcode", F.concat(F.replace(F.col("cell"), F.lit("CELL"), F.lit("BC")), F.lit("-1")))
+
+
+# fixed values: gene groups of the rule-based reference typing
+CELL_TYPE_GROUPS = ((100, "CD4 T cells"), (200, "B cells"), (300, "Monocytes"))
+
+
+def gene_group(gene: Column) -> Column:
+    g = F.regexp_extract(gene, r"(\d+)", 1).cast("int")
+    out = None
+    for bound, label in CELL_TYPE_GROUPS:
+        out = F.when(g < bound, label) if out is None else out.when(g < bound, label)
+    return out
+
+
+def cell_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell annotation ``Cell_Barcode, Annotation_Label``: gene group with the most counts."""
+    from pyspark.sql import Window
+
+    e = expression_barcoded(spark, sf_dir)
+    s = e.groupBy("barcode", gene_group(F.col("gene")).alias("label")).agg(F.sum("value").alias("s"))
+    w = Window.partitionBy("barcode").orderBy(F.desc("s"), F.asc("label"))
+    return s.withColumn("rn", F.row_number().over(w)).where("rn = 1").select(
+        F.col("barcode").alias("Cell_Barcode"), F.col("label").alias("Annotation_Label"))

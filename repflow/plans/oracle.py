@@ -99,6 +99,29 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT 'SRX' || CAST(2000 + i AS VARCHAR) AS srx, 'P' || CAST(i // 2 AS VARCHAR) AS patient,
                CASE WHEN i % 2 = 0 THEN 'tumor' ELSE 'LNM' END AS sample_type, CAST(i AS INTEGER) AS ord
         FROM range(0, 16) t(i)"""),
+    "sc_matches": ((), """
+        SELECT CAST((l_orderkey * 7 + l_linenumber) % 12000 AS VARCHAR) AS seq_id,
+               concat('C', translate(CAST((l_partkey + l_suppkey) % 700 AS VARCHAR), '0123456789', 'ASRLGQYEFW'),
+                      repeat('G', CAST((l_partkey + l_suppkey) % 35 AS INTEGER))) AS CDR3_match,
+               'U' || CAST(l_linenumber AS VARCHAR) AS UMI,
+               CASE WHEN l_linenumber = 7 THEN NULL
+                    ELSE 'Z:BC' || CAST(l_orderkey % 400 AS VARCHAR) || CASE WHEN l_linenumber = 3 THEN '*' ELSE '-1' END
+               END AS CB
+        FROM lineitem"""),
+    "publicness": ((), """
+        SELECT concat('C', translate(CAST(l_partkey % 700 AS VARCHAR), '0123456789', 'ASRLGQYEFW'),
+                      repeat('G', CAST(l_partkey % 35 AS INTEGER))) AS CDR3_match,
+               l_discount * 10 AS publicness_score, l_orderkey * 10 + l_linenumber AS ord
+        FROM lineitem"""),
+    "expr_bc": (("expr",), "SELECT *, replace(cell, 'CELL', 'BC') || '-1' AS barcode FROM expr"),
+    "cell_types": (("expr_bc",), """
+        SELECT barcode AS Cell_Barcode, label AS Annotation_Label FROM (
+          SELECT barcode, label, row_number() OVER (PARTITION BY barcode ORDER BY s DESC, label) AS rn FROM (
+            SELECT barcode, CASE WHEN g < 100 THEN 'CD4 T cells' WHEN g < 200 THEN 'B cells'
+                                 WHEN g < 300 THEN 'Monocytes' END AS label, sum(value) AS s
+            FROM (SELECT barcode, CAST(regexp_extract(gene, '(\\d+)', 1) AS INTEGER) AS g, value FROM expr_bc)
+            GROUP BY 1, 2))
+        WHERE rn = 1"""),
 }
 
 

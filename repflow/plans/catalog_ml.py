@@ -1 +1,255 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: ML features, resampling and evaluation (ML-*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from repflow.operators import ml as ML
+from repflow.plans import fixtures as fx
+from repflow.plans.oracle import CTES, with_ctes
+from repflow.plans.registry import r6, register
+
+CTES.update({
+    "emb_long": ((), """SELECT vec_id, label, unnest(range(0, len(embedding))) AS feature,
+                               CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings"""),
+    "emb_split": ((), """
+        SELECT vec_id, label, CASE WHEN rn <= round(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM (
+          SELECT vec_id, label, count(*) OVER (PARTITION BY label) AS n,
+                 row_number() OVER (PARTITION BY label ORDER BY (vec_id * 2654435761 + 42) % 4294967296, vec_id) AS rn
+          FROM embeddings)"""),
+    "emb_ranked": ((), """
+        SELECT vec_id, label, count(*) OVER (PARTITION BY label) AS n,
+               row_number() OVER (PARTITION BY label ORDER BY (vec_id * 2654435761 + 42) % 4294967296, vec_id) - 1 AS rk
+        FROM embeddings"""),
+    "doc_feats": ((), """
+        SELECT l.doc_id, l.quality, l.toxic,
+               CASE WHEN l.doc_id % 7 = 0 THEN NULL ELSE CAST(d.n_chars AS DOUBLE) END AS f_chars,
+               CASE WHEN l.doc_id % 5 = 0 THEN NULL
+                    ELSE CAST(length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS DOUBLE) END AS f_lines,
+               CAST(NULL AS DOUBLE) AS f_empty
+        FROM labels l JOIN documents d ON d.doc_id = l.doc_id"""),
+    "preds": ((), """SELECT vec_id, label,
+                            list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS prediction
+                     FROM embeddings"""),
+})
+
+
+def _emb(spark, sf):
+    return fx.table(spark, sf, "embeddings")
+
+
+def _emb_long(spark, sf):
+    e = _emb(spark, sf)
+    return ML.long_features(e, "vec_id", "embedding").join(e.select("vec_id", "label"), "vec_id")
+
+
+def _doc_feats(spark, sf):
+    lab = fx.table(spark, sf, "labels")
+    d = fx.table(spark, sf, "documents").select("doc_id", "n_chars", "text")
+    j = lab.join(d, "doc_id")
+    nl = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    return j.select("doc_id", "quality", "toxic",
+                    F.when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise(F.col("n_chars").cast("double")).alias("f_chars"),
+                    F.when(F.col("doc_id") % 5 == 0, F.lit(None)).otherwise(nl.cast("double")).alias("f_lines"),
+                    F.lit(None).cast("double").alias("f_empty"))
+
+
+def _preds(spark, sf):
+    e = _emb(spark, sf)
+    head = F.slice("embedding", 1, 10)
+    return e.select("vec_id", "label", (F.array_position(head, F.array_max(head)) - 1).cast("int").alias("prediction"))
+
+
+@register("label_encoding", "ML-1", with_ctes("""
+    SELECT ord, Disease, CAST(dense_rank() OVER (ORDER BY Disease) - 1 AS DOUBLE) AS Disease_idx
+    FROM metadata WHERE Disease IS NOT NULL""", "metadata"))
+def q_label_encoding(spark, sf):
+    md = fx.metadata(spark, sf).where(F.col("Disease").isNotNull())
+    return ML.label_encode(md, "Disease").select("ord", "Disease", "Disease_idx")
+
+
+@register("median_impute", "ML-2", with_ctes("""
+    SELECT doc_id, coalesce(f_chars, (SELECT quantile_cont(f_chars, 0.5) FROM doc_feats)) AS f_chars,
+           coalesce(f_lines, (SELECT quantile_cont(f_lines, 0.5) FROM doc_feats)) AS f_lines
+    FROM doc_feats""", "doc_feats"))
+def q_median_impute(spark, sf):
+    f = _doc_feats(spark, sf)
+    return ML.median_impute(f, ["f_chars", "f_lines", "f_empty"]).select("doc_id", "f_chars", "f_lines")
+
+
+@register("variance_filter", "ML-3", with_ctes("""
+    SELECT feature, round(var_pop(x), 6) AS variance, var_pop(x) > 0 AS kept FROM emb_long GROUP BY 1""",
+    "emb_long"))
+def q_variance(spark, sf):
+    v = ML.feature_variance(_emb_long(spark, sf))
+    return v.select("feature", r6("variance").alias("variance"), "kept")
+
+
+@register("stratified_split", "ML-7", with_ctes("SELECT vec_id, label, split FROM emb_split", "emb_split"))
+def q_split(spark, sf):
+    return ML.stratified_split(_emb(spark, sf), "label", "vec_id").select("vec_id", "label", "split")
+
+
+@register("standardise_train_test", "ML-8", with_ctes("""
+    SELECT l.vec_id, l.feature, s.split,
+           round((l.x - st.m) / CASE WHEN st.sd = 0 THEN 1 ELSE st.sd END, 6) AS z
+    FROM emb_long l JOIN emb_split s ON s.vec_id = l.vec_id
+    JOIN (SELECT feature, avg(x) AS m, stddev_pop(x) AS sd FROM emb_long l2 JOIN emb_split s2 ON s2.vec_id = l2.vec_id
+          WHERE s2.split = 'train' GROUP BY 1) st ON st.feature = l.feature""", "emb_long", "emb_split"))
+def q_standardise(spark, sf):
+    split = ML.stratified_split(_emb(spark, sf), "label", "vec_id").select("vec_id", "split")
+    z = ML.standardise(_emb_long(spark, sf).join(split, "vec_id"))
+    return z.select("vec_id", "feature", "split", r6("z").alias("z"))
+
+
+@register("class_weights", "ML-12", with_ctes("""
+    SELECT label, count(*) AS n_c, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+    FROM embeddings GROUP BY label
+    UNION ALL
+    SELECT -1, NULL, round(count(*) FILTER (WHERE toxic = 0) / count(*) FILTER (WHERE toxic = 1), 6) FROM labels""",
+    ))
+def q_weights(spark, sf):
+    w = ML.class_weights(_emb(spark, sf), "label").select("label", "n_c", r6("weight").alias("weight"))
+    pw = ML.positive_weight(fx.table(spark, sf, "labels"), "toxic").select(
+        F.lit(-1).alias("label"), F.lit(None).cast("bigint").alias("n_c"), r6("scale_pos_weight").alias("weight"))
+    return w.unionByName(pw)
+
+
+@register("random_oversample", "ML-10", with_ctes("""
+    SELECT vec_id, label FROM (
+      SELECT r.*, CAST(floor((m.mx - n) / n) + CASE WHEN rk < (m.mx - n) % n THEN 1 ELSE 0 END + 1 AS BIGINT) AS copies
+      FROM emb_ranked r, (SELECT max(n) AS mx FROM emb_ranked) m), LATERAL (SELECT unnest(range(copies)))""",
+    "emb_ranked"))
+def q_over(spark, sf):
+    return ML.oversample(_emb(spark, sf), "label", "vec_id").select("vec_id", "label")
+
+
+@register("random_undersample", "ML-11", with_ctes("""
+    SELECT vec_id, label FROM emb_ranked WHERE rk < (SELECT min(n) FROM emb_ranked)""", "emb_ranked"))
+def q_under(spark, sf):
+    return ML.undersample(_emb(spark, sf), "label", "vec_id").select("vec_id", "label")
+
+
+@register("confusion_matrix", "ML-21", with_ctes(
+    "SELECT label, prediction, count(*) AS n FROM preds GROUP BY 1, 2", "preds"))
+def q_confusion(spark, sf):
+    return ML.confusion(_preds(spark, sf))
+
+
+_REPORT = """
+    SELECT cls, support, precision, recall,
+           CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1
+    FROM (SELECT coalesce(s.cls, p.cls) AS cls, coalesce(s.support, 0) AS support,
+                 CASE WHEN coalesce(p.predicted, 0) > 0 THEN coalesce(t.tp, 0) / p.predicted ELSE 0 END AS precision,
+                 CASE WHEN coalesce(s.support, 0) > 0 THEN coalesce(t.tp, 0) / s.support ELSE 0 END AS recall
+          FROM (SELECT label AS cls, count(*) AS support FROM preds GROUP BY 1) s
+          FULL JOIN (SELECT prediction AS cls, count(*) AS predicted FROM preds GROUP BY 1) p ON p.cls = s.cls
+          LEFT JOIN (SELECT label AS cls, count(*) AS tp FROM preds WHERE label = prediction GROUP BY 1) t
+                 ON t.cls = coalesce(s.cls, p.cls))"""
+
+
+@register("classification_report", "ML-24", with_ctes(f"""
+    SELECT cls, support, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1
+    FROM ({_REPORT})""", "preds"))
+def q_report(spark, sf):
+    r = ML.class_report(_preds(spark, sf))
+    return r.select("cls", "support", *[r6(c).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("classification_metrics", "ML-22", with_ctes(f"""
+    SELECT round(sum(recall * support) / sum(support), 6) AS accuracy,
+           round(avg(CASE WHEN support > 0 THEN recall END), 6) AS balanced_accuracy,
+           round(sum(precision * support) / sum(support), 6) AS precision_weighted,
+           round(sum(recall * support) / sum(support), 6) AS recall_weighted,
+           round(sum(f1 * support) / sum(support), 6) AS f1_weighted, round(avg(f1), 6) AS f1_macro
+    FROM ({_REPORT})""", "preds"))
+def q_metrics(spark, sf):
+    m = ML.metrics(_preds(spark, sf))
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
+@register("roc_auc", "ML-23", with_ctes("""
+    SELECT 'toxic' AS target, round((sum(r) FILTER (WHERE y = 1) - npos * (npos + 1) / 2.0) / (npos * nneg), 6) AS roc_auc
+    FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r,
+                 count(*) FILTER (WHERE y = 1) OVER () AS npos, count(*) FILTER (WHERE y = 0) OVER () AS nneg
+          FROM (SELECT l.toxic AS y, CAST(d.n_chars AS DOUBLE) AS s FROM labels l JOIN documents d ON d.doc_id = l.doc_id))
+    GROUP BY npos, nneg
+    UNION ALL
+    SELECT 'quality', round((sum(r) FILTER (WHERE y = 1) - npos * (npos + 1) / 2.0) / (npos * nneg), 6)
+    FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r,
+                 count(*) FILTER (WHERE y = 1) OVER () AS npos, count(*) FILTER (WHERE y = 0) OVER () AS nneg
+          FROM (SELECT l.quality AS y, CAST(d.n_chars AS DOUBLE) AS s FROM labels l JOIN documents d ON d.doc_id = l.doc_id))
+    GROUP BY npos, nneg"""))
+def q_auc(spark, sf):
+    j = fx.table(spark, sf, "labels").join(fx.table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id")
+    out = None
+    for target in ("toxic", "quality"):
+        a = ML.roc_auc(j, target, "n_chars").select(F.lit(target).alias("target"), r6("roc_auc").alias("roc_auc"))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+@register("soft_vote", "ML-20", with_ctes("""
+    SELECT vec_id, list_position(p, list_max(p)) - 1 AS prediction, round(list_max(p), 6) AS max_prob FROM (
+      SELECT vec_id, list_transform(range(1, 11), lambda i: (p1[i] + p2[i]) / 2) AS p FROM (
+        SELECT vec_id,
+               list_transform(embedding[1:10], lambda v: exp(v) / list_sum(list_transform(embedding[1:10], lambda u: exp(u)))) AS p1,
+               list_transform(embedding[11:20], lambda v: exp(v) / list_sum(list_transform(embedding[11:20], lambda u: exp(u)))) AS p2
+        FROM embeddings))"""))
+def q_soft_vote(spark, sf):
+    e = _emb(spark, sf)
+
+    def softmax(a):
+        ex = F.transform(a, lambda v: F.exp(v.cast("double")))
+        tot = F.aggregate(ex, F.lit(0.0), lambda acc, v: acc + v)
+        return F.transform(ex, lambda v: v / tot)
+
+    p = e.select("vec_id", softmax(F.slice("embedding", 1, 10)).alias("p1"), softmax(F.slice("embedding", 11, 10)).alias("p2"))
+    v = ML.soft_vote(p, ["p1", "p2"])
+    return v.select("vec_id", "prediction", r6(F.array_max("probability")).alias("max_prob"))
+
+
+_BINNED = """
+    SELECT l.feature, l.label AS y,
+           CAST(CASE WHEN (r.hi - r.lo) / 10 > 0 THEN least(floor((l.x - r.lo) / ((r.hi - r.lo) / 10)), 9) ELSE 0 END AS INTEGER) AS bin
+    FROM emb_long l JOIN (SELECT feature, min(x) AS lo, max(x) AS hi FROM emb_long GROUP BY 1) r ON r.feature = l.feature"""
+
+
+@register("mutual_information", "ML-5", with_ctes(f"""
+    SELECT feature, round(sum(n_xy / n * ln(n_xy * n / (n_x * n_y))), 6) AS mi FROM (
+      SELECT feature, bin, y, n_xy, sum(n_xy) OVER (PARTITION BY feature) AS n,
+             sum(n_xy) OVER (PARTITION BY feature, bin) AS n_x, sum(n_xy) OVER (PARTITION BY feature, y) AS n_y
+      FROM (SELECT feature, bin, y, count(*) AS n_xy FROM ({_BINNED}) GROUP BY 1, 2, 3))
+    GROUP BY feature""", "emb_long"))
+def q_mi(spark, sf):
+    e = _emb(spark, sf)
+    mi = ML.mutual_information(ML.long_features(e, "vec_id", "embedding"), e, "vec_id", "label")
+    return mi.select("feature", r6("mi").alias("mi"))
+
+
+@register("select_k_best_mi", "ML-5 TOP-2", with_ctes(f"""
+    SELECT feature FROM (
+      SELECT feature, sum(n_xy / n * ln(n_xy * n / (n_x * n_y))) AS mi FROM (
+        SELECT feature, bin, y, n_xy, sum(n_xy) OVER (PARTITION BY feature) AS n,
+               sum(n_xy) OVER (PARTITION BY feature, bin) AS n_x, sum(n_xy) OVER (PARTITION BY feature, y) AS n_y
+        FROM (SELECT feature, bin, y, count(*) AS n_xy FROM ({_BINNED}) GROUP BY 1, 2, 3))
+      GROUP BY feature)
+    ORDER BY mi DESC, feature LIMIT least(300, (SELECT count(DISTINCT feature) FROM emb_long))""", "emb_long"))
+def q_kbest(spark, sf):
+    e = _emb(spark, sf)
+    long = ML.long_features(e, "vec_id", "embedding")
+    k = min(300, len(e.select("embedding").first()[0]))       # width of the feature vector
+    return ML.select_top_k(ML.mutual_information(long, e, "vec_id", "label"), "mi", k).select("feature")
+
+
+@register("anova_f", "ML-6", with_ctes("""
+    SELECT feature, round((ssb / (k - 1)) / (ssw / (n - k)), 6) AS f FROM (
+      SELECT g.feature, sum(g.n_g * (g.m_g - t.m) * (g.m_g - t.m)) AS ssb, sum(g.n_g * g.v_g) AS ssw,
+             count(*) AS k, any_value(t.n) AS n
+      FROM (SELECT feature, label, count(*) AS n_g, avg(x) AS m_g, var_pop(x) AS v_g FROM emb_long GROUP BY 1, 2) g
+      JOIN (SELECT feature, count(*) AS n, avg(x) AS m FROM emb_long GROUP BY 1) t ON t.feature = g.feature
+      GROUP BY g.feature)""", "emb_long"))
+def q_anova(spark, sf):
+    e = _emb(spark, sf)
+    f = ML.anova_f(ML.long_features(e, "vec_id", "embedding"), e, "vec_id", "label")
+    return f.select("feature", r6("f").alias("f"))

@@ -253,3 +253,96 @@ def q_anova(spark, sf):
     e = _emb(spark, sf)
     f = ML.anova_f(ML.long_features(e, "vec_id", "embedding"), e, "vec_id", "label")
     return f.select("feature", r6("f").alias("f"))
+
+
+# ---- model fits: no SQL twin (iterative estimators); rows-only checks -----------
+
+def _train_test(spark, sf):
+    from repflow.operators import models as MD
+
+    e = MD.with_vector(ML.stratified_split(_emb(spark, sf), "label", "vec_id"))
+    return MD.scale_vectors(e.where("split = 'train'"), e.where("split = 'test'"))
+
+
+@register("model_comparison", "ML-13 ML-14 ML-15 ML-16 ML-22 ML-26 SRT-1")
+def q_models(spark, sf):
+    from repflow.operators import models as MD
+
+    train, test = _train_test(spark, sf)
+    n_classes = _emb(spark, sf).select("label").distinct().count()
+    return MD.compare_models(train, test, n_classes)
+
+
+@register("cv_balanced_accuracy", "ML-18 ML-19")
+def q_cv(spark, sf):
+    from repflow.operators import models as MD
+
+    e = MD.with_vector(MD.stratified_folds(_emb(spark, sf), "label", "vec_id"))
+    rf = MD.RandomForestClassifier(featuresCol="features", labelCol="label", seed=MD.SEED)
+    maps = MD.random_search_maps(MD.rf_grid(rf), 8)
+    cvm = MD.cross_validate(rf, e, maps)
+    rows = [(i, float(m), float(s), str({p.name: v for p, v in pm.items()}))
+            for i, (m, s, pm) in enumerate(zip(cvm.avgMetrics, cvm.stdMetrics, maps))]
+    return spark.createDataFrame(rows, "draw int, mean_balanced_accuracy double, std double, params string")
+
+
+@register("feature_importance", "ML-25 ML-4 TOP-2")
+def q_importance(spark, sf):
+    from repflow.operators import models as MD
+
+    train, _ = _train_test(spark, sf)
+    rf = MD.RandomForestClassifier(featuresCol="scaled", labelCol="label", numTrees=MD.RF_TREES, seed=MD.SEED).fit(train)
+    names = [f"e{i}" for i in range(rf.numFeatures)]
+    _, kept = MD.select_from_model(train, rf)
+    t = MD.importance_table(rf, names).withColumn("selected", F.col("feature").isin([names[i] for i in kept]))
+    return t.orderBy(F.desc("importance"), F.asc("feature")).limit(10)
+
+
+@register("resampling_comparison", "ML-28 ML-10 ML-11 ML-12")
+def q_resampling(spark, sf):
+    from repflow.operators import models as MD
+
+    lab = fx.table(spark, sf, "labels")
+    d = _doc_feats(spark, sf).drop("f_empty")
+    d = ML.median_impute(d, ["f_chars", "f_lines"])
+    d = ML.stratified_split(d, "toxic", "doc_id").withColumn("label", F.col("toxic").cast("double"))
+    from pyspark.ml.feature import VectorAssembler
+    d = VectorAssembler(inputCols=["f_chars", "f_lines"], outputCol="features").transform(d)
+    train, test = d.where("split = 'train'"), d.where("split = 'test'")
+    out = None
+    w = ML.class_weights(train, "toxic").select("toxic", F.col("weight").alias("w"))
+    variants = {"base": train, "over": ML.oversample(train, "toxic", "doc_id"),
+                "under": ML.undersample(train, "toxic", "doc_id"), "weighted": train.join(w, "toxic")}
+    for name, tr in variants.items():
+        trs, tes = MD.scale_vectors(tr, test)
+        lr = MD.LogisticRegression(featuresCol="scaled", labelCol="label", maxIter=100)
+        if name == "weighted":
+            lr.setWeightCol("w")
+        row = MD.evaluate(lr.fit(trs).transform(tes)).select(F.lit(name).alias("variant"), "*")
+        out = row if out is None else out.unionByName(row)
+    _ = lab
+    return out
+
+
+@register("ensemble_holdout", "ML-20 ML-27 ML-8")
+def q_ensemble(spark, sf):
+    from repflow.operators import models as MD
+
+    train, test = _train_test(spark, sf)
+    fitted = {n: m.fit(train) for n, m in MD.classifiers(10).items() if n in ("Logistic Regression", "Random Forest")}
+    v = MD.soft_vote_models(fitted, test, 10)
+    return MD.evaluate(v)
+
+
+@register("pca_embedding", "MAT-11")
+def q_pca(spark, sf):
+    from repflow.operators import models as MD
+
+    e = MD.with_vector(_emb(spark, sf))
+    p = MD.pca_scores(e, "features", 2)
+    return p.select("vec_id", vector_to_array_col("pca"))
+
+
+def vector_to_array_col(c):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(c).alias(c)

@@ -13,6 +13,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     default parallelism is redistributed.  An explicit partition count is
     kept by AQE (it only coalesces shuffles it introduced itself).
     """
+    if df.isStreaming:          # micro-batches: partitioning follows the file source
+        return df
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:

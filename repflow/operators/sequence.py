@@ -53,8 +53,9 @@ def frames(reads: DataFrame, seq_col: str = "sequence", keep=(), code: str = STA
 
     ``engine="arrow"`` translates all six frames of a whole Arrow batch in one
     vectorised kernel (measured 2-3x faster than the expression path at sf0.1);
-    ``engine="native"`` keeps everything in JVM expressions.  Both give the
-    same rows (tested).
+    ``engine="native"`` keeps everything in JVM expressions; its per-codon
+    ``substring`` is O(position) on UTF-8 strings, so it suits short reads
+    only.  Both give the same rows (tested).
     """
     validate_columns(reads, [seq_col, *keep], "reads")
     # CPU-heavy per row: a small input is spread over the cores first.
@@ -89,6 +90,7 @@ class PatternIndex:
     head_len: int
     short_lengths: list         # pattern lengths below head_len (own branch each)
     broadcast_patterns: bool
+    min_len: int = HEAD_LEN     # shortest pattern on the head branch
 
 
 def index_patterns(patterns: DataFrame, col: str = "pattern", head_len: int = HEAD_LEN,
@@ -96,9 +98,9 @@ def index_patterns(patterns: DataFrame, col: str = "pattern", head_len: int = HE
     """Summarise the pattern set: ``head_len``-letter heads with their lengths.
 
     One small aggregate job over the pattern table.  The head table is bounded
-    by 26^head_len x (distinct lengths) whatever the pattern count; its row
-    count is checked before it is collected and rebuilt as a local relation
-    that the planner broadcasts.  Patterns shorter than the head are searched
+    by 26^head_len x (distinct lengths) whatever the pattern count; it is
+    collected with a row cap (exceeding it raises) and rebuilt as a local
+    relation that the planner broadcasts.  Patterns shorter than the head are searched
     by their own exact join (at most 26 + 26^2 such patterns exist).
     """
     spark = patterns.sparkSession
@@ -106,15 +108,15 @@ def index_patterns(patterns: DataFrame, col: str = "pattern", head_len: int = HE
     # The cleaned set is written once to the shared checkpoint folder: every
     # search reuses it, and the join no longer lets the optimizer copy the
     # cleaning predicates (a regex among them) onto every candidate window.
-    pats = clean_patterns(patterns, col).where(F.col("pattern").rlike(PROTEIN_PATTERN))
-    pats = pats.checkpoint(eager=True)
+    cleaned = clean_patterns(patterns, col).where(F.col("pattern").rlike(PROTEIN_PATTERN)).persist()
+    pats = cleaned.checkpoint(eager=True)   # computed once (persisted), written once
+    cleaned.unpersist()
     heads = (pats.groupBy(F.substring("pattern", 1, head_len).alias("head"))
              .agg(F.array_sort(F.collect_set(F.length("pattern"))).alias("lens"),
                   F.count("*").alias("n"), F.sum(F.length("pattern")).alias("bytes")))
-    n_heads = heads.count()
-    if n_heads > HEAD_BROADCAST_MAX_ROWS:
-        raise ValueError(f"pattern head table has {n_heads} rows; expected a protein alphabet")
-    rows = heads.collect()
+    rows = heads.limit(HEAD_BROADCAST_MAX_ROWS + 1).collect()     # bounded collect
+    if len(rows) > HEAD_BROADCAST_MAX_ROWS:
+        raise ValueError(f"pattern head table exceeds {HEAD_BROADCAST_MAX_ROWS} rows; expected a protein alphabet")
     n_pat = sum(r["n"] for r in rows)
     n_bytes = sum(r["bytes"] for r in rows)
     schema = T.StructType([T.StructField("head", T.StringType()),
@@ -122,8 +124,9 @@ def index_patterns(patterns: DataFrame, col: str = "pattern", head_len: int = HE
     full = [(r["head"], [x for x in r["lens"] if x >= head_len]) for r in rows]
     heads_local = spark.createDataFrame([h for h in full if h[1]], schema)
     short = sorted({x for r in rows for x in r["lens"] if x < head_len})
+    min_len = min([x for h in full for x in h[1]], default=head_len)
     return PatternIndex(heads=heads_local, patterns=pats, head_len=head_len, short_lengths=short,
-                        broadcast_patterns=(n_bytes + 16 * n_pat) <= broadcast_max_bytes)
+                        broadcast_patterns=(n_bytes + 16 * n_pat) <= broadcast_max_bytes, min_len=min_len)
 
 
 def find_occurrences(framed: DataFrame, index: PatternIndex, protein_col: str = "protein",
@@ -136,7 +139,9 @@ def find_occurrences(framed: DataFrame, index: PatternIndex, protein_col: str =
     keep = [F.col(col_ref(c)) for c in framed.columns if c != protein_col]
     k = index.head_len
     n = F.length(F.col(protein_col))
-    starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    # a start needs room for the shortest pattern: later positions are never emitted
+    last = n - F.lit(min(index.min_len, min(index.short_lengths, default=index.min_len)) - 1)
+    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
     pos = framed.select(*keep, F.col(protein_col).alias("_p"), F.explode(starts).alias("pos"))
     heads = F.broadcast(index.heads)
     cand = pos.join(heads, F.substring(F.col("_p"), F.col("pos"), k) == heads["head"], "inner")

@@ -55,9 +55,12 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def patterns(spark: SparkSession, sf_dir: str, col_name: str = "CDR3.aa") -> DataFrame:
     """Pattern DB: windows of the +0 protein of each benchmark passage."""
-    from repflow.functions.codon import translate_frame
+    from repflow.functions.codon import six_frames_arrow_udf
 
-    p = table(spark, sf_dir, "benchmark").select(translate_frame(dna(F.col("text")), 0).alias("p"))
+    # passages are long: the vectorised kernel is linear in length (the
+    # per-codon expression path is quadratic on long strings)
+    udf, names = six_frames_arrow_udf()
+    p = table(spark, sf_dir, "benchmark").select(udf(dna(F.col("text")))[names[0]].alias("p"))
     n = F.length("p")
     pos = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     w = p.select("p", F.explode(pos).alias("i")).select(

@@ -25,6 +25,10 @@ def write_matches(matches: DataFrame, out_dir: str, overwrite: bool = False) ->
     spark = matches.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = matches.withColumn("output", output_name(F.col("source_file"))).drop("source_file")
+    # REBALANCE groups rows of one output into few writers (measured 25 s -> 7.5 s at
+    # sf0.1 against every task writing every output); AQE splits a hot output's
+    # partition above the advisory size, so a skewed input file is not one task.
+    out = out.hint("rebalance", "output")
     out.write.mode("overwrite" if overwrite else "append").partitionBy("output").parquet(out_dir)
 
 

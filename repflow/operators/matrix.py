@@ -156,7 +156,8 @@ def type_scores(logged: DataFrame, weights: DataFrame, intercepts: DataFrame) ->
         F.sum(F.col("value") * F.col("weight")).alias("__s"))
     s = s.join(F.broadcast(intercepts), "cell_type", "left")
     s = s.withColumn("prob", 1.0 / (1.0 + F.exp(-(F.col("__s") + F.coalesce("intercept", F.lit(0.0))))))
-    w = Window.partitionBy("cell").orderBy(F.desc("prob"), F.asc("cell_type"))
+    # probabilities equal to 9 decimals are ties, broken by type name
+    w = Window.partitionBy("cell").orderBy(F.round("prob", 9).desc(), F.asc("cell_type"))
     return s.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(
         "cell", F.col("cell_type").alias("predicted_labels"), "prob")
 
@@ -179,7 +180,7 @@ def _avg_ranks(df: DataFrame, part: str, n_total: DataFrame | None = None) -> Da
     return r.withColumn("rank", F.col("__r") + (F.col("__c") - 1) / 2.0).drop("__r", "__c")
 
 
-def spearman_typing(expr: DataFrame, ref: DataFrame, quantile: float = 0.8) -> DataFrame:
+def spearman_typing(expr: DataFrame, ref: DataFrame, quantile: float = 0.8, tie_digits: int = 9) -> DataFrame:
     """MAT-16: reference-profile typing by Spearman correlation.
 
     ``expr(cell, gene, value)`` sparse (absent = 0); ``ref(ref_id, label, gene,
@@ -187,7 +188,8 @@ def spearman_typing(expr: DataFrame, ref: DataFrame, quantile: float = 0.8) -> D
     include the implicit zeros through closed forms: the absent genes share
     one average rank, so sums over them come from totals minus the present
     genes.  Score per label = ``quantile`` of the correlations with that
-    label's reference samples; the label with the top score wins.
+    label's reference samples; the label with the top score wins (scores equal
+    to ``tie_digits`` decimals are ties, broken by label name).
     """
     genes = ref.select("gene").distinct()
     n_g = genes.agg(F.count(F.lit(1)).cast("double").alias("G"))
@@ -221,5 +223,5 @@ def spearman_typing(expr: DataFrame, ref: DataFrame, quantile: float = 0.8) -> D
     vy = F.col("__srr") - F.col("__sr") * F.col("__sr") / G
     c = c.select("cell", "ref_id", "label", (cov / F.sqrt(vx * vy)).alias("corr"))
     s = c.groupBy("cell", "label").agg(F.percentile("corr", quantile).alias("score"))
-    w = Window.partitionBy("cell").orderBy(F.desc("score"), F.asc("label"))
+    w = Window.partitionBy("cell").orderBy(F.round("score", tie_digits).desc(), F.asc("label"))
     return s.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select("cell", "label", "score")

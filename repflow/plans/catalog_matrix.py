@@ -162,7 +162,7 @@ _WEIGHTS_SQL = """
     JOIN (VALUES ('B cells', -1.0), ('CD4 T cells', -0.5), ('Monocytes', 0.0)) t(cell_type, intercept) ON true"""
 _TYPED_SQL = f"""
     SELECT cell, cell_type AS predicted_labels, prob FROM (
-      SELECT cell, cell_type, prob, row_number() OVER (PARTITION BY cell ORDER BY prob DESC, cell_type) AS rn FROM (
+      SELECT cell, cell_type, prob, row_number() OVER (PARTITION BY cell ORDER BY round(prob, 9) DESC, cell_type) AS rn FROM (
         SELECT l.cell, w.cell_type,
                1.0 / (1.0 + exp(-(sum(l.value * w.weight) + any_value(i.intercept)))) AS prob
         FROM logn l JOIN ({_WEIGHTS_SQL}) w ON w.gene = l.gene
@@ -216,7 +216,7 @@ _REF_SQL = """SELECT CAST(substring(cell, 5) AS INTEGER) % 6 AS ref_id,
 
 @register("spearman_typing", "MAT-16", with_ctes("""
     SELECT cell, label, round(score, 6) AS score FROM (
-      SELECT *, row_number() OVER (PARTITION BY cell ORDER BY score DESC, label) AS rn FROM sc) WHERE rn = 1""",
+      SELECT *, row_number() OVER (PARTITION BY cell ORDER BY round(score, 9) DESC, label) AS rn FROM sc) WHERE rn = 1""",
     "logn", "expr", extra={
         "ref": _REF_SQL,
         "markers": "SELECT DISTINCT gene FROM ref",
@@ -233,3 +233,38 @@ _REF_SQL = """SELECT CAST(substring(cell, 5) AS INTEGER) % 6 AS ref_id,
 def q_spearman(spark, sf):
     t = M.spearman_typing(_logn(spark, sf), _ref(spark, sf))
     return t.select("cell", "label", r6("score").alias("score"))
+
+
+_SPEARMAN_SQL = """SELECT cell, label, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY cell ORDER BY round(score, 9) DESC, label) AS rn FROM sc) WHERE rn = 1"""
+
+
+@register("reference_annotation_join", "JN-10 JN-11", with_ctes("""
+    SELECT q.cell, q.n_genes, a.label AS reference_label, round(c.x, 6) AS x, round(c.y, 6) AS y
+    FROM (SELECT cell, count(*) AS n_genes FROM logn GROUP BY cell) q
+    LEFT JOIN (SELECT cell, label FROM (
+                 SELECT *, row_number() OVER (PARTITION BY cell ORDER BY round(score, 9) DESC, label) AS rn FROM sc)
+               WHERE rn = 1) a ON a.cell = q.cell
+    JOIN (SELECT cell, ln(1 + sum(value)) AS x, ln(1 + count(*)) AS y FROM logn GROUP BY cell) c ON c.cell = q.cell""",
+    "logn", "expr", extra={
+        "ref": _REF_SQL,
+        "markers": "SELECT DISTINCT gene FROM ref",
+        "cells": "SELECT DISTINCT cell FROM logn WHERE gene IN (SELECT gene FROM markers) AND value <> 0",
+        "dense": """SELECT c.cell, m.gene, coalesce(l.value, 0) AS value
+                    FROM cells c JOIN markers m ON true LEFT JOIN logn l ON l.cell = c.cell AND l.gene = m.gene""",
+        "rc": """SELECT cell, gene, rank() OVER (PARTITION BY cell ORDER BY value)
+                        + (count(*) OVER (PARTITION BY cell, value) - 1) / 2.0 AS r FROM dense""",
+        "rr": """SELECT ref_id, label, gene, rank() OVER (PARTITION BY ref_id ORDER BY value)
+                        + (count(*) OVER (PARTITION BY ref_id, value) - 1) / 2.0 AS r FROM ref""",
+        "cor": """SELECT rc.cell, rr.ref_id, rr.label, corr(rc.r, rr.r) AS c FROM rc JOIN rr ON rr.gene = rc.gene
+                  GROUP BY 1, 2, 3""",
+        "sc": "SELECT cell, label, quantile_cont(c, 0.8) AS score FROM cor GROUP BY 1, 2"}))
+def q_ref_join(spark, sf):
+    """JN-10: per-cell table left-joined to the reference-based labels; JN-11: inner join
+    with 2-D per-cell coordinates (here log totals, standing in for a layout)."""
+    logn = _logn(spark, sf)
+    cells = logn.groupBy("cell").agg(F.count(F.lit(1)).alias("n_genes"))
+    labels = M.spearman_typing(logn, _ref(spark, sf)).select("cell", F.col("label").alias("reference_label"))
+    coords = logn.groupBy("cell").agg(F.log1p(F.sum("value")).alias("x"), F.log1p(F.count(F.lit(1))).alias("y"))
+    j = cells.join(labels, "cell", "left").join(coords, "cell", "inner")
+    return j.select("cell", "n_genes", "reference_label", r6("x").alias("x"), r6("y").alias("y"))

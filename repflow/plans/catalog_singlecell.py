@@ -223,3 +223,23 @@ def q_sc_richness(spark, sf):
         parts.append(P.richness_summary(part, "Tissue", "sample", "cdr3"))
     u = parts[0].unionByName(parts[1])
     return u.select("sample", "Unique_CDR3_Count", "Tissue", r6("Log_Value").alias("Log_Value"))
+
+
+@register("sample_key_hash", "SCL-12", with_ctes(
+    "SELECT sample, substring(sha1(sample), 1, 12) AS key FROM (SELECT DISTINCT sample FROM matches)", "matches"))
+def q_hash(spark, sf):
+    return fx.matches(spark, sf).select("sample").distinct().select("sample", S.sha1_12(F.col("sample")).alias("key"))
+
+
+@register("classifier_features", "PRJ-2")
+def q_features(spark, sf):
+    """Numeric feature columns by schema minus the exclusion list, assembled into one vector."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import types as T
+
+    t = _classifier(spark, sf)
+    exclude = {"label", "is_in_vdj"}
+    numeric = [f.name for f in t.schema.fields
+               if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
+    return VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="keep").transform(t) \
+        .select("IgBlast_sequence_id", "features", "label")

@@ -64,3 +64,26 @@ def test_paths_for_unknown_type():
     assert SRC.paths_for("Tumor")[0] == "Tumor"
     with pytest.raises(ValueError):
         SRC.paths_for("blood")
+
+
+def test_json_sink_and_table_cache(spark, tmp_path):
+    df = spark.createDataFrame([("LR", 0.5)], "Model string, f1 double")
+    SK.write_json(df, str(tmp_path / "m.json"))
+    assert spark.read.json(str(tmp_path / "m.json")).first()["Model"] == "LR"
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(5)
+    a = SK.cached_table(spark, str(tmp_path / "cache"), "k1", build)
+    b = SK.cached_table(spark, str(tmp_path / "cache"), "k1", build)
+    assert a.count() == b.count() == 5 and len(calls) == 1
+    SK.cached_table(spark, str(tmp_path / "cache"), "k1", build, force=True)
+    assert len(calls) == 2
+
+
+def test_save_model(spark, tmp_path):
+    from pyspark.ml.feature import StringIndexer, StringIndexerModel
+    m = StringIndexer(inputCol="s", outputCol="i").fit(spark.createDataFrame([("a",), ("b",)], "s string"))
+    SK.save_model(m, str(tmp_path / "model"))
+    assert StringIndexerModel.load(str(tmp_path / "model")).labels == ["a", "b"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from repflow.operators import matrix as M
 from repflow.plans import fixtures as fx
 from repflow.plans.oracle import CTES, with_ctes
+from repflow.plans.partitioning import materialize
 from repflow.plans.registry import r6, register
 
 # fixture parameters (FIXTURES.md: min_genes=30, min_cells=3 for the derived matrix)
@@ -58,7 +59,8 @@ CTES.update({
 
 def _logn(spark, sf):
     coo = M.preprocess(fx.expression(spark, sf), MIN_GENES, MIN_CELLS)
-    return M.log1p(M.normalise_total(coo))
+    # one materialised matrix feeds every later branch (HVG, scaling, typing)
+    return materialize(M.log1p(M.normalise_total(coo)))
 
 
 @register("cell_qc", "MAT-3 SCL-10", with_ctes("""

@@ -20,3 +20,20 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's checkpoint dir and cut its lineage.
+
+    Used where one derived table feeds many branches of a plan (the
+    normalised expression matrix): without it every branch re-derives the
+    whole chain of filters and self-joins.  Reliable storage, so it survives
+    executor loss; never ``localCheckpoint``.
+    """
+    from repflow.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

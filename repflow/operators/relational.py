@@ -67,15 +67,27 @@ def first_containing(samples: DataFrame, sample_col: str, ids: DataFrame, id_col
                      order_col: str, out_col: str = "matched_id") -> DataFrame:
     """JN-3: for each sample, the first id (by ``order_col``) that is a substring of it.
 
-    The id side is a cohort table (one row per sequencing run), broadcast into a
-    nested-loop join on ``contains``; unmatched samples get null.
+    Exact containment as an equi-join (no nested loop): every substring of the
+    sample name whose length is one of the ids' lengths is joined with the ids
+    on the full string, then ``min_by`` keeps the earliest id.  The distinct id
+    lengths are one small aggregate (an id never exceeds a file name).
+    Unmatched samples get null.
     """
     s = samples.select(F.col(col_ref(sample_col)).alias("__s")).distinct()
-    i = ids.select(F.col(col_ref(id_col)).alias("__id"), F.col(col_ref(order_col)).alias("__o")) \
-        .where(F.col("__id").isNotNull())
-    j = s.join(F.broadcast(i), F.col("__s").contains(F.col("__id")), "left")
-    return j.groupBy("__s").agg(F.min_by("__id", "__o").alias(out_col)) \
-        .withColumnRenamed("__s", sample_col)
+    i = ids.select(F.col(col_ref(id_col)).cast("string").alias("__id"), F.col(col_ref(order_col)).alias("__o")) \
+        .where(F.col("__id").isNotNull() & (F.length("__id") > 0))
+    lengths = [r[0] for r in i.select(F.length("__id")).distinct().collect()]   # bounded by name length
+    n = F.length("__s")
+
+    def cut(length):           # one-argument lambda (a second one would mean the index)
+        return lambda p: F.substring(F.col("__s"), p, length)
+
+    windows = F.flatten(F.array(*[
+        F.transform(F.when(n >= L, F.sequence(F.lit(1), n - L + 1)).otherwise(F.array().cast("array<int>")),
+                    cut(L)) for L in lengths])) if lengths else F.array().cast("array<string>")
+    w = s.select("__s", F.explode_outer(F.array_distinct(windows)).alias("__w"))
+    j = w.join(i, w["__w"] == i["__id"], "left")
+    return j.groupBy("__s").agg(F.min_by("__id", "__o").alias(out_col)).withColumnRenamed("__s", sample_col)
 
 
 def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:

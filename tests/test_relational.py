@@ -15,7 +15,8 @@ def test_null_safe_full_outer_matches_pandas(spark):
     a = spark.createDataFrame([(None, "a0"), ("1", "a1")], "k string, v string")
     b = spark.createDataFrame([(None, "b0"), ("1", "b1")], "k string, v string")
     out = R.join_keys(a, b, "k", "full", null_safe=True, suffixes=("_l", "_r"))
-    assert sorted(tuple(r) for r in out.collect()) == sorted([(None, "a0", "b0"), ("1", "a1", "b1")])
+    key = lambda t: tuple("" if x is None else x for x in t)
+    assert sorted((tuple(r) for r in out.collect()), key=key) == [(None, "a0", "b0"), ("1", "a1", "b1")]
     assert out.columns == ["k", "v_l", "v_r"]
     plain = R.join_keys(a, b, "k", "full", null_safe=False)
     assert plain.count() == 3

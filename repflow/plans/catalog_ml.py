@@ -346,3 +346,77 @@ def q_pca(spark, sf):
 def vector_to_array_col(c):
     from pyspark.ml.functions import vector_to_array
     return vector_to_array(c).alias(c)
+
+
+# ---- nearest neighbours: exact, checked against brute force in DuckDB -------------
+
+def _vec(spark, sf):
+    e = _emb(spark, sf)
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
+
+
+CTES.update({
+    "emb_vec": ((), "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings"),
+    "emb_pairs": (("emb_vec",), """
+        SELECT a.id AS qid, b.id AS nid, a.label AS qlabel, b.label AS nlabel,
+               sqrt(list_sum(list_transform(range(1, len(a.vec) + 1), lambda i: (a.vec[i] - b.vec[i]) * (a.vec[i] - b.vec[i])))) AS dist
+        FROM emb_vec a JOIN emb_vec b ON a.id <> b.id"""),
+    "knn10": (("emb_pairs",), """
+        SELECT qid, nid, dist, rank FROM (
+          SELECT qid, nid, dist, row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), nid) AS rank FROM emb_pairs)
+        WHERE rank <= 10"""),
+})
+
+
+@register("knn_graph", "MAT-12", with_ctes(
+    "SELECT qid, nid, rank, round(dist, 6) AS dist FROM knn10", "knn10"))
+def q_knn_graph(spark, sf):
+    from repflow.operators import neighbors as NB
+
+    nn = NB.knn(_vec(spark, sf), 10)
+    return nn.select("qid", "nid", "rank", r6("dist").alias("dist"))
+
+
+@register("knn_classifier", "ML-17", with_ctes("""
+    SELECT id, prediction FROM (
+      SELECT qid AS id, nlabel AS prediction, row_number() OVER (PARTITION BY qid ORDER BY count(*) DESC, nlabel) AS r
+      FROM (SELECT qid, nlabel FROM (
+              SELECT p.qid, p.nlabel, row_number() OVER (PARTITION BY p.qid ORDER BY round(p.dist, 9), p.nid) AS rk
+              FROM emb_pairs p JOIN emb_split sq ON sq.vec_id = p.qid AND sq.split = 'test'
+              JOIN emb_split sn ON sn.vec_id = p.nid AND sn.split = 'train')
+            WHERE rk <= 5)
+      GROUP BY qid, nlabel)
+    WHERE r = 1""", "emb_pairs", "emb_split"))
+def q_knn_classifier(spark, sf):
+    from repflow.operators import neighbors as NB
+
+    v = _vec(spark, sf)
+    split = ML.stratified_split(_emb(spark, sf), "label", "vec_id").select(F.col("vec_id").alias("id"), "split")
+    v = v.join(split, "id")
+    return NB.knn_classify(v.where("split = 'train'"), v.where("split = 'test'"), 5)
+
+
+@register("smote_oversample", "ML-9", with_ctes("""
+    SELECT s.source_id, s.j, s.label,
+           round(list_sum(list_transform(range(1, len(a.vec) + 1), lambda i: a.vec[i] + s.lam * (b.vec[i] - a.vec[i]))), 6) AS vec_sum,
+           round(a.vec[1] + s.lam * (b.vec[1] - a.vec[1]), 6) AS vec_first
+    FROM syn s JOIN emb_vec a ON a.id = s.source_id JOIN emb_vec b ON b.id = s.nid
+    UNION ALL
+    SELECT id, -1, label, round(list_sum(vec), 6), round(vec[1], 6) FROM emb_vec""", "emb_pairs", "emb_ranked", extra={
+    "nn": """SELECT qid, nid, rank, count(*) OVER (PARTITION BY qid) AS nk FROM (
+               SELECT qid, nid, row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), nid) AS rank
+               FROM emb_pairs WHERE qlabel = nlabel) WHERE rank <= 5""",
+    "need": """SELECT r.vec_id AS id, r.label,
+                      CAST(floor((m.mx - r.n) / r.n) + CASE WHEN r.rk < (m.mx - r.n) % r.n THEN 1 ELSE 0 END AS BIGINT) AS cnt
+               FROM emb_ranked r, (SELECT max(n) AS mx FROM emb_ranked) m""",
+    "gen": "SELECT id, label, unnest(range(cnt)) AS j FROM need WHERE cnt > 0",
+    "hh": "SELECT g.*, (g.id * 2654435761 + g.j * 7919 + 42) % 4294967296 AS hv FROM gen g",
+    "syn": """SELECT hh.id AS source_id, hh.j, hh.label, ((hh.hv * 40503) % 4294967296) / 4294967296.0 AS lam, n.nid
+              FROM hh JOIN (SELECT qid, max(nk) AS nk FROM nn GROUP BY qid) c ON c.qid = hh.id
+              JOIN nn n ON n.qid = hh.id AND n.rank = hh.hv % c.nk + 1"""}))
+def q_smote(spark, sf):
+    from repflow.operators import neighbors as NB
+
+    s = NB.smote(_vec(spark, sf), "label", 5)
+    tot = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)
+    return s.select("source_id", "j", "label", r6(tot).alias("vec_sum"), r6(F.col("vec")[0]).alias("vec_first"))

@@ -420,3 +420,17 @@ def q_smote(spark, sf):
     s = NB.smote(_vec(spark, sf), "label", 5)
     tot = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)
     return s.select("source_id", "j", "label", r6(tot).alias("vec_sum"), r6(F.col("vec")[0]).alias("vec_first"))
+
+
+_LP_ROUNDS = 5
+_LP_EXTRA = {'und': 'SELECT DISTINCT a, b FROM (SELECT qid AS a, nid AS b FROM knn10 UNION ALL SELECT nid, qid FROM knn10)', 'lab0': 'SELECT DISTINCT a AS node, a AS cluster FROM und', 'lab1': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab0 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab0)\n        GROUP BY node, cluster) WHERE r = 1', 'lab2': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab1 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab1)\n        GROUP BY node, cluster) WHERE r = 1', 'lab3': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab2 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab2)\n        GROUP BY node, cluster) WHERE r = 1', 'lab4': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab3 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab3)\n        GROUP BY node, cluster) WHERE r = 1', 'lab5': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab4 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab4)\n        GROUP BY node, cluster) WHERE r = 1'}
+
+
+@register("knn_clusters", "MAT-13", with_ctes(f"SELECT node, cluster FROM lab{_LP_ROUNDS}", "knn10", extra=_LP_EXTRA))
+def q_knn_clusters(spark, sf):
+    """Community labels on the exact kNN graph (label propagation, fixed rounds)."""
+    from repflow.operators import neighbors as NB
+    from repflow.plans.partitioning import materialize
+
+    edges = materialize(NB.knn(_vec(spark, sf), 10))
+    return NB.label_propagation(edges, _LP_ROUNDS)

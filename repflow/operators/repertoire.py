@@ -126,25 +126,22 @@ def pivot_matrix(long: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def sparse_vectors(long: DataFrame, top: DataFrame) -> DataFrame:
-    """PVT-1 scale path: one sparse ``VectorUDT`` per sample over the top-N index.
+    """PVT-1 scale path: one ML vector per sample over the top-N index (JVM only).
 
-    Column ids come from the sequence rank in ``top`` (a bounded table,
-    broadcast); vectors are assembled by a grouped aggregate, not a pivot.
+    Column ids are the sequence ranks in ``top`` (bounded, broadcast); each
+    sample's entries are gathered by a grouped aggregate (at most N per sample)
+    and laid out as a dense array of length N, then ``array_to_vector``.
     """
-    from pyspark.ml.functions import array_to_vector  # noqa: F401  (dense path)
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    from pyspark.ml.functions import array_to_vector
 
     idx = top.select("sequence", (F.row_number().over(
-        Window.orderBy(F.desc("n_samples"), F.asc("sequence"))) - 1).alias("j"))
+        Window.orderBy(F.desc("n_samples"), F.asc("sequence"))) - 1).alias("j"))   # N rows
     size = top.count()
     j = long.join(F.broadcast(idx), "sequence").groupBy("sample").agg(
-        F.array_sort(F.collect_list(F.struct("j", "value"))).alias("entries"))
-
-    @F.udf(VectorUDT())
-    def to_sparse(entries):
-        return SparseVector(size, [e["j"] for e in entries], [float(e["value"]) for e in entries])
-
-    return j.select("sample", to_sparse("entries").alias("features"))
+        F.map_from_entries(F.collect_list(F.struct("j", F.col("value").cast("double")))).alias("__m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
+                        lambda k: F.coalesce(F.element_at(F.col("__m"), k), F.lit(0.0)))
+    return j.select("sample", array_to_vector(dense).alias("features"))
 
 
 def pair_samples(dict_a: DataFrame, dict_b: DataFrame) -> DataFrame:

@@ -287,3 +287,12 @@ def q_align(spark, sf):
     j = per.join(md, per["sample"] == md["Run"], "inner").select("sample", "Disease", "target", "n_features")
     # attach the one-row report through a constant key (a single-row broadcast)
     return j.withColumn("__k", F.lit(1)).join(F.broadcast(missing.withColumn("__k", F.lit(1))), "__k").drop("__k")
+
+
+@register("feature_vectors", "PVT-1")
+def q_feature_vectors(spark, sf):
+    """Scale path of the sample x sequence matrix: one ML vector per sample over the top-N."""
+    long = P.productive(P.sequence_counts(fx.matches(spark, sf)))
+    long = long.withColumn("value", F.col("count").cast("double"))
+    top = P.top_sequences(long, 600)
+    return P.sparse_vectors(P.restrict_to(long, top), top)

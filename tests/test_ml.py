@@ -47,3 +47,15 @@ def test_median_impute_drops_all_null(spark):
     out = ML.median_impute(df, ["a", "b"])
     assert out.columns == ["a"]
     assert sorted(r["a"] for r in out.collect()) == [1.0, 3.0, 3.0, 10.0]
+
+
+def test_feature_vectors_equal_wide_pivot(spark):
+    from repflow.operators import repertoire as P
+
+    long = spark.createDataFrame([("s1", "CA", 2.0), ("s1", "CB", 1.0), ("s2", "CB", 5.0), ("s3", "CC", 1.0)],
+                                 "sample string, sequence string, value double")
+    top = P.top_sequences(long, 2)                       # CB (2 samples), then CA
+    vec = {r["sample"]: r["features"].toArray().tolist() for r in P.sparse_vectors(P.restrict_to(long, top), top).collect()}
+    assert vec == {"s1": [1.0, 2.0], "s2": [5.0, 0.0]}
+    wide = {r["sample"]: [r["CB"], r["CA"]] for r in P.pivot_matrix(P.restrict_to(long, top), ["CB", "CA"]).collect()}
+    assert wide == vec

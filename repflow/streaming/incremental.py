@@ -18,15 +18,29 @@ from repflow.sinks.files import output_name
 
 def match_stream(spark: SparkSession, input_dir: str, patterns: DataFrame, output_dir: str,
                  checkpoint_dir: str, schema, pattern_col: str = "CDR3.aa", seq_col: str = "sequence",
-                 id_col: str = "read_id", max_files_per_trigger: int = 64) -> None:
-    """Run one ``availableNow`` pass over the files not yet in the checkpoint."""
+                 id_col: str = "read_id", max_files_per_trigger: int = 64, mode: str = "bulk",
+                 umi_col: str = "UMI", cb_col: str = "CB") -> None:
+    """Run one ``availableNow`` pass over the files not yet in the checkpoint.
+
+    ``mode="bulk"`` writes ``read_id, CDR3_match[, count]``; ``mode="singlecell"``
+    writes ``<id>, CDR3_match, <umi>, <cb>`` (the id keeps its input name).
+    """
     index = seq.index_patterns(patterns, pattern_col)          # static, broadcast side
     reads = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
              .parquet(input_dir).withColumn("source_file", F.col("_metadata.file_name")))
-    fr = seq.frames(reads, seq_col, keep=[id_col, "count", "source_file"])
-    hits = seq.find_occurrences(fr, index)
-    out = hits.select(seq._frame_id(id_col).alias("read_id"), "CDR3_match", "count",
-                      output_name(F.col("source_file")).alias("output"))
+    if mode == "bulk":
+        carry = [c for c in ("count",) if c in schema.fieldNames()]
+        fr = seq.frames(reads, seq_col, keep=[id_col, *carry, "source_file"])
+        hits = seq.find_occurrences(fr, index)
+        out = hits.select(seq._frame_id(id_col).alias("read_id"), "CDR3_match", *carry,
+                          output_name(F.col("source_file")).alias("output"))
+    elif mode == "singlecell":
+        fr = seq.frames(reads, seq_col, keep=[id_col, umi_col, cb_col, "source_file"])
+        hits = seq.find_occurrences(fr, index)
+        out = hits.select(seq._frame_id(id_col).alias(id_col), "CDR3_match", umi_col, cb_col,
+                          output_name(F.col("source_file")).alias("output"))
+    else:
+        raise ValueError("mode must be 'bulk' or 'singlecell'")
     q = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir)
          .option("path", output_dir).partitionBy("output").outputMode("append")
          .trigger(availableNow=True).start())

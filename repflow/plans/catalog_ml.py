@@ -260,8 +260,11 @@ def q_anova(spark, sf):
 def _train_test(spark, sf):
     from repflow.operators import models as MD
 
-    e = MD.with_vector(ML.stratified_split(_emb(spark, sf), "label", "vec_id"))
-    return MD.scale_vectors(e.where("split = 'train'"), e.where("split = 'test'"))
+    from repflow.plans.partitioning import materialize
+
+    e = materialize(MD.with_vector(ML.stratified_split(_emb(spark, sf), "label", "vec_id")))
+    train, test = MD.scale_vectors(e.where("split = 'train'"), e.where("split = 'test'"))
+    return materialize(train), materialize(test)      # read by every (one-vs-rest) fit
 
 
 @register("model_comparison", "ML-13 ML-14 ML-15 ML-16 ML-22 ML-26 SRT-1")
@@ -277,7 +280,9 @@ def q_models(spark, sf):
 def q_cv(spark, sf):
     from repflow.operators import models as MD
 
-    e = MD.with_vector(MD.stratified_folds(_emb(spark, sf), "label", "vec_id"))
+    from repflow.plans.partitioning import materialize
+
+    e = materialize(MD.with_vector(MD.stratified_folds(_emb(spark, sf), "label", "vec_id")))
     rf = MD.RandomForestClassifier(featuresCol="features", labelCol="label", seed=MD.SEED)
     maps = MD.random_search_maps(MD.rf_grid(rf), 8)
     cvm = MD.cross_validate(rf, e, maps)
@@ -434,3 +439,42 @@ def q_knn_clusters(spark, sf):
 
     edges = materialize(NB.knn(_vec(spark, sf), 10))
     return NB.label_propagation(edges, _LP_ROUNDS)
+
+
+@register("cohort_model_v2", "ML-27 ML-9 ML-5 ML-8 ML-18 ML-19 ML-20 ML-22")
+def q_model_v2(spark, sf):
+    """The v2 order without leakage: split -> scale (train stats) -> SMOTE (train only)
+    -> MI top-k (train only) -> CV-tuned forest + logistic -> soft vote -> holdout metrics."""
+    from pyspark.ml.functions import array_to_vector
+    from repflow.operators import models as MD
+    from repflow.operators import neighbors as NB
+
+    e = ML.stratified_split(_emb(spark, sf), "label", "vec_id")
+    long = ML.long_features(e, "vec_id", "embedding").join(e.select("vec_id", "split", "label"), "vec_id")
+    z = ML.standardise(long)
+    rows = z.groupBy("vec_id", "split", "label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("feature", "z"))), lambda s: s["z"]).alias("vec"))
+    train = rows.where("split = 'train'").select(F.col("vec_id").alias("id"), "vec", "label")
+    test = rows.where("split = 'test'").select(F.col("vec_id").alias("id"), "vec", "label")
+    res = NB.smote(train, "label", 5)
+    # synthetic rows get positive ids of their own (deterministic)
+    res = res.withColumn("id", F.when(F.col("id") == -1, F.col("source_id") * 1000003 + F.col("j") + 1000000000)
+                         .otherwise(F.col("id")))
+    from repflow.plans.partitioning import materialize
+    res = materialize(res)           # every CV fit reads it: cut the kNN/SMOTE lineage once
+    width = len(e.select("embedding").first()[0])
+    mi = ML.mutual_information(ML.long_features(res, "id", "vec"), res, "id", "label")
+    keep = sorted(r["feature"] for r in ML.select_top_k(mi, "mi", min(300, width)).collect())   # <= 300 indices
+
+    def features(df):
+        return df.withColumn("features", array_to_vector(F.array(*[F.col("vec")[i] for i in keep])))
+
+    tr = materialize(MD.stratified_folds(features(res), "label", "id"))
+    te = materialize(features(test))
+    rf = MD.RandomForestClassifier(featuresCol="features", labelCol="label", seed=MD.SEED)
+    maps = MD.random_search_maps(MD.ParamGridBuilder().addGrid(rf.numTrees, [20, 50])
+                                 .addGrid(rf.maxDepth, [4, 8]).build(), 2)
+    best_rf = MD.cross_validate(rf, tr, maps).bestModel
+    lr = MD.LogisticRegression(featuresCol="features", labelCol="label", maxIter=50, regParam=0.01).fit(tr)
+    voted = MD.soft_vote_models({"rf": best_rf, "lr": lr}, te, 10)
+    return MD.evaluate(voted)

@@ -87,3 +87,13 @@ def test_save_model(spark, tmp_path):
     m = StringIndexer(inputCol="s", outputCol="i").fit(spark.createDataFrame([("a",), ("b",)], "s string"))
     SK.save_model(m, str(tmp_path / "model"))
     assert StringIndexerModel.load(str(tmp_path / "model")).labels == ["a", "b"]
+
+
+def test_run_report_flags_empty_or_unreadable(spark):
+    inputs = spark.createDataFrame([("a.parquet",), ("b.parquet",), ("c.parquet",)], "name string")
+    reads = spark.createDataFrame([("a.parquet",), ("a.parquet",), ("b.parquet",)], "source_file string")
+    matches = spark.createDataFrame([("a.parquet",)], "source_file string")
+    rep = {r["source_file"]: (r["n_reads"], r["n_matches"], r["status"])
+           for r in SK.run_report(inputs, reads, matches).collect()}
+    assert rep == {"a.parquet": (2, 1, "analysed"), "b.parquet": (1, 0, "analysed"),
+                   "c.parquet": (0, 0, "empty_or_unreadable")}

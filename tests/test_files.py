@@ -97,3 +97,33 @@ def test_run_report_flags_empty_or_unreadable(spark):
            for r in SK.run_report(inputs, reads, matches).collect()}
     assert rep == {"a.parquet": (2, 1, "analysed"), "b.parquet": (1, 0, "analysed"),
                    "c.parquet": (0, 0, "empty_or_unreadable")}
+
+
+def test_scan_with_source_mixed_count_and_required_columns(spark, tmp_path):
+    d = str(tmp_path / "reads")
+    spark.createDataFrame([("ACGT", "r1", 3)], "sequence string, read_id string, count bigint") \
+        .coalesce(1).write.mode("append").parquet(d)
+    spark.createDataFrame([("TTTT", "r2")], "sequence string, read_id string").coalesce(1).write.mode("append").parquet(d)
+    df = SRC.scan_with_source(spark, d, ["sequence", "read_id", "count"])
+    rows = sorted((r["read_id"], r["count"]) for r in df.collect())
+    assert rows == [("r1", 3), ("r2", None)]
+    assert all(r["source_file"].endswith(".parquet") for r in df.collect())
+    with pytest.raises(ValueError, match="available"):
+        SRC.scan_with_source(spark, d, ["sequence", "missing_col"])
+
+
+def test_read_run_table(spark, tmp_path):
+    p = tmp_path / "runs.csv"
+    p.write_text("Sample Name,Experiment,Run,Other\nGSM1,SRX1,SRR1,x\n")
+    r = SRC.read_run_table(spark, str(p), "blood").collect()[0].asDict()
+    assert r == {"GSM_ID_blood": "GSM1", "Experiment_blood": "SRX1", "Run_blood": "SRR1"}
+
+
+def test_series_matrix_many_files_one_job(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"s{i}.txt").write_text(
+            f"!Sample_title\t\"P{i}0 x\"\t\"P{i}1 y\"\n!Sample_geo_accession\t\"GSM{i}0\"\t\"GSM{i}1\"\n"
+            "!series_matrix_table_begin\n")
+    out = SRC.parse_series_matrix(spark, str(tmp_path / "s*.txt"))
+    assert sorted(r["GSM_ID"] for r in out.collect()) == ["GSM00", "GSM01", "GSM10", "GSM11", "GSM20", "GSM21"]
+    assert sorted(r["patient_id"] for r in out.collect())[:2] == ["00", "01"]

@@ -83,3 +83,18 @@ def test_empty_pattern_db_gives_typed_empty_result(spark):
     p = spark.createDataFrame([], "`CDR3.aa` string")
     out = seq.match_bulk(r, p)
     assert out.count() == 0 and out.columns == ["read_id", "CDR3_match", "count"]
+
+
+@pytest.mark.parametrize("head_len", [2, 3, 4])
+def test_shuffle_path_and_head_lengths_agree(spark, head_len):
+    rnd = random.Random(23)
+    reads = [(f"r{i}", "".join(rnd.choice("ACGT") for _ in range(rnd.randint(10, 50))), 1) for i in range(80)]
+    prots = [p for _, s, _ in reads for _, _, p in six_frames(s)]
+    pats = sorted({p[i:i + rnd.randint(1, 6)] for p in prots[:120] if p for i in [rnd.randrange(len(p))]})
+    r = spark.createDataFrame(reads, "read_id string, sequence string, count bigint")
+    p = spark.createDataFrame([(x,) for x in pats], "`CDR3.aa` string")
+    idx = seq.index_patterns(p, "CDR3.aa", head_len=head_len, broadcast_max_bytes=0)   # force the shuffle join
+    assert not idx.broadcast_patterns
+    h = seq.find_occurrences(seq.frames(r, keep=["read_id", "count"]), idx)
+    got = sorted(tuple(x) for x in h.select(seq._frame_id("read_id").alias("read_id"), "CDR3_match", "count").collect())
+    assert got == bulk_hits(reads, pats)

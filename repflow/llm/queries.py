@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from repflow.llm.dedup import exact_dedup
+from repflow.llm.mixing import mix_sources
 from repflow.llm.tables import table
 
 QUERIES: dict = {}
@@ -28,3 +29,30 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256 FROM d""")
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query(r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+  s AS (SELECT source, sum(size)::BIGINT AS source_size,
+    [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT]::BIGINT AS weight FROM d GROUP BY source),
+  t AS (SELECT sum(source_size)::BIGINT AS total FROM s),
+  o AS (SELECT *, coalesce(sum(3 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS held,
+    sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS free FROM s, t
+    WINDOW w AS (ORDER BY source_size / weight, source NULLS LAST)),
+  c AS (SELECT *, bool_and(weight * (total - held) > 3 * source_size * free) OVER (ORDER BY source_size / weight, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS clamped FROM o),
+  f AS (SELECT coalesce(sum(3 * source_size) FILTER (clamped), 0)::BIGINT AS held, sum(weight) FILTER (NOT clamped)::BIGINT AS free FROM c),
+  p AS (SELECT source, source_size, CASE WHEN clamped THEN (3 * source_size)::DOUBLE
+    ELSE (weight * (total - f.held))::DOUBLE / f.free::DOUBLE END AS target FROM c, f),
+  g AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END::BIGINT AS whole FROM p),
+  k AS (SELECT *, target - whole * source_size AS gap FROM g),
+  r AS (SELECT d.*, k.* EXCLUDE (source), sum(d.size) OVER (PARTITION BY d.source ORDER BY h, doc_id NULLS FIRST) AS upto
+    FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source),
+  m AS (SELECT *, gap - coalesce(max(CASE WHEN upto <= gap THEN upto END) OVER (PARTITION BY source), 0)::DOUBLE AS missing FROM r),
+  n AS (SELECT *, row_number() OVER (PARTITION BY source, upto > gap AND abs(size - missing) < missing ORDER BY abs(size - missing), h, doc_id NULLS FIRST) AS nth FROM m)
+SELECT doc_id, size, source_size, target,
+  (size * (whole + CASE WHEN gap > 0 AND (upto <= gap OR (abs(size - missing) < missing AND nth = 1)) THEN 1 ELSE 0 END))::BIGINT AS taken,
+  (whole + CASE WHEN gap > 0 AND (upto <= gap OR (abs(size - missing) < missing AND nth = 1)) THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM n""")
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))

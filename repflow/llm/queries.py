@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from repflow.llm.dedup import exact_dedup
+from repflow.llm.langid import identify
 from repflow.llm.mixing import mix_sources
-from repflow.llm.tables import table
+from repflow.llm.tables import crc_mod, table
+from repflow.llm.toxicity import score_documents
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +59,13 @@ SELECT doc_id, size, source_size, target,
 FROM n""")
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 3) == 1)
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) == 0)

@@ -75,11 +75,11 @@ def segment_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(np.add.reduceat(v, first) ^ (length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
-def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(starts, ends, first)``: word bounds, and per document the index of its first word (n + 1 entries)."""
+def words(buf: np.ndarray, offsets: np.ndarray, solid_bytes: np.ndarray = ~SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(starts, ends, first)``: bounds of the runs of ``solid_bytes``, and per document the index of its first (n + 1 entries)."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = ~SPACE[buf]
+    solid = solid_bytes[buf]
     edge = np.zeros(len(buf) + 1, dtype=bool)
     edge[offsets] = True                     # documents never share a word
     before = np.concatenate([[False], solid[:-1]])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from repflow.llm.dedup import exact_dedup
 from repflow.llm.langid import identify
 from repflow.llm.mixing import mix_sources
+from repflow.llm.packing import pack
 from repflow.llm.tables import crc_mod, table
 from repflow.llm.toxicity import score_documents
 
@@ -69,3 +70,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) == 0)
+
+
+@query()
+def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))

@@ -2,8 +2,8 @@
 
 1. Token log-odds (by texts that hold the token) of toxic against clean text with an informative Dirichlet
    prior (the pooled token distribution), learnt from a bounded sample of
-   labelled rows; a token counts when its log-odds lie ``min_z`` standard errors
-   from 0.  Every token also costs ``drift``, so clean text has a negative mean.
+   labelled rows; a token counts when its likelihood ratio against equal shares
+   reaches ``min_g2``.  Every token also costs ``drift``, so clean text has a negative mean.
 2. One linear scan per text finds all maximal scoring segments (each is the
    best of any stretch that holds it); only tokens with a positive score are
    visited one by one.
@@ -55,7 +55,7 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
         label_id: str = "doc_id", label_col: str = "toxic", max_rows: int = 20_000, drift: float = 0.25,
-        min_z: float = 5.0, max_e: float = 0.05, seed: int = 5) -> dict:
+        min_g2: float = 25.0, max_e: float = 0.05, seed: int = 5) -> dict:
     """Model from at most about ``max_rows`` labelled rows (seeded sample by id; whole texts).
 
     ``learn`` is a condition on the label rows.  Several labels of one id: the largest counts.
@@ -95,9 +95,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
         return model
     q = (F.col("n1") + F.col("n0")) / F.lit(n1 + n0) * F.lit(n1)          # prior counts: as many as toxic tokens
     odds = F.log((F.col("n1") + q) / F.lit(2 * n1)) - F.log((F.col("n0") + q) / F.lit(n0 + n1))
-    se = F.sqrt(1 / (F.col("n1") + q) + 1 / (F.col("n0") + q))
-    rows = counts.select("token", odds.alias("odds"), se.alias("se"), ((F.col("n0") + q) / F.lit(n0 + n1)).alias("p0")).where(F.abs(F.col("odds")) > min_z * F.col("se")) \
-        .orderBy("token").collect()                                      # bounded by the sample's vocabulary
+    half = lambda n, e: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / e)).otherwise(F.lit(0.0))
+    g2 = 2 * (half("n1", q) + half("n0", F.col("n1") + F.col("n0") - q))     # likelihood ratio against equal shares
+    rows = counts.select("token", odds.alias("odds"), g2.alias("g2"), ((F.col("n0") + q) / F.lit(n0 + n1)).alias("p0")) \
+        .where(F.col("g2") >= min_g2).orderBy("token").collect()         # bounded by the sample's vocabulary
     token = np.array([r["token"] for r in rows], np.int64).view(np.uint64)
     order = np.argsort(token)
     model["token"] = token[order]

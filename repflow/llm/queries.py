@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repflow.llm.ann import nearest
 from repflow.llm.dedup import exact_dedup
 from repflow.llm.langid import identify
 from repflow.llm.mixing import mix_sources
 from repflow.llm.packing import pack
 from repflow.llm.tables import crc_mod, table
+from repflow.llm.tokenbin import token_shards
 from repflow.llm.toxicity import score_documents
 
 QUERIES: dict = {}
@@ -75,3 +77,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=100)

@@ -140,22 +140,22 @@ def nearest(vectors: DataFrame, every: int, k: int = 10, m: int = 8, confidence:
     base = each.select("dim", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"), "id", "v",
                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     ask = each.where(F.col("id") % every == 0).select(
-        "dim", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v",
-        F.pmod(F.xxhash64("id", F.lit(1)), "parts").cast("int").alias("part"))
+        F.col("dim").alias("qdim"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("qblock"),
+        F.col("id").alias("qid"), F.col("v").alias("qv"), F.pmod(F.xxhash64("id", F.lit(1)), "parts").cast("int").alias("qpart"))
     quantile = chi2_quantile(confidence, m)
 
     def search(b: pa.Table, q: pa.Table) -> pa.Table:
         if not len(b) or not len(q):
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        def matrix(t):
-            flat = pa.concat_arrays([c.flatten() for c in t["v"].chunks])
-            return flat.to_numpy(zero_copy_only=False).reshape(len(t), -1)
 
-        qid, vid, dist = search_block(b["id"].to_numpy(), matrix(b), q["id"].to_numpy(), matrix(q), k, m, quantile, seed)
+        def matrix(column):
+            flat = pa.concat_arrays([c.flatten() for c in column.chunks])
+            return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+        qid, vid, dist = search_block(b["id"].to_numpy(), matrix(b["v"]), q["qid"].to_numpy(), matrix(q["qv"]), k, m, quantile, seed)
         return pa.table({"query_id": qid, "vec_id": vid, "score": dist})
 
-    keys = ["dim", "block", "part"]
-    found = base.groupBy(*keys).cogroup(ask.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = base.groupBy("dim", "block", "part").cogroup(ask.groupBy("qdim", "qblock", "qpart")).applyInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     found = found.dropDuplicates(["query_id", "vec_id", "score"])
     return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k) \

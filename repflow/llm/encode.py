@@ -1,8 +1,8 @@
 """Token ids of whole texts, batch by batch.
 
 A text is cut where both tokenizers always start a new piece: before a space
-that a printable ASCII character follows, and before a line feed between two
-such characters.  The ids of a stretch between two cuts then do not depend
+that a printable ASCII character follows, before a line feed between two
+such characters, and between a letter and one of ``,.;:!?``.  The ids of a stretch between two cuts then do not depend
 on its neighbours, so each distinct stretch is given to the tokenizers library
 once per worker and the ids of a batch are gathered with numpy.  Stretches are
 told apart by a 64-bit hash.
@@ -18,6 +18,12 @@ from repflow.llm.textkernel import segment_hash
 
 PRINTABLE = np.zeros(256, dtype=bool)
 PRINTABLE[0x21:0x7F] = True
+LETTER = np.zeros(256, dtype=bool)
+LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = True
+STOPS = np.zeros(256, dtype=bool)
+STOPS[list(b",.;:!?")] = True
+BETWEEN = " |"                       # one id of its own between two stretches that start with white space
+JOINED = 1000
 MAX_CACHED = 2_000_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -27,13 +33,22 @@ def stretches(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     printable = PRINTABLE[buf]
     follows = np.concatenate([printable[1:], [False]])
     before = np.concatenate([[False], printable[:-1]])
+    letter_before = np.concatenate([[False], LETTER[buf[:-1]]])
     cut = follows & ((buf == 32) | ((buf == 10) & before))
     edges = offsets[1:-1]
     cut[np.maximum(edges - 1, 0)[edges > 0]] = False     # a text's last byte has no follower
+    cut |= STOPS[buf] & letter_before
     cut[offsets[:-1][offsets[:-1] < len(buf)]] = True
     return np.flatnonzero(cut)
 
 
+def _plain(p: bytes) -> bool:
+    """One space or line feed, then one word without white space at its end, separator or special token."""
+    if p[0] not in b" \n" or p.count(b" ") + p.count(b"\n") != 1 or b"|" in p or b"<" in p:
+        return False
+    return 0x20 < p[-1] < 0x7F or p.decode("utf-8", "replace")[-1].isalpha()
+
+
 class Encoder:
     """Ids by the tokenizers library, with a bounded table of stretches already seen."""
 
@@ -42,6 +57,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        between = self._ids([BETWEEN])[0]
+        self.between = between[0] if len(between) == 1 else None
         self._reset()
 
     def _reset(self):
@@ -49,6 +66,26 @@ class Encoder:
         self.new = (self.keys, self.at, self.n)
         self.ids = np.zeros(0, np.uint32)
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _fresh(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(id counts, flat ids)`` of new stretches; plain words are handed over many at a time."""
+        got: list = [None] * len(parts)
+        plain = [i for i, p in enumerate(parts) if _plain(p)] if self.between is not None else []
+        groups = [plain[k:k + JOINED] for k in range(0, len(plain), JOINED)]
+        joined = [(BETWEEN.encode().join(parts[i] for i in g)).decode("utf-8", "replace") for g in groups]
+        for g, ids in zip(groups, self._ids(joined)):
+            ids = np.array(ids, np.uint32)
+            at = np.flatnonzero(ids == self.between)
+            if len(at) == len(g) - 1:
+                for i, a, b in zip(g, np.append(0, at + 1).tolist(), np.append(at, len(ids)).tolist()):
+                    got[i] = ids[a:b]
+        rest = [i for i, x in enumerate(got) if x is None]
+        for i, ids in zip(rest, self._ids([parts[i].decode("utf-8", "replace") for i in rest])):
+            got[i] = np.array(ids, np.uint32)
+        return np.fromiter(map(len, got), np.int64, len(got)), np.concatenate(got)
+
     def _find(self, u: np.ndarray):
         at, n, known = np.zeros(len(u), np.int64), np.zeros(len(u), np.int64), np.zeros(len(u), bool)
         for keys, a, m in ((self.keys, self.at, self.n), self.new):
@@ -72,12 +109,9 @@ class Encoder:
         fresh = np.flatnonzero(~known)
         if len(fresh):
             raw = buf.tobytes()
-            got = self.tokenizer.encode_batch_fast(
-                [raw[starts[i]:ends[i]].decode("utf-8", "replace") for i in one[fresh]], add_special_tokens=False)
-            got = [e.ids for e in got]
-            m = np.fromiter(map(len, got), np.int64, len(got))
+            m, flat = self._fresh([raw[s:e] for s, e in zip(starts[one[fresh]].tolist(), ends[one[fresh]].tolist())])
             a = len(self.ids) + np.concatenate([[0], np.cumsum(m)[:-1]])
-            self.ids = np.concatenate([self.ids, np.fromiter((x for g in got for x in g), np.uint32, int(m.sum()))])
+            self.ids = np.concatenate([self.ids, flat])
             at[fresh], n[fresh] = a, m
             k = np.concatenate([self.new[0], u[fresh]])
             order = np.argsort(k)

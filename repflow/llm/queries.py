@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repflow.llm.ann import nearest
+from repflow.llm.ctw import score_texts
 from repflow.llm.dedup import exact_dedup
 from repflow.llm.langid import identify
 from repflow.llm.mixing import mix_sources
@@ -87,3 +88,8 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), every=100)
+
+
+@query()
+def op9_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)

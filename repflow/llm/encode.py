@@ -14,7 +14,7 @@ import os
 
 import numpy as np
 
-from repflow.llm.textkernel import segment_hash
+from repflow.llm.textkernel import LOWER, segment_hash
 
 PRINTABLE = np.zeros(256, dtype=bool)
 PRINTABLE[0x21:0x7F] = True
@@ -59,6 +59,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         between = self._ids([BETWEEN])[0]
         self.between = between[0] if len(between) == 1 else None
+        # a vocabulary that lower-cases and drops white space gives equal ids to stretches that differ in these alone
+        self.fold = np.arange(256, dtype=np.uint8)
+        if '"type":"Lowercase"' in self.tokenizer.to_str() and self._ids(["\nAbc"]) == self._ids([" abc"]):
+            self.fold = LOWER.copy()
+            self.fold[10] = 32
         self._reset()
 
     def _reset(self):
@@ -101,6 +106,8 @@ class Encoder:
         if not len(buf):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
         starts = stretches(buf, offsets)
+        if self.fold[65] != 65 and not ((buf[:-1] == 60) & (buf[1:] == 124)).any():      # "<|" may begin a special token
+            buf = self.fold[buf]
         ends = np.append(starts[1:], len(buf))
         u, one, inv = np.unique(segment_hash(buf, starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) + len(self.new[0]) > MAX_CACHED:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from repflow.llm.ann import nearest
 from repflow.llm.ctw import score_texts
 from repflow.llm.dedup import exact_dedup
+from repflow.llm.jaccard import jaccard_components
 from repflow.llm.langid import identify
 from repflow.llm.mixing import mix_sources
 from repflow.llm.packing import pack
@@ -93,3 +94,8 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
+@query()
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))

@@ -12,6 +12,7 @@ from repflow.llm.jaccard import jaccard_components
 from repflow.llm.langid import identify
 from repflow.llm.mixing import mix_sources
 from repflow.llm.packing import pack
+from repflow.llm.quality import quality
 from repflow.llm.tables import crc_mod, table
 from repflow.llm.tokenbin import token_shards
 from repflow.llm.toxicity import score_documents
@@ -99,3 +100,9 @@ def op9_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return quality(table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"))

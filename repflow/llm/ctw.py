@@ -14,8 +14,9 @@ along its context by these shares (a context never seen adds nothing).
 
 Counts, model and look-ups are tables spread by key; none is collected or sent to
 every task.  Texts are cut into chunks of bounded size; a chunk asks for the
-distinct words and byte grams it holds and meets exactly those answers again.  Only
-the trees' top (at most 256 x 256 nodes) is broadcast.
+distinct words and byte grams it holds and meets exactly those answers again; a gram
+table of at most ``max_shared`` rows (counted first) goes to all tasks instead.  The
+trees' top (at most 256 x 256 nodes) is broadcast.
 """
 
 from __future__ import annotations
@@ -131,6 +132,12 @@ def subtree(grams: np.ndarray, n: np.ndarray, depth: int, top: int):
     return mixed, (ctx, v, zeros, ones, log_w)
 
 
+def _sorted(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct unsigned keys in order, with their values."""
+    key, one = np.unique(key.view(np.uint64), return_index=True)
+    return key, value[one]
+
+
 def _chunk(df: DataFrame, id_col: str, n_chunks: int) -> Column:
     """Chunk number of a row: ranges of the id (so stored neighbours meet), split further by hash."""
     ranges = min(n_chunks, MAX_RANGES)
@@ -140,7 +147,7 @@ def _chunk(df: DataFrame, id_col: str, n_chunks: int) -> Column:
     return F.coalesce(below, F.lit(0)) * splits + F.pmod(F.xxhash64(id_col), F.lit(splits)).cast("int")
 
 
-def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes: int = 48 << 20, id_col: str = "doc_id",
+def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes: int = 24 << 20, max_shared: int = 2_000_000, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)``, one row per input row.
 
@@ -163,11 +170,14 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes:
         held: dict[int, list] = {}
         names = ["chunk", "kind", "key", "n"]
 
+        def merged(parts, kind):
+            parts = [x for x in parts if x[0] == kind]
+            u, inv = np.unique(np.concatenate([x[1] for x in parts]), return_inverse=True)
+            return kind, u, np.bincount(inv, np.concatenate([x[2] for x in parts]), len(u)).astype(np.int64)
+
         def emit(chunk):
             for kind in (0, 1):
-                part = [x for x in held[chunk] if x[0] == kind]
-                u, inv = np.unique(np.concatenate([x[1] for x in part]), return_inverse=True)
-                n = np.bincount(inv, np.concatenate([x[2] for x in part]), len(u)).astype(np.int64)
+                _, u, n = merged(held[chunk], kind)
                 yield pa.record_batch([pa.array(np.full(len(u), chunk, np.int32)), pa.array(np.full(len(u), kind, np.int8)),
                                        pa.array(u.view(np.int64)), pa.array(n)], names=names)
             del held[chunk]
@@ -176,7 +186,7 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes:
             buf, off = utf8(b.column("text"))
             chunk = b.column("chunk").to_numpy()
             train = ~b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            for i, j in runs(off):
+            for i, j in runs(off, 1 << 20):
                 part, at = buf[off[i]:off[j]], off[i:j + 1] - off[i]
                 starts, ends, first = words(part, at)
                 h = segment_hash(LOWER[part], starts, ends)
@@ -192,7 +202,9 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes:
                         rest = np.setdiff1d(keys[own & ~learn], u)
                         held.setdefault(c, []).extend([(kind, u, n), (kind, rest, np.zeros(len(rest), np.int64))])
                     if sum(len(x[1]) for x in held[c]) > FLUSH:
-                        yield from emit(c)
+                        held[c] = [merged(held[c], kind) for kind in (0, 1)]
+                        if sum(len(x[1]) for x in held[c]) > FLUSH // 2:
+                            yield from emit(c)
             for c in list(held):                  # chunks that lie behind
                 if len(held) > 2 and c not in chunk:
                     yield from emit(c)
@@ -257,23 +269,24 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes:
             yield pa.record_batch([b.column("key"), pa.array(np.log10(q).sum(1))], names=["key", "value"])
 
     price_list = weighed.where("key IS NOT NULL").select("key", "q").mapInArrow(price, "key long, value double")
-    gram_rows = asked.where("kind = 1").select("chunk", "key").join(price_list, "key")
-    answers = word_rows.select(F.col("chunk").alias("c"), F.lit(0).cast("tinyint").alias("kind"), "key", "value").unionByName(
-        gram_rows.select(F.col("chunk").alias("c"), F.lit(1).cast("tinyint").alias("kind"), "key", "value"))
+    answers = word_rows.select(F.col("chunk").alias("c"), F.lit(0).cast("tinyint").alias("kind"), "key", "value")
+    whole = None
+    if weighed.where("key IS NOT NULL").count() <= max_shared:           # a table of that size goes to every task at once
+        t = price_list.toArrow()
+        whole = docs.sparkSession.sparkContext.broadcast(_sorted(t["key"].to_numpy(), t["value"].to_numpy()))
+    else:                                                                # otherwise every chunk meets the grams it asked for
+        gram_rows = asked.where("kind = 1").select("chunk", "key").join(price_list, "key")
+        answers = answers.unionByName(gram_rows.select(F.col("chunk").alias("c"), F.lit(1).cast("tinyint").alias("kind"), "key", "value"))
     smooth = float(np.log10(n_train + vocab + 1))
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
 
     def answer(t: pa.Table, a: pa.Table) -> pa.Table:
-        kind, key, value = a["kind"].to_numpy(), a["key"].to_numpy().view(np.uint64), a["value"].to_numpy()
-        tables = []
-        for k in (0, 1):
-            kk, vv = key[kind == k], value[kind == k]
-            kk, one = np.unique(kk, return_index=True)
-            tables.append((kk, vv[one]))
-        (wk, wc), (gk, gp) = tables
+        kind, key, value = a["kind"].to_numpy(), a["key"].to_numpy(), a["value"].to_numpy()
+        wk, wc = _sorted(key[kind == 0], value[kind == 0])
+        gk, gp = whole.value if whole is not None else _sorted(key[kind == 1], value[kind == 1])
         buf, off = utf8(t["text"])
         cols: list[list] = [[], [], [], [], []]
-        for i, j in runs(off):
+        for i, j in runs(off, 1 << 20):
             part, at = buf[off[i]:off[j]], off[i:j + 1] - off[i]
             starts, ends, first = words(part, at)
             u, inv = np.unique(segment_hash(LOWER[part], starts, ends), return_inverse=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from repflow.llm.ann import nearest
 from repflow.llm.ctw import score_texts
 from repflow.llm.dedup import exact_dedup
@@ -106,3 +107,8 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     return quality(table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"))
+
+
+@query()
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -6,11 +6,11 @@ Tokens are the distinct ``k``-word shingles of a text.  Sets with
 
 1. Every text becomes its set's size and digest.  Equal sets are one class from here on.
    The same scan counts very frequent tokens (lossy counts: a token in ``heavy_share`` of the texts is surely found).
-2. Common order: a fixed part of the token universe by growing frequency in
-   the classes, then the rest, then the heavy tokens.  Tokens are dealt by hash,
+2. Common order: by growing frequency in the classes, the heavy tokens last.  Tokens are dealt by hash,
    packed, to buckets of bounded size that find those shared by two or more
    classes; a class whose unshared tokens alone exceed the allowed
    difference has no partner and drops out.  The others keep their extended prefixes.
+   Unshared tokens also bound the overlap of a pair.
 3. Within each token's list the members are verified against the list's most
    central one; verified links give first components.  Only pairs that
    could still join two components are candidates from then on.
@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from repflow.llm.tables import n_slices, stored
 from repflow.llm.textkernel import runs, set_digest, shingle_sets, utf8
 
-ORDERED = 0.36                         # part of the token universe that is ordered by frequency
 TOKENS_PER_BUCKET = 2_000_000
-FLUSH = 2_000_000
-REST, HEAVY = (1 << 30), (1 << 31) - 1
+FLUSH, FLUSH_TEXTS = 2_000_000, 60_000
+HEAVY = (1 << 31) - 1
+PAIRS_PER_BLOCK, BYTES_PER_SIDE = 20_000, 32 << 20
 
 
 def _digest(s: np.ndarray) -> int:
@@ -65,42 +65,50 @@ def summaries(docs: DataFrame, k: int, heavy_share: float) -> DataFrame:
 
 
 def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buckets: int) -> DataFrame:
-    """``(token, heavy, d, n, alone)``: extended prefixes, in the common order, of the classes that may have a partner."""
+    """``(token, d, n, most, central)``: extended prefixes, in the common order, of the classes that may have a partner.
+
+    ``most`` is the number of a set's tokens that another class may share.  Tokens are
+    told apart by 48 bits here; texts are verified on their own sets later.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(heavy)
-    limit = np.uint64(int(ORDERED * 2 ** 64))
 
     def deal(batches):
         often = shared.value
         held: list = []
-        seen: dict[int, tuple[int, int, int]] = {}
+        seen: dict[int, tuple[int, int]] = {}
 
         def emit():
             ds = np.fromiter(seen, np.int64, len(seen))
-            facts = np.array(list(seen.values()), np.int64).reshape(-1, 3)
-            token, doc, part = (np.concatenate([x[c] for x in held]) if held else np.zeros(0, t)
-                                for c, t in ((0, np.uint64), (1, np.int64), (2, np.uint8)))
-            at = (token % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((token, at))
-            token, doc, part, at = token[order], doc[order], part[order], at[order]
-            cuts = np.searchsorted(at, np.arange(buckets + 1))
-            full = np.flatnonzero(np.diff(cuts))
+            facts = np.array(list(seen.values()), np.int64).reshape(-1, 2)
             cols: list[list] = [[], [], [], [], []]
-            for x in full.tolist():
-                s = slice(cuts[x], cuts[x + 1])
-                own, local = np.unique(doc[s], return_inverse=True)
-                for c, v in zip(cols, (x, token[s].tobytes(), local.astype("<u4").tobytes(), part[s].tobytes(), ds[own].tobytes())):
-                    c.append(v)
+            for heavy_part in (0, 1):
+                own = [x for x in held if x[2] == heavy_part and len(x[0])]
+                if not own:
+                    continue
+                token = np.concatenate([x[0] for x in own])
+                doc = np.repeat([x[1] for x in own], [len(x[0]) for x in own])
+                at = (token % np.uint64(buckets)).astype(np.int64)
+                order = np.lexsort((token, at))
+                token, doc, at = token[order], doc[order], at[order]
+                cuts = np.searchsorted(at, np.arange(buckets + 1))
+                for x in np.flatnonzero(np.diff(cuts)).tolist():
+                    part = slice(cuts[x], cuts[x + 1])
+                    names, local = np.unique(doc[part], return_inverse=True)
+                    # six byte planes: the high ones of sorted tokens compress well
+                    planes = np.ascontiguousarray(token[part].view(np.uint8).reshape(-1, 8)[:, :6].T)
+                    for c, v in zip(cols, (x, heavy_part, planes.tobytes(), local.astype("<u2").tobytes(), ds[names].tobytes())):
+                        c.append(v)
             # the classes' own facts travel with the buckets too
             to = (ds.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
             for x in np.unique(to).tolist():
                 rows = np.flatnonzero(to == x)
-                for c, v in zip(cols, (x, facts[rows].tobytes(), b"", b"", ds[rows].tobytes())):
+                for c, v in zip(cols, (x, 2, facts[rows].tobytes(), b"", ds[rows].tobytes())):
                     c.append(v)
             held.clear()
             seen.clear()
-            return pa.record_batch([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]],
-                                   names=["bucket", "token", "doc", "part", "ds"])
+            return pa.record_batch([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32())] + [
+                pa.array(c, pa.binary()) for c in cols[2:]], names=["bucket", "kind", "token", "doc", "ds"])
 
         size = 0
         for b in batches:
@@ -112,33 +120,30 @@ def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buck
                         continue
                     need = int(len(s) * differ) + 2
                     common = np.isin(s, often) if len(often) else np.zeros(len(s), bool)
-                    plain = s[~common]
-                    n_first = int(np.searchsorted(plain, limit))
-                    take = [plain[:n_first]]
-                    if n_first < need:
-                        take.append(plain[n_first:need])
-                        take.append(s[common][:max(0, need - len(plain))])
-                    held.append((np.concatenate(take), np.full(sum(map(len, take)), len(seen)),
-                                 np.repeat(np.arange(len(take), dtype=np.uint8), [len(x) for x in take])))
-                    seen[d] = (len(s), n_first, 0)
-                    size += len(held[-1][0])
-                if size > FLUSH:
-                    yield emit()
-                    size = 0
+                    plain = s[~common] >> np.uint64(16)
+                    held.append((plain, len(seen), 0))
+                    held.append((s[common][:max(0, need - len(plain))] >> np.uint64(16), len(seen), 1))
+                    seen[d] = (len(s), len(plain))
+                    size += len(plain)
+                    if size > FLUSH or len(seen) >= FLUSH_TEXTS:
+                        yield emit()
+                        size = 0
         if seen:
             yield emit()
 
     def share(t: pa.Table) -> pa.Table:
         token, own, part, facts = [], [], [], {}
-        for tk, dc, pt, ds in zip(*(t[c].to_pylist() for c in ("token", "doc", "part", "ds"))):
+        for kind, tk, dc, ds in zip(*(t[c].to_pylist() for c in ("kind", "token", "doc", "ds"))):
             ds = np.frombuffer(ds, np.int64)
-            if dc:
-                token.append(np.frombuffer(tk, np.uint64))
-                own.append(ds[np.frombuffer(dc, "<u4")])
-                part.append(np.frombuffer(pt, np.uint8))
-            else:
-                for d, (n, a, _) in zip(ds.tolist(), np.frombuffer(tk, np.int64).reshape(-1, 3).tolist()):
-                    facts[d] = (n, a)
+            if kind == 2:
+                facts.update(zip(ds.tolist(), np.frombuffer(tk, np.int64).reshape(-1, 2).tolist()))
+                continue
+            planes = np.frombuffer(tk, np.uint8).reshape(6, -1)
+            wide = np.zeros((planes.shape[1], 8), np.uint8)
+            wide[:, :6] = planes.T
+            token.append(wide.view(np.uint64).ravel())
+            own.append(ds[np.frombuffer(dc, "<u2")])
+            part.append(np.full(len(token[-1]), kind, np.uint8))
         token, own, part = (np.concatenate(x) if x else np.zeros(0, ty) for x, ty in
                             ((token, np.uint64), (own, np.int64), (part, np.uint8)))
         order = np.lexsort((own, token))
@@ -147,16 +152,15 @@ def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buck
         token, own, part = token[new], own[new], part[new]
         _, inv, count = np.unique(token, return_inverse=True, return_counts=True)
         df = count[inv] if len(token) else np.zeros(0, np.int64)
-        keep = (df >= 2) | (part == 2)
-        rank = np.where(part == 0, df, np.where(part == 1, REST, HEAVY))[keep]
+        keep = (df >= 2) | (part == 1)
         m = len(facts)
         return pa.table({
             "d": np.concatenate([own[keep], np.fromiter(facts, np.int64, m)]),
             "token": np.concatenate([token[keep].view(np.int64), np.array([x[0] for x in facts.values()], np.int64)]),
-            "rank": np.concatenate([rank.astype(np.int64), np.full(m, -1, np.int64)]),
+            "rank": np.concatenate([np.where(part == 1, HEAVY, df)[keep].astype(np.int64), np.full(m, -1, np.int64)]),
             "first": np.concatenate([np.zeros(int(keep.sum()), np.int64), np.array([x[1] for x in facts.values()], np.int64)])})
 
-    dealt = docs.select("text").mapInArrow(deal, "bucket int, token binary, doc binary, part binary, ds binary")
+    dealt = docs.select("text").mapInArrow(deal, "bucket int, kind int, token binary, doc binary, ds binary")
     rows = dealt.groupBy("bucket").applyInArrow(share, "d long, token long, rank long, first long")
 
     def choose(t: pa.Table) -> pa.Table:
@@ -168,7 +172,7 @@ def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buck
         # every class has one row of facts (rank -1, first in its group; a second one says the same)
         fact = rank < 0
         n, a = token[start], first[start]
-        ordered = ~fact & (rank < REST)
+        ordered = ~fact & (rank < HEAVY)
         sums = np.concatenate([[0], np.cumsum(ordered)])
         in_order = sums[np.append(start[1:], len(d))] - sums[start]
         alone = a - in_order                                    # ordered tokens that no other class has
@@ -176,14 +180,17 @@ def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buck
         place = sums[:-1] - sums[start][group]                  # place among the class's shared ordered tokens
         keep = ~fact & (alone <= allowed)[group] & (~ordered | (place < (allowed + 2 - alone)[group]))
         g = group[keep]
-        return pa.table({"token": token[keep], "heavy": rank[keep] == HEAVY, "d": d[keep], "n": n[g], "alone": alone[g]})
+        # how many classes hold a set's tokens, on average (a heavy token counts as many)
+        held = np.bincount(group, np.where(ordered, rank, 0), len(start)) + (n - a) * 1e6
+        return pa.table({"token": token[keep], "d": d[keep], "n": n[g], "most": n[g] - alone[g], "central": (held / n)[g]})
 
     return rows.withColumn("to", F.pmod("d", F.lit(buckets))).groupBy("to").applyInArrow(
-        lambda t: choose(t), "token long, heavy boolean, d long, n long, alone long")
+        choose, "token long, d long, n long, most long, central double")
 
 
-def _fits(a: Column, b: Column, per_cent: int) -> Column:
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * per_cent)
+def _fits(na: Column, ma: Column, nb: Column, mb: Column, per_cent: int) -> Column:
+    """Whether sets of sizes ``n`` with at most ``m`` shareable tokens can link (implies the size filter)."""
+    return F.least(ma, mb) * (100 + per_cent) >= (na + nb) * per_cent
 
 
 def _own_text(rows: DataFrame, k: int) -> DataFrame:
@@ -201,24 +208,32 @@ def _own_text(rows: DataFrame, k: int) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, per_cent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose shingle sets link, by the whole texts ``(d, text)``."""
-    both = pairs.join(texts.select(F.col("d").alias("a"), F.col("text").alias("ta")), "a") \
-        .join(texts.select(F.col("d").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    """The stored pairs ``(a, b)`` whose shingle sets link, by the whole texts ``(d, text)``.
 
-    def check(batches):
-        for b in batches:
-            (x, xo), (y, yo) = utf8(b.column("ta")), utf8(b.column("tb"))
-            ok = np.zeros(b.num_rows, bool)
-            for i, j in runs(xo + yo):
-                sx = shingle_sets(x[xo[i]:xo[j]], xo[i:j + 1] - xo[i], k)
-                sy = shingle_sets(y[yo[i]:yo[j]], yo[i:j + 1] - yo[i], k)
-                for r, (p, q) in enumerate(zip(sx, sy), i):
-                    inter = len(np.intersect1d(p, q, assume_unique=True))
-                    ok[r] = 100 * inter >= per_cent * (len(p) + len(q) - inter)
-            keep = np.flatnonzero(ok)
-            yield pa.record_batch([b.column("a").take(pa.array(keep)), b.column("b").take(pa.array(keep))], names=["a", "b"])
-
-    return both.mapInArrow(check, "a long, b long")
+    Pairs are dealt to a grid of blocks by the hashes of both sides; a text travels once to
+    every block that holds a pair of its, and its set is built there once.
+    """
+    n_pairs = pairs.count()
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    side = max(1, int(np.ceil(np.sqrt(n_pairs / PAIRS_PER_BLOCK))), int(np.ceil(n_bytes / BYTES_PER_SIDE)))
+    at = lambda c, n: F.pmod(F.xxhash64(c, F.lit(n)), F.lit(side)).cast("int")
+    placed = pairs.select(at("a", 1).alias("i"), at("b", 2).alias("j"), "a", "b")
+    wanted = placed.select("i", "j", F.explode(F.array("a", "b")).alias("w")).distinct()
+    sent = wanted.join(texts, wanted["w"] == texts["d"]).select(F.col("i").alias("ti"), F.col("j").alias("tj"), "d", "text")
+
+    def check(p: pa.Table, t: pa.Table) -> pa.Table:
+        buf, off = utf8(t["text"])
+        sets = {}
+        for i, j in runs(off):
+            sets.update(zip(t["d"].slice(i, j - i).to_pylist(), shingle_sets(buf[off[i]:off[j]], off[i:j + 1] - off[i], k)))
+        ok = np.zeros(len(p), bool)
+        for r, (a, b) in enumerate(zip(p["a"].to_pylist(), p["b"].to_pylist())):
+            x, y = sets[a], sets[b]
+            inter = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+            ok[r] = 100 * inter >= per_cent * (len(x) + len(y) - inter)
+        return p.select(["a", "b"]).filter(pa.array(ok))
+
+    return placed.groupBy("i", "j").cogroup(sent.groupBy("ti", "tj")).applyInArrow(check, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -237,9 +252,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _pairs(index: DataFrame, key: list[str], per_cent: int) -> DataFrame:
     """Distinct candidate pairs of one key that could join two components."""
-    x = index.select(*key, F.col("d").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    y = index.select(*key, F.col("d").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    return x.join(y, key).where((F.col("la") < F.col("lb")) & _fits(F.col("na"), F.col("nb"), per_cent)) \
+    x = index.select(*key, F.col("d").alias("a"), F.col("n").alias("na"), F.col("most").alias("ma"), F.col("label").alias("la"))
+    y = index.select(*key, F.col("d").alias("b"), F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("label").alias("lb"))
+    return x.join(y, key).where((F.col("la") < F.col("lb")) & _fits(F.col("na"), F.col("ma"), F.col("nb"), F.col("mb"), per_cent)) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -270,18 +285,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
     buckets = max(n_slices(docs), -(-n_tokens // TOKENS_PER_BUCKET))
     index = stored(prefix_index(src, k, differ, heavy, buckets), "prefixes")
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("members"),
-                                       F.min(F.struct((F.col("alone") / F.col("n")).alias("x"), "d", "n")).alias("hub")).where("members > 1")
+                                       F.max(F.struct("central", "d", "n", "most")).alias("hub")).where("members > 1")
     met = stored(index.join(lists, "token"), "lists")            # the members of lists of two or more
     texts = met.select("d").distinct()
     first = rows.groupBy("d").agg(F.min("id").alias("id"))
     texts = texts.join(first, "d").withColumnRenamed("id", "rep")
     texts = stored(_own_text(src.join(texts, src["id"].eqNullSafe(texts["rep"])).select("d", "text"), k), "texts")
-    central = met.where((F.col("d") != F.col("hub.d")) & _fits(F.col("n"), F.col("hub.n"), per_cent)) \
+    central = met.where((F.col("d") != F.col("hub.d")) & _fits(F.col("n"), F.col("most"), F.col("hub.n"), F.col("hub.most"), per_cent)) \
         .select(F.least("d", F.col("hub.d")).alias("a"), F.greatest("d", F.col("hub.d")).alias("b")).distinct()
     central = stored(central, "central")
     links = stored(verify(central, texts, k, per_cent), "links")
     labels = components(links)
-    open_ = met.select("token", "d", "n").join(labels.select(F.col("node").alias("d"), "label"), "d", "left") \
+    open_ = met.select("token", "d", "n", "most").join(labels.select(F.col("node").alias("d"), "label"), "d", "left") \
         .withColumn("label", F.coalesce("label", "d"))
     mixed = open_.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")) \
         .where("lo < hi").select("token", "members")
@@ -290,7 +305,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
     single = of_two.groupBy("token").agg(F.count(F.lit(1)).alias("m")).agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0
     double = of_two.groupBy("d").agg(F.count(F.lit(1)).alias("m")).agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0
     if single > double:
-        x = of_two.select("d", "n", "label", F.col("token").alias("t1"))
+        x = of_two.select("d", "n", "most", "label", F.col("token").alias("t1"))
         y = of_two.select("d", F.col("token").alias("t2"))
         more = _pairs(open_.where(F.col("members") <= frequent), ["token"], per_cent).union(
             _pairs(x.join(y, "d").where("t1 < t2"), ["t1", "t2"], per_cent)).distinct()

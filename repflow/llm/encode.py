@@ -1,8 +1,9 @@
 """Token ids of whole texts, batch by batch.
 
 A text is cut where both tokenizers always start a new piece: before a space
-that a printable ASCII character follows, before a line feed between two
-such characters, and between a letter and one of ``,.;:!?``.  The ids of a stretch between two cuts then do not depend
+that a solid character follows, before a line feed between two such
+characters, and between a letter and one of ``,.;:!?``.  Solid are printable ASCII and blocks
+without white space or combining marks.  The ids of a stretch between two cuts then do not depend
 on its neighbours, so each distinct stretch is given to the tokenizers library
 once per worker and the ids of a batch are gathered with numpy.  Stretches are
 told apart by a 64-bit hash.
@@ -18,22 +19,34 @@ from repflow.llm.textkernel import LOWER, segment_hash
 
 PRINTABLE = np.zeros(256, dtype=bool)
 PRINTABLE[0x21:0x7F] = True
+# first bytes of characters that are neither white space nor combining: printable ASCII, Latin-1 letters and
+# Latin Extended-A (C3 to C5), Greek and Cyrillic (CE to D1), CJK ideographs (E4 to E9)
+SOLID = PRINTABLE.copy()
+SOLID[[0xC3, 0xC4, 0xC5, *range(0xCE, 0xD2), *range(0xE4, 0xEA)]] = True
 LETTER = np.zeros(256, dtype=bool)
 LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = True
 STOPS = np.zeros(256, dtype=bool)
 STOPS[list(b",.;:!?")] = True
+ODD = np.zeros(256, dtype=bool)
+ODD[[32, *range(9, 14), *b"|<"]] = True
 BETWEEN = " |"                       # one id of its own between two stretches that start with white space
 JOINED = 1000
 MAX_CACHED = 2_000_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def _letters(buf: np.ndarray) -> np.ndarray:
+    """Last bytes of ASCII and Latin-1 letters (not the signs of multiplication and division)."""
+    letter = LETTER[buf]
+    letter[1:] |= (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+    return letter
+
+
 def stretches(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Starts of the independent stretches, document starts included (empty documents have none)."""
-    printable = PRINTABLE[buf]
-    follows = np.concatenate([printable[1:], [False]])
-    before = np.concatenate([[False], printable[:-1]])
-    letter_before = np.concatenate([[False], LETTER[buf[:-1]]])
+    follows = np.concatenate([SOLID[buf[1:]], [False]])
+    letter_before = np.concatenate([[False], _letters(buf)[:-1]])
+    before = np.concatenate([[False], PRINTABLE[buf[:-1]]]) | letter_before
     cut = follows & ((buf == 32) | ((buf == 10) & before))
     edges = offsets[1:-1]
     cut[np.maximum(edges - 1, 0)[edges > 0]] = False     # a text's last byte has no follower
@@ -42,13 +55,6 @@ def stretches(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def _plain(p: bytes) -> bool:
-    """One space or line feed, then one word without white space at its end, separator or special token."""
-    if p[0] not in b" \n" or p.count(b" ") + p.count(b"\n") != 1 or b"|" in p or b"<" in p:
-        return False
-    return 0x20 < p[-1] < 0x7F or p.decode("utf-8", "replace")[-1].isalpha()
-
-
 class Encoder:
     """Ids by the tokenizers library, with a bounded table of stretches already seen."""
 
@@ -74,22 +80,27 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _fresh(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """``(id counts, flat ids)`` of new stretches; plain words are handed over many at a time."""
-        got: list = [None] * len(parts)
-        plain = [i for i, p in enumerate(parts) if _plain(p)] if self.between is not None else []
-        groups = [plain[k:k + JOINED] for k in range(0, len(plain), JOINED)]
-        joined = [(BETWEEN.encode().join(parts[i] for i in g)).decode("utf-8", "replace") for g in groups]
+    def _fresh(self, parts: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(order, id counts, flat ids)`` of new stretches; ``plain`` ones are handed over many at a time."""
+        order, counts, flat, rest = [], [], [], np.flatnonzero(~plain).tolist()
+        which = np.flatnonzero(plain)
+        groups = [which[k:k + JOINED] for k in range(0, len(which), JOINED)]
+        joined = [(BETWEEN.encode().join([parts[i] for i in g])).decode("utf-8", "replace") for g in groups]
         for g, ids in zip(groups, self._ids(joined)):
             ids = np.array(ids, np.uint32)
-            at = np.flatnonzero(ids == self.between)
+            is_between = ids == self.between
+            at = np.flatnonzero(is_between)
             if len(at) == len(g) - 1:
-                for i, a, b in zip(g, np.append(0, at + 1).tolist(), np.append(at, len(ids)).tolist()):
-                    got[i] = ids[a:b]
-        rest = [i for i, x in enumerate(got) if x is None]
-        for i, ids in zip(rest, self._ids([parts[i].decode("utf-8", "replace") for i in rest])):
-            got[i] = np.array(ids, np.uint32)
-        return np.fromiter(map(len, got), np.int64, len(got)), np.concatenate(got)
+                order.append(g)
+                counts.append(np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1)
+                flat.append(ids[~is_between])
+            else:
+                rest += g.tolist()
+        got = self._ids([parts[i].decode("utf-8", "replace") for i in rest])
+        order.append(np.array(rest, np.int64))
+        counts.append(np.fromiter(map(len, got), np.int64, len(got)))
+        flat += [np.array(x, np.uint32) for x in got]
+        return np.concatenate(order), np.concatenate(counts), np.concatenate(flat)
 
     def _find(self, u: np.ndarray):
         at, n, known = np.zeros(len(u), np.int64), np.zeros(len(u), np.int64), np.zeros(len(u), bool)
@@ -116,8 +127,13 @@ class Encoder:
         fresh = np.flatnonzero(~known)
         if len(fresh):
             raw = buf.tobytes()
-            m, flat = self._fresh([raw[s:e] for s, e in zip(starts[one[fresh]].tolist(), ends[one[fresh]].tolist())])
-            a = len(self.ids) + np.concatenate([[0], np.cumsum(m)[:-1]])
+            s, e = starts[one[fresh]], ends[one[fresh]]
+            # one space or line feed, then one word without white space, separator or special token
+            odd = np.concatenate([[0], np.cumsum(ODD[buf])])
+            plain = ODD[buf[s]] & ((buf[s] == 32) | (buf[s] == 10)) & (odd[e] - odd[s] == 1) & (PRINTABLE[buf] | _letters(buf))[e - 1]
+            order, m, flat = self._fresh([raw[i:j] for i, j in zip(s.tolist(), e.tolist())], plain & (self.between is not None))
+            fresh = fresh[order]
+            a = len(self.ids) + np.cumsum(m) - m
             self.ids = np.concatenate([self.ids, flat])
             at[fresh], n[fresh] = a, m
             k = np.concatenate([self.new[0], u[fresh]])

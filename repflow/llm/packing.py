@@ -107,7 +107,7 @@ class _Stream:
 
 
 def pack(docs: DataFrame, vocab: str | None = None, size: int = 2048, end_id: int = 1, sentence_penalty: float = 4.0,
-         hard_penalty: float = 12.0, hard_step: int = 32, shards: int | None = None,
+         hard_penalty: float = 12.0, hard_step: int = 64, shards: int | None = None,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``.
 

@@ -12,7 +12,7 @@ from repflow.llm.tokenbin import KEY, Shard, build_index, find_slots, key_hash,
 
 ODD = ["", None, "  a  b \n c\t d\n\n e", "it's 'S don't  '' we'll\n'll x", "\n\n a", "   ", "<|endoftext|> a <|endoftext|>b <|STARTOFTEXT|>",
        "中文 字 a。b\nc", "a\n\nb\nc \n d", "x   y  z\n a", "\r\n a\r\nb \x1c c \x85 d", "ΑΣ ΑΣ a İ I", "a |b | c |", "x, y; z:a b,c .d ,e f|endoftext|>g",
-       "Ü, é. ñ! x , y　.  z", "É é", "UPPER!! CASE!! Words,and.more?yes:no;ok", "tab\tsep\vvert\fform", "x" * 5000]
+       "a élan\nß, ÿ; ×, a×, ÷. é́, é", "мир, труд\nмай 字 字, αβγ, δ ŝ, ŝ", "Ü, é. ñ! x , y　.  z", "É é", "UPPER!! CASE!! Words,and.more?yes:no;ok", "tab\tsep\vvert\fform", "x" * 5000]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])

@@ -34,7 +34,8 @@ def cell_qc(coo: DataFrame, mito_prefix: str = "MT-") -> DataFrame:
     return coo.groupBy("cell").agg(
         F.count_if(v > 0).alias("n_genes_by_counts"), F.sum(v).alias("total_counts"),
         F.sum(F.when(is_mito(F.col("gene"), mito_prefix), v).otherwise(0.0)).alias("total_counts_mt"),
-    ).withColumn("pct_counts_mt", F.col("total_counts_mt") * 100.0 / F.col("total_counts"))
+    ).withColumn("pct_counts_mt", F.coalesce(F.try_divide(F.col("total_counts_mt") * 100.0, F.col("total_counts")),
+                                             F.lit(float("nan"))))        # a cell of total 0 passes no percentage filter
 
 
 def gene_qc(coo: DataFrame) -> DataFrame:
@@ -71,8 +72,9 @@ def preprocess(coo: DataFrame, min_genes: int = MIN_GENES, min_cells: int = MIN_
 
 
 def normalise_total(coo: DataFrame, target: float = TARGET_SUM) -> DataFrame:
-    """MAT-5: scale each cell to ``target`` total (window sum per cell, no join back)."""
-    return coo.withColumn("value", F.col("value") * target / F.sum("value").over(Window.partitionBy("cell")))
+    """MAT-5: scale each cell to ``target`` total (window sum per cell, no join back); a cell of total 0 stays as it is."""
+    total = F.sum("value").over(Window.partitionBy("cell"))
+    return coo.withColumn("value", F.coalesce(F.try_divide(F.col("value") * target, total), F.col("value").cast("double")))
 
 
 def log1p(coo: DataFrame) -> DataFrame:
@@ -95,7 +97,7 @@ def highly_variable_genes(logged: DataFrame, min_mean: float = HVG_MIN_MEAN, max
     g = logged.groupBy("gene").agg(F.sum(x).alias("s1"), F.sum(x * x).alias("s2"))
     g = _one_row_join(g, n)
     m = F.col("s1") / F.col("__n")
-    var = (F.col("s2") - F.col("__n") * m * m) / (F.col("__n") - 1)
+    var = F.try_divide(F.col("s2") - F.col("__n") * m * m, F.col("__n") - 1)
     m_safe = F.when(m == 0, F.lit(1e-12)).otherwise(m)
     disp = var / m_safe
     g = g.select("gene", F.log1p(m_safe).alias("means"),
@@ -103,14 +105,14 @@ def highly_variable_genes(logged: DataFrame, min_mean: float = HVG_MIN_MEAN, max
     rng = g.agg(F.min("means").alias("__lo"), F.max("means").alias("__hi"))
     g = _one_row_join(g, rng)
     width = (F.col("__hi") - F.col("__lo")) / n_bins
-    b = F.greatest(F.ceil((F.col("means") - F.col("__lo")) / width) - 1, F.lit(0))
+    b = F.greatest(F.ceil(F.try_divide(F.col("means") - F.col("__lo"), width)) - 1, F.lit(0))
     g = g.withColumn("mean_bin", F.when(width > 0, b).otherwise(F.lit(0)).cast("int"))
     stats = g.groupBy("mean_bin").agg(F.avg("dispersions").alias("__bm"), F.stddev_samp("dispersions").alias("__bs"))
     stats = stats.select("mean_bin",
                          F.when(F.col("__bs").isNull(), F.lit(0.0)).otherwise(F.col("__bm")).alias("__bm"),
                          F.when(F.col("__bs").isNull(), F.col("__bm")).otherwise(F.col("__bs")).alias("__bs"))
     g = g.join(F.broadcast(stats), "mean_bin", "left")  # at most n_bins rows
-    z = (F.col("dispersions") - F.col("__bm")) / F.col("__bs")
+    z = F.try_divide(F.col("dispersions") - F.col("__bm"), F.col("__bs"))      # no spread in the bin: not variable
     g = g.withColumn("dispersions_norm", z)
     hv = (F.col("means") > min_mean) & (F.col("means") < max_mean) & (F.col("dispersions_norm") > min_disp)
     return g.select("gene", "means", "dispersions", "mean_bin", "dispersions_norm",
@@ -221,7 +223,7 @@ def spearman_typing(expr: DataFrame, ref: DataFrame, quantile: float = 0.8, tie_
     cov = sxy - sx * F.col("__sr") / G
     vx = sxx - sx * sx / G
     vy = F.col("__srr") - F.col("__sr") * F.col("__sr") / G
-    c = c.select("cell", "ref_id", "label", (cov / F.sqrt(vx * vy)).alias("corr"))
+    c = c.select("cell", "ref_id", "label", F.try_divide(cov, F.sqrt(vx * vy)).alias("corr"))
     s = c.groupBy("cell", "label").agg(F.percentile("corr", quantile).alias("score"))
     w = Window.partitionBy("cell").orderBy(F.round("score", tie_digits).desc(), F.asc("label"))
     return s.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select("cell", "label", "score")

@@ -107,8 +107,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def positive_weight(df: DataFrame, label: str) -> DataFrame:
-    """ML-12: ``scale_pos_weight = n_negative / n_positive`` for a 0/1 label."""
-    return df.agg((F.count_if(F.col(label) == 0) / F.count_if(F.col(label) == 1)).alias("scale_pos_weight"))
+    """ML-12: ``scale_pos_weight = n_negative / n_positive`` for a 0/1 label (null without positives)."""
+    return df.agg(F.try_divide(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("scale_pos_weight"))
 
 
 def _class_extreme(r: DataFrame, label: str, fn) -> DataFrame:
@@ -263,4 +263,8 @@ def anova_f(long: DataFrame, labels: DataFrame, id_col: str, label: str) -> Data
         F.sum(F.col("n_g") * (F.col("m_g") - F.col("m")) ** 2).alias("ssb"),
         F.sum(F.col("n_g") * F.col("v_g")).alias("ssw"),
         F.count(F.lit(1)).alias("k"), F.first("n").alias("n"))
-    return s.select("feature", ((F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("n") - F.col("k")))).alias("f"))
+    # no spread within the classes: infinite, or not a number when the class means agree too
+    between = F.try_divide(F.col("ssb"), F.col("k") - 1)
+    within = F.try_divide(F.col("ssw"), F.col("n") - F.col("k"))
+    flat = F.when(between > 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
+    return s.select("feature", F.when(within == 0, flat).otherwise(F.try_divide(between, within)).alias("f"))

@@ -126,22 +126,23 @@ def pivot_matrix(long: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def sparse_vectors(long: DataFrame, top: DataFrame) -> DataFrame:
-    """PVT-1 scale path: one ML vector per sample over the top-N index (JVM only).
+    """PVT-1 scale path: one sparse ML vector per sample over the top-N index.
 
-    Column ids are the sequence ranks in ``top`` (bounded, broadcast); each
-    sample's entries are gathered by a grouped aggregate (at most N per sample)
-    and laid out as a dense array of length N, then ``array_to_vector``.
+    Column ids are the sequence ranks in ``top`` (bounded by N, broadcast); each
+    sample's stored entries (at most N) are gathered by one grouped aggregate.
     """
-    from pyspark.ml.functions import array_to_vector
-
-    idx = top.select("sequence", (F.row_number().over(
-        Window.orderBy(F.desc("n_samples"), F.asc("sequence"))) - 1).alias("j"))   # N rows
-    size = top.count()
-    j = long.join(F.broadcast(idx), "sequence").groupBy("sample").agg(
-        F.map_from_entries(F.collect_list(F.struct("j", F.col("value").cast("double")))).alias("__m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                        lambda k: F.coalesce(F.element_at(F.col("__m"), k), F.lit(0.0)))
-    return j.select("sample", array_to_vector(dense).alias("features"))
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    names = top.orderBy(F.desc("n_samples"), F.asc("sequence")).select("sequence").collect()     # N names
+    size = len(names)
+    idx = long.sparkSession.createDataFrame([(r["sequence"], i) for i, r in enumerate(names)], "sequence string, j int")
+
+    @F.udf(VectorUDT())
+    def vector(entries):
+        return Vectors.sparse(size, [e["j"] for e in entries], [e["value"] for e in entries])
+
+    cells = F.array_sort(F.collect_list(F.struct("j", F.col("value").cast("double").alias("value"))))
+    return long.join(F.broadcast(idx), "sequence").groupBy("sample").agg(vector(cells).alias("features"))
 
 
 def pair_samples(dict_a: DataFrame, dict_b: DataFrame) -> DataFrame:

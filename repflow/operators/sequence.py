@@ -1,12 +1,12 @@
 """Sequence operators: six-frame translation and all-occurrence pattern search.
 
 Plan shape (one job over all reads, no shuffle of the reads when the pattern
-set is broadcastable):
+set is small enough to broadcast):
 
-    reads -> normalise/validate -> six frames (JVM expressions) -> explode
-          -> explode start positions -> broadcast join on 2-letter head
-             (head table size is bounded by alphabet^2 x distinct lengths)
-          -> cut candidate window -> equi-join with the pattern set
+    reads -> normalise/validate -> six frames (Arrow kernel) -> one row per frame
+          -> window kernel: heads and tails of every position against small
+             tables over the alphabet, only surviving windows become rows
+          -> equi-join of the windows with the pattern set
 
 Every occurrence is kept: overlapping, nested and repeated hits each give a
 row (one row per read, frame, pattern and start position).
@@ -16,9 +16,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from repflow.functions.codon import (STANDARD_CODE, is_valid_read, normalise_nucleotides,
                                      reverse_complement, translate_frame, FRAME_ORDER,
@@ -31,10 +33,11 @@ from repflow.session import ensure_checkpoint_dir
 # from the pattern side), so a pattern outside this alphabet can never hit.
 PROTEIN_PATTERN = "^[A-Z]+$"
 HEAD_LEN = 4
-# Head table rows above which the head join falls back to a shuffle join.
-HEAD_BROADCAST_MAX_ROWS = 2_000_000
-# Pattern text bytes above which the final join is a shuffle join (AQE).
-PATTERN_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+TAIL_LEN = 3
+# Estimated size of the built hash relation above which the final join is left
+# to a shuffle (AQE): the text twice plus row, key and table slots per pattern.
+PATTERN_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+BYTES_PER_BUILT_ROW = 96
 
 
 def clean_patterns(patterns: DataFrame, col: str = "pattern") -> DataFrame:
@@ -84,24 +87,37 @@ def frames(reads: DataFrame, seq_col: str = "sequence", keep=(), code: str = STA
 
 @dataclass
 class PatternIndex:
-    """Plan-time summary of a pattern set (bounded, collected once)."""
-    heads: DataFrame            # head (k letters), lens array<int>  (broadcast)
+    """Plan-time summary of a pattern set; its tables are bounded by the alphabet."""
     patterns: DataFrame         # pattern (distinct)
     head_len: int
-    short_lengths: list         # pattern lengths below head_len (own branch each)
+    tables: Broadcast           # (lengths, head masks, tails per length, short patterns per length)
     broadcast_patterns: bool
-    min_len: int = HEAD_LEN     # shortest pattern on the head branch
+
+
+def _code(text: np.ndarray, n: int) -> np.ndarray:
+    """Base-26 code of the ``n`` letters from each position on (-1 where one is no letter A-Z)."""
+    letter = text.astype(np.int64) - 65
+    bad = (letter < 0) | (letter > 25)
+    size = max(0, len(text) - n + 1)
+    code, broken = np.zeros(size, np.int64), np.zeros(size, bool)
+    for i in range(n):
+        code = code * 26 + letter[i:i + size]
+        broken |= bad[i:i + size]
+    code[broken] = -1
+    return code
+
+
+def _codes_of(strings: list[str], n: int) -> np.ndarray:
+    return _code(np.frombuffer("".join(strings).encode(), np.uint8), n)[::n] if strings else np.zeros(0, np.int64)
 
 
 def index_patterns(patterns: DataFrame, col: str = "pattern", head_len: int = HEAD_LEN,
                    broadcast_max_bytes: int = PATTERN_BROADCAST_MAX_BYTES) -> PatternIndex:
-    """Summarise the pattern set: ``head_len``-letter heads with their lengths.
+    """Summarise the pattern set by the heads and tails of its patterns.
 
-    One small aggregate job over the pattern table.  The head table is bounded
-    by 26^head_len x (distinct lengths) whatever the pattern count; it is
-    collected with a row cap (exceeding it raises) and rebuilt as a local
-    relation that the planner broadcasts.  Patterns shorter than the head are searched
-    by their own exact join (at most 26 + 26^2 such patterns exist).
+    Tables: which lengths occur under each ``head_len``-letter head, and which tails
+    under each length; at most 26^head_len and 26^3 entries per length whatever
+    the pattern count.  Patterns shorter than the head are listed by length (at most 26 + 26^2 + 26^3).
     """
     spark = patterns.sparkSession
     ensure_checkpoint_dir(spark)
@@ -111,22 +127,52 @@ def index_patterns(patterns: DataFrame, col: str = "pattern", head_len: int = HE
     cleaned = clean_patterns(patterns, col).where(F.col("pattern").rlike(PROTEIN_PATTERN)).persist()
     pats = cleaned.checkpoint(eager=True)   # computed once (persisted), written once
     cleaned.unpersist()
-    heads = (pats.groupBy(F.substring("pattern", 1, head_len).alias("head"))
-             .agg(F.array_sort(F.collect_set(F.length("pattern"))).alias("lens"),
-                  F.count("*").alias("n"), F.sum(F.length("pattern")).alias("bytes")))
-    rows = heads.limit(HEAD_BROADCAST_MAX_ROWS + 1).collect()     # bounded collect
-    if len(rows) > HEAD_BROADCAST_MAX_ROWS:
-        raise ValueError(f"pattern head table exceeds {HEAD_BROADCAST_MAX_ROWS} rows; expected a protein alphabet")
-    n_pat = sum(r["n"] for r in rows)
-    n_bytes = sum(r["bytes"] for r in rows)
-    schema = T.StructType([T.StructField("head", T.StringType()),
-                           T.StructField("lens", T.ArrayType(T.IntegerType()))])
-    full = [(r["head"], [x for x in r["lens"] if x >= head_len]) for r in rows]
-    heads_local = spark.createDataFrame([h for h in full if h[1]], schema)
-    short = sorted({x for r in rows for x in r["lens"] if x < head_len})
-    min_len = min([x for h in full for x in h[1]], default=head_len)
-    return PatternIndex(heads=heads_local, patterns=pats, head_len=head_len, short_lengths=short,
-                        broadcast_patterns=(n_bytes + 16 * n_pat) <= broadcast_max_bytes, min_len=min_len)
+    n_pat, n_bytes = pats.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("pattern")), F.lit(0))).first()
+    n = F.length("pattern")
+    tail_len = min(TAIL_LEN, head_len)
+    rest = pats.where(n >= head_len)
+    heads = rest.select(F.substring("pattern", 1, head_len).alias("x"), n.alias("n")).distinct().collect()
+    tails = rest.select(F.expr(f"right(pattern, {tail_len})").alias("x"), n.alias("n")).distinct().collect()
+    few = pats.where(n < head_len).collect()
+    lengths = sorted({r["n"] for r in heads})
+    masks = np.zeros(26 ** head_len, np.uint64)
+    for i, length in enumerate(lengths):                 # lengths beyond 64 share the last bit
+        at = _codes_of([r["x"] for r in heads if r["n"] == length], head_len)
+        masks[at] |= np.uint64(1) << np.uint64(min(i, 63))
+    ends = {}
+    for length in lengths:
+        ends[length] = np.zeros(26 ** tail_len, bool)
+        ends[length][_codes_of([r["x"] for r in tails if r["n"] == length], tail_len)] = True
+    short = {}
+    for length in sorted({len(r["pattern"]) for r in few}):
+        short[length] = np.zeros(26 ** length, bool)
+        short[length][_codes_of([r["pattern"] for r in few if len(r["pattern"]) == length], length)] = True
+    return PatternIndex(patterns=pats, head_len=head_len, tables=spark.sparkContext.broadcast((lengths, masks, ends, short)),
+                        broadcast_patterns=2 * n_bytes + BYTES_PER_BUILT_ROW * n_pat <= broadcast_max_bytes)
+
+
+def _windows(text: np.ndarray, offsets: np.ndarray, head_len: int, tables) -> list[tuple[np.ndarray, int]]:
+    """``(start positions in text, length)`` of the windows that pass head and tail, inside one protein each."""
+    lengths, masks, ends, short = tables
+    room = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(text))      # letters left in the protein
+    out = []
+    for length, known in short.items():
+        code = _code(text, length)
+        start = np.flatnonzero(code >= 0)
+        out.append((start[known[code[start]] & (room[start] >= length)], length))
+    if lengths:
+        code = _code(text, head_len)
+        start = np.flatnonzero(code >= 0)
+        mask = masks[code[start]]
+        start, mask = start[mask > 0], mask[mask > 0]
+        tail_len = min(TAIL_LEN, head_len)
+        tail = _code(text, tail_len)
+        for i, length in enumerate(lengths):
+            s = start[(mask >> np.uint64(min(i, 63)) & np.uint64(1)) > 0]
+            s = s[room[s] >= length]
+            end = tail[s + length - tail_len]
+            out.append((s[(end >= 0) & ends[length][end]], length))
+    return [(s, n) for s, n in out if len(s)]
 
 
 def find_occurrences(framed: DataFrame, index: PatternIndex, protein_col: str = "protein",
@@ -134,31 +180,37 @@ def find_occurrences(framed: DataFrame, index: PatternIndex, protein_col: str =
     """SEQ-2: every occurrence of every pattern in ``protein_col``.
 
     Output keeps all input columns except the protein, adds ``pos`` (1-based
-    start) and ``out_col``.  Multiplicity is exact; no distinct anywhere.
+    start) and ``out_col``.  Multiplicity is exact; no distinct anywhere.  The
+    windows of a batch are found on its letters as they lie in memory, so a read
+    costs time in proportion to its length; a protein is never copied per position.
     """
-    keep = [F.col(col_ref(c)) for c in framed.columns if c != protein_col]
-    k = index.head_len
-    n = F.length(F.col(protein_col))
-    # a start needs room for the shortest pattern: later positions are never emitted
-    last = n - F.lit(min(index.min_len, min(index.short_lengths, default=index.min_len)) - 1)
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    pos = framed.select(*keep, F.col(protein_col).alias("_p"), F.explode(starts).alias("pos"))
-    heads = F.broadcast(index.heads)
-    cand = pos.join(heads, F.substring(F.col("_p"), F.col("pos"), k) == heads["head"], "inner")
-    cand = cand.select(*keep, "_p", "pos", F.explode("lens").alias("_len"))
-    cand = cand.where(F.col("pos") + F.col("_len") - 1 <= F.length("_p"))
-    cand = cand.select(*keep, "pos", F.expr("substring(_p, pos, _len)").alias("_w"))
+    keep = [c for c in framed.columns if c != protein_col]
+    tables, head_len = index.tables, index.head_len
+    src = framed.select(F.struct(F.lit(0).alias("__"), *[F.col(col_ref(c)) for c in keep]).alias("row"),
+                        F.col(col_ref(protein_col)).alias("_p"))
+
+    def scan(batches):
+        for b in batches:
+            p = b.column("_p").cast(pa.large_binary())
+            p = p.fill_null(b"") if p.null_count else p
+            off = np.frombuffer(p.buffers()[1], np.int64)[p.offset:p.offset + len(p) + 1]
+            text = np.frombuffer(p.buffers()[2], np.uint8)[off[0]:off[-1]] if len(p) and off[-1] > off[0] else np.zeros(0, np.uint8)
+            off = off - off[0]
+            for start, n in _windows(text, off, head_len, tables.value):
+                row = np.searchsorted(off, start, side="right") - 1
+                letters = text[start[:, None] + np.arange(n)]
+                w = pa.StringArray.from_buffers(len(start), pa.py_buffer(np.arange(0, (len(start) + 1) * n, n, dtype=np.int32).tobytes()),
+                                                pa.py_buffer(letters.tobytes()))
+                yield pa.record_batch([b.column("row").take(pa.array(row)), pa.array((start - off[row] + 1).astype(np.int32)), w],
+                                      names=["row", "pos", "_w"])
+
+    from pyspark.sql import types as T
+
+    schema = T.StructType([src.schema["row"], T.StructField("pos", T.IntegerType()), T.StructField("_w", T.StringType())])
+    cand = src.mapInArrow(scan, schema)
     pats = F.broadcast(index.patterns) if index.broadcast_patterns else index.patterns
-    hits = cand.join(pats, cand["_w"] == pats["pattern"], "inner").select(
-        *keep, "pos", F.col("_w").alias(out_col))
-    for length in index.short_lengths:
-        # at most 26^length patterns of this length: a proven-small broadcast
-        short = F.broadcast(index.patterns.where(F.length("pattern") == length))
-        w = pos.select(*keep, "pos", F.substring(F.col("_p"), F.col("pos"), length).alias("_w"))
-        w = w.where(F.length("_w") == length)
-        hits = hits.unionByName(w.join(short, w["_w"] == short["pattern"], "inner").select(
-            *keep, "pos", F.col("_w").alias(out_col)))
-    return hits
+    return cand.join(pats, cand["_w"] == pats["pattern"], "inner").select(
+        *[F.col("row").getField(c).alias(c) for c in keep], "pos", F.col("_w").alias(out_col))
 
 
 def _frame_id(id_col: str) -> Column:

@@ -243,15 +243,17 @@ def q_matrix_v2(spark, sf):
 
 
 @register("feature_matrix_wide", "PVT-1 PVT-5", with_ctes(f"""
-    PIVOT (SELECT sample, sequence, CAST(count AS DOUBLE) AS value FROM ({_PROD_SQL})
-           WHERE sequence IN (SELECT sequence FROM ({_TOP_SQL})))
-    ON sequence USING coalesce(first(value), 0.0) GROUP BY sample""", "matches"))
+    SELECT s.sample, t.sequence, coalesce(CAST(p.count AS DOUBLE), 0.0) AS value
+    FROM (SELECT DISTINCT sample FROM ({_PROD_SQL}) WHERE sequence IN (SELECT sequence FROM ({_TOP_SQL}))) s
+    CROSS JOIN (SELECT sequence FROM ({_TOP_SQL})) t
+    LEFT JOIN ({_PROD_SQL}) p ON p.sample = s.sample AND p.sequence = t.sequence""", "matches"))
 def q_matrix_wide(spark, sf):
+    """The wide matrix, unpivoted with its zeros so that any engine can compare it."""
     long = P.productive(P.sequence_counts(fx.matches(spark, sf)))
     long = long.withColumn("value", F.col("count").cast("double"))
     top = P.top_sequences(long, 600)
     cols = [r["sequence"] for r in top.collect()]          # bounded: top-N names
-    return P.pivot_matrix(P.restrict_to(long, top), cols)
+    return P.pivot_matrix(P.restrict_to(long, top), cols).unpivot("sample", [F.col(f"`{c}`") for c in cols], "sequence", "value")
 
 
 @register("target_guard", "FLT-7 AGG-13", with_ctes("""
@@ -289,10 +291,17 @@ def q_align(spark, sf):
     return j.withColumn("__k", F.lit(1)).join(F.broadcast(missing.withColumn("__k", F.lit(1))), "__k").drop("__k")
 
 
-@register("feature_vectors", "PVT-1")
+@register("feature_vectors", "PVT-1", with_ctes(f"""
+    SELECT p.sample, t.j, CAST(p.count AS DOUBLE) AS value FROM ({_PROD_SQL}) p
+    JOIN (SELECT sequence, row_number() OVER (ORDER BY n_samples DESC, sequence) - 1 AS j FROM ({_TOP_SQL})) t
+      ON t.sequence = p.sequence WHERE p.count <> 0""", "matches"))
 def q_feature_vectors(spark, sf):
-    """Scale path of the sample x sequence matrix: one ML vector per sample over the top-N."""
+    """Scale path of the sample x sequence matrix: one sparse ML vector per sample over the top-N, exploded."""
+    from pyspark.ml.functions import vector_to_array
+
     long = P.productive(P.sequence_counts(fx.matches(spark, sf)))
     long = long.withColumn("value", F.col("count").cast("double"))
     top = P.top_sequences(long, 600)
-    return P.sparse_vectors(P.restrict_to(long, top), top)
+    v = P.sparse_vectors(P.restrict_to(long, top), top)
+    return v.select("sample", F.posexplode(vector_to_array("features")).alias("j", "value")) \
+        .where("value <> 0").select("sample", F.col("j").cast("bigint").alias("j"), "value")

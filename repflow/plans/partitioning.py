@@ -9,17 +9,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a small input over the cores before CPU-heavy row work.
 
     A large scan already arrives in more splits than cores and is returned
-    unchanged (no shuffle); only an input with fewer partitions than the
-    default parallelism is redistributed.  An explicit partition count is
-    kept by AQE (it only coalesces shuffles it introduced itself).
+    unchanged (no shuffle); only an input that the planner estimates at less than
+    one split per core is redistributed.  The estimate starts no job.  An explicit
+    partition count is kept by AQE (it only coalesces shuffles it introduced itself).
     """
     if df.isStreaming:          # micro-batches: partitioning follows the file source
         return df
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(target) if estimate < target * split else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

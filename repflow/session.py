@@ -46,7 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; set a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only a local test session without one gets a fresh scratch folder.
+    as is.  Only a local session without one gets a fresh scratch folder; any
+    other master raises, since its executors could not see such a folder.
     """
     sc = spark.sparkContext
     active = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return active
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="repflow-ckpt-", dir="/tmp")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

@@ -37,14 +37,42 @@ def write_empty(schema, path: str, spark: SparkSession) -> None:
     spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def completed_outputs(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Names of inputs whose output partition already exists (``source_file``)."""
+def _read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The table at ``path``; None when nothing is there yet.  Any other failure is raised."""
+    from pyspark.errors import AnalysisException
+
     try:
-        done = spark.read.parquet(out_dir).select(
-            F.regexp_extract(F.col("_metadata.file_path"), r"output=matched_([^/]+)/", 1).alias("stem")).distinct()
-    except Exception:  # no output yet
-        return spark.createDataFrame([], "source_file string")
-    return done.select(F.concat("stem", F.lit(".parquet")).alias("source_file"))
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+COMPLETED = "source_file string, n_reads long, n_matches long"
+
+
+def completed_outputs(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Inputs finished in earlier runs (``source_file``), those without a hit included.
+
+    The run's own table under ``out_dir/_completed`` holds raw file names; output partitions
+    (percent-encoded in paths) count as well, a write job commits all of its outputs or none.
+    """
+    names = spark.createDataFrame([], "source_file string")
+    done = _read_or_none(spark, f"{out_dir.rstrip('/')}/_completed", COMPLETED)
+    if done is not None:
+        names = names.union(done.select("source_file"))
+    written = _read_or_none(spark, out_dir)
+    if written is not None:
+        stem = F.regexp_extract(F.col("_metadata.file_path"), r"output=matched_([^/]+)/", 1)
+        names = names.union(written.select(F.concat(F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B"))), F.lit(".parquet"))))
+    return names.distinct()
+
+
+def mark_completed(report: DataFrame, out_dir: str) -> None:
+    """Append the analysed files of a run's report to the table of finished inputs."""
+    report.where("status = 'analysed'").select(F.expr("source_file"), F.col("n_reads").cast("long"), F.col("n_matches").cast("long")) \
+        .coalesce(1).write.mode("append").parquet(f"{out_dir.rstrip('/')}/_completed")
 
 
 def pending_inputs(inputs: DataFrame, spark: SparkSession, out_dir: str, overwrite: bool = False) -> DataFrame:
@@ -69,9 +97,9 @@ def run_report(inputs: DataFrame, reads: DataFrame, matches: DataFrame) -> DataF
     return r.withColumn("status", F.when(F.col("n_reads") == 0, "empty_or_unreadable").otherwise("analysed"))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """SNK-6: CSV with header (single file for report-sized tables)."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+def write_csv(df: DataFrame, path: str, files: int = 1) -> None:
+    """SNK-6: CSV with header; ``files`` > 0 asks for that many files (1 for report-sized tables), 0 keeps the tasks."""
+    (df.coalesce(files) if files else df).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -96,11 +124,9 @@ def cached_table(spark: SparkSession, cache_root: str, key: str, builder: Callab
                  force: bool = False) -> DataFrame:
     """SNK-9: read-through parquet cache under ``cache_root/key`` (``force`` rebuilds)."""
     path = f"{cache_root.rstrip('/')}/{key}"
-    if not force:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # not cached yet
-            pass
+    known = None if force else _read_or_none(spark, path)
+    if known is not None:
+        return known
     builder().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -34,12 +34,12 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataF
 
 
 def scan_with_source(spark: SparkSession, path: str, columns, glob: str = "*.parquet",
-                     ignore_corrupt: bool = True, merge_schema: bool = True) -> DataFrame:
+                     ignore_corrupt: bool = False, merge_schema: bool = True) -> DataFrame:
     """SRC-3/4/5/6/8: read every file of a folder once, with ``source_file`` = file name.
 
-    Required columns are checked against the merged schema at plan time;
-    unreadable files are skipped (``ignoreCorruptFiles``) and reported by
-    :func:`repflow.sinks.files.run_report`.
+    Required columns are checked against the merged schema at plan time.  A
+    broken file ends the job unless ``ignore_corrupt`` is asked for; then compare
+    :func:`row_counts` with the rows read, as the match run does.
     """
     df = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
           .option("ignoreCorruptFiles", str(ignore_corrupt).lower())
@@ -48,8 +48,15 @@ def scan_with_source(spark: SparkSession, path: str, columns, glob: str = "*.par
     return df.select(*[F.col(col_ref(c)) for c in columns], F.col("_metadata.file_name").alias("source_file"))
 
 
+def row_counts(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """``source_file, footer_rows`` by the files' footers (no column is read); a file without footer is absent."""
+    return (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
+            .option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(path)
+            .groupBy(F.col("_metadata.file_name").alias("source_file")).agg(F.count(F.lit(1)).alias("footer_rows")))
+
+
 def scan_match_folder(spark: SparkSession, folder: str, seq_col: str = "CDR3_match",
-                      name_pattern: str | None = None) -> DataFrame:
+                      name_pattern: str | None = None, ignore_corrupt: bool = False) -> DataFrame:
     """SRC-6/7: ``sample, CDR3_match`` of a folder of match tables (one sample per file).
 
     The sample name is the file name with ``matched_``, ``.dedup`` and
@@ -58,7 +65,7 @@ def scan_match_folder(spark: SparkSession, folder: str, seq_col: str = "CDR3_mat
     partitioned layout).
     """
     df = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-          .option("ignoreCorruptFiles", "true").parquet(folder))
+          .option("ignoreCorruptFiles", str(ignore_corrupt).lower()).option("mergeSchema", "true").parquet(folder))
     validate_columns(df, [seq_col], folder)
     if name_pattern:
         sample = F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 1)

@@ -65,7 +65,9 @@ def completed_outputs(spark: SparkSession, out_dir: str) -> DataFrame:
     written = _read_or_none(spark, out_dir)
     if written is not None:
         stem = F.regexp_extract(F.col("_metadata.file_path"), r"output=matched_([^/]+)/", 1)
-        names = names.union(written.select(F.concat(F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B"))), F.lit(".parquet"))))
+        plus = lambda c: F.replace(c, F.lit("+"), F.lit("%2B"))
+        # encoded as a partition folder, then as a path
+        names = names.union(written.select(F.concat(F.url_decode(plus(F.url_decode(plus(stem)))), F.lit(".parquet"))))
     return names.distinct()
 
 

@@ -19,6 +19,11 @@ DISEASE_MARKER = "ibd_disease:"
 # -----------------------------------------------------------------------------
 
 
+def raw_name(column: str):
+    """A file name as it is on disk; the metadata columns hold it percent-encoded."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """SRC-2: ``path, name, length, modificationTime`` of matching files (non-recursive).
 
@@ -45,14 +50,14 @@ def scan_with_source(spark: SparkSession, path: str, columns, glob: str = "*.par
           .option("ignoreCorruptFiles", str(ignore_corrupt).lower())
           .option("mergeSchema", str(merge_schema).lower()).parquet(path))
     validate_columns(df, list(columns), path)
-    return df.select(*[F.col(col_ref(c)) for c in columns], F.col("_metadata.file_name").alias("source_file"))
+    return df.select(*[F.col(col_ref(c)) for c in columns], raw_name("_metadata.file_name").alias("source_file"))
 
 
 def row_counts(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """``source_file, footer_rows`` by the files' footers (no column is read); a file without footer is absent."""
     return (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
             .option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(path)
-            .groupBy(F.col("_metadata.file_name").alias("source_file")).agg(F.count(F.lit(1)).alias("footer_rows")))
+            .groupBy(raw_name("_metadata.file_name").alias("source_file")).agg(F.count(F.lit(1)).alias("footer_rows")))
 
 
 def scan_match_folder(spark: SparkSession, folder: str, seq_col: str = "CDR3_match",
@@ -70,7 +75,7 @@ def scan_match_folder(spark: SparkSession, folder: str, seq_col: str = "CDR3_mat
     if name_pattern:
         sample = F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 1)
     else:
-        sample = S.normalise_sample_name(F.col("_metadata.file_name"))
+        sample = S.normalise_sample_name(raw_name("_metadata.file_name"))
     return df.select(sample.alias("sample"), F.col(col_ref(seq_col)).alias("CDR3_match"))
 
 

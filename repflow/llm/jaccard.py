@@ -10,14 +10,14 @@ Tokens are the distinct ``k``-word shingles of a text.  Sets with
    packed, to buckets of bounded size that find those shared by two or more
    classes; a class whose unshared tokens alone exceed the allowed
    difference has no partner and drops out.  The others keep their extended prefixes.
-   Unshared tokens also bound the overlap of a pair.
+   The numbers of shared tokens per frequency class bound the overlap of a pair.
 3. Within each token's list the members are verified against the list's most
    central one; verified links give first components.  Only pairs that
    could still join two components are candidates from then on.
 4. Rare tokens are indexed singly.  Tokens of the frequent class (lists longer than
    ``frequent`` that still hold several components) are indexed in combinations
-   of two, of which linked sets share one in their extended prefixes, whenever that is the
-   smaller index.
+   of two, of which linked sets share one in their extended prefixes: the larger token is the
+   key and carries the smaller ones, so a pair meets once, in its smallest shared combination.
 5. Candidates of fitting size are verified on the whole shingle sets of the
    texts themselves.  Components come from label propagation with pointer jumps.
 """
@@ -35,6 +35,8 @@ from repflow.llm.textkernel import runs, set_digest, shingle_sets, utf8
 TOKENS_PER_BUCKET = 2_000_000
 FLUSH, FLUSH_TEXTS = 2_000_000, 60_000
 HEAVY = (1 << 31) - 1
+CLASS_ENDS = (2, 8, 32, 128)             # frequency classes of shared tokens; above these one more, and the heavy tokens
+CLASSES = len(CLASS_ENDS) + 2
 PAIRS_PER_BLOCK, BYTES_PER_SIDE = 20_000, 32 << 20
 
 
@@ -65,9 +67,9 @@ def summaries(docs: DataFrame, k: int, heavy_share: float) -> DataFrame:
 
 
 def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buckets: int) -> DataFrame:
-    """``(token, d, n, most, central)``: extended prefixes, in the common order, of the classes that may have a partner.
+    """``(token, d, n, shared, central)``: extended prefixes, in the common order, of the classes that may have a partner.
 
-    ``most`` is the number of a set's tokens that another class may share.  Tokens are
+    ``shared`` are the numbers of a set's tokens that other classes hold, per frequency class.  Tokens are
     told apart by 48 bits here; texts are verified on their own sets later.
     """
     spark = docs.sparkSession
@@ -182,15 +184,23 @@ def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buck
         g = group[keep]
         # how many classes hold a set's tokens, on average (a heavy token counts as many)
         held = np.bincount(group, np.where(ordered, rank, 0), len(start)) + (n - a) * 1e6
-        return pa.table({"token": token[keep], "d": d[keep], "n": n[g], "most": n[g] - alone[g], "central": (held / n)[g]})
+        of = np.where(rank == HEAVY, CLASSES - 1, np.searchsorted(CLASS_ENDS, rank))
+        shared = np.bincount((group * CLASSES + of)[ordered], minlength=len(start) * CLASSES).reshape(-1, CLASSES)
+        shared[:, -1] = n - a
+        flat = pa.array(shared[g].astype(np.int32).ravel())
+        shared = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, CLASSES, dtype=np.int32)), flat)
+        return pa.table({"token": token[keep], "d": d[keep], "n": n[g], "shared": shared, "central": (held / n)[g]})
 
     return rows.withColumn("to", F.pmod("d", F.lit(buckets))).groupBy("to").applyInArrow(
-        choose, "token long, d long, n long, most long, central double")
+        choose, "token long, d long, n long, shared array<int>, central double")
 
 
-def _fits(na: Column, ma: Column, nb: Column, mb: Column, per_cent: int) -> Column:
-    """Whether sets of sizes ``n`` with at most ``m`` shareable tokens can link (implies the size filter)."""
-    return F.least(ma, mb) * (100 + per_cent) >= (na + nb) * per_cent
+def _fits(na: Column, sa: Column, nb: Column, sb: Column, per_cent: int) -> Column:
+    """Whether two sets can link: a common token is in one frequency class, so the smaller counts bound the overlap."""
+    most = F.least(F.get(sa, F.lit(0)), F.get(sb, F.lit(0)))
+    for c in range(1, CLASSES):
+        most = most + F.least(F.get(sa, F.lit(c)), F.get(sb, F.lit(c)))
+    return most * (100 + per_cent) >= (na + nb) * per_cent
 
 
 def _own_text(rows: DataFrame, k: int) -> DataFrame:
@@ -250,12 +260,20 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _pairs(index: DataFrame, key: list[str], per_cent: int) -> DataFrame:
-    """Distinct candidate pairs of one key that could join two components."""
-    x = index.select(*key, F.col("d").alias("a"), F.col("n").alias("na"), F.col("most").alias("ma"), F.col("label").alias("la"))
-    y = index.select(*key, F.col("d").alias("b"), F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("label").alias("lb"))
-    return x.join(y, key).where((F.col("la") < F.col("lb")) & _fits(F.col("na"), F.col("ma"), F.col("nb"), F.col("mb"), per_cent)) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _pairs(index: DataFrame, per_cent: int) -> DataFrame:
+    """Candidate pairs of one token that could join two components.
+
+    With a column ``before`` (the frequent tokens of the set below ``token``) only pairs that have exactly
+    one of them in common: ``token`` is then the larger one of their smallest shared combination.
+    """
+    combined = "before" in index.columns
+    x, y = (index.select("token", *[F.col(c).alias(c + side) for c in ("d", "n", "shared", "label", *["before"] * combined)])
+            for side in ("_x", "_y"))
+    fit = (F.col("label_x") < F.col("label_y")) & _fits(F.col("n_x"), F.col("shared_x"), F.col("n_y"), F.col("shared_y"), per_cent)
+    if combined:
+        fit = fit & (F.size(F.array_intersect("before_x", "before_y")) == 1)
+    pairs = x.withColumnRenamed("token", "token_x").join(y.withColumnRenamed("token", "token_y"), (F.col("token_x") == F.col("token_y")) & fit)
+    return pairs.select(F.least("d_x", "d_y").alias("a"), F.greatest("d_x", "d_y").alias("b"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_share: float = 0.02, frequent: int = 32,
@@ -285,32 +303,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
     buckets = max(n_slices(docs), -(-n_tokens // TOKENS_PER_BUCKET))
     index = stored(prefix_index(src, k, differ, heavy, buckets), "prefixes")
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("members"),
-                                       F.max(F.struct("central", "d", "n", "most")).alias("hub")).where("members > 1")
+                                       F.max(F.struct("central", "d", "n", "shared")).alias("hub")).where("members > 1")
     met = stored(index.join(lists, "token"), "lists")            # the members of lists of two or more
     texts = met.select("d").distinct()
     first = rows.groupBy("d").agg(F.min("id").alias("id"))
     texts = texts.join(first, "d").withColumnRenamed("id", "rep")
     texts = stored(_own_text(src.join(texts, src["id"].eqNullSafe(texts["rep"])).select("d", "text"), k), "texts")
-    central = met.where((F.col("d") != F.col("hub.d")) & _fits(F.col("n"), F.col("most"), F.col("hub.n"), F.col("hub.most"), per_cent)) \
+    central = met.where((F.col("d") != F.col("hub.d")) & _fits(F.col("n"), F.col("shared"), F.col("hub.n"), F.col("hub.shared"), per_cent)) \
         .select(F.least("d", F.col("hub.d")).alias("a"), F.greatest("d", F.col("hub.d")).alias("b")).distinct()
     central = stored(central, "central")
     links = stored(verify(central, texts, k, per_cent), "links")
     labels = components(links)
-    open_ = met.select("token", "d", "n", "most").join(labels.select(F.col("node").alias("d"), "label"), "d", "left") \
+    open_ = met.select("token", "d", "n", "shared").join(labels.select(F.col("node").alias("d"), "label"), "d", "left") \
         .withColumn("label", F.coalesce("label", "d"))
     mixed = open_.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")) \
         .where("lo < hi").select("token", "members")
     open_ = stored(open_.join(mixed, "token"), "open")           # lists that still hold several components
     of_two = open_.where(F.col("members") > frequent)
-    single = of_two.groupBy("token").agg(F.count(F.lit(1)).alias("m")).agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0
-    double = of_two.groupBy("d").agg(F.count(F.lit(1)).alias("m")).agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0
-    if single > double:
-        x = of_two.select("d", "n", "most", "label", F.col("token").alias("t1"))
-        y = of_two.select("d", F.col("token").alias("t2"))
-        more = _pairs(open_.where(F.col("members") <= frequent), ["token"], per_cent).union(
-            _pairs(x.join(y, "d").where("t1 < t2"), ["t1", "t2"], per_cent)).distinct()
-    else:
-        more = _pairs(open_, ["token"], per_cent)
+    mine = of_two.groupBy(F.col("d").alias("own")).agg(F.sort_array(F.collect_list("token")).alias("hot"))
+    of_two = of_two.join(mine, F.col("d") == F.col("own")).withColumn(
+        "before", F.slice("hot", F.lit(1), F.array_position("hot", F.col("token")).cast("int") - 1)).drop("hot", "own")
+    more = _pairs(open_.where(F.col("members") <= frequent), per_cent).union(_pairs(of_two.where(F.size("before") > 0), per_cent))
+    more = stored(more.distinct(), "pairs")
     more = stored(more.join(central, ["a", "b"], "left_anti"), "candidates")
     found = stored(verify(more, texts, k, per_cent), "links")
     if found.limit(1).count():

@@ -41,7 +41,7 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     for i in range(8):
         shift += np.log(x + i)
     y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - shift
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7) - shift
 
 
 def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ ODD = np.zeros(256, dtype=bool)
 ODD[[32, *range(9, 14), *b"|<"]] = True
 BETWEEN = " |"                       # one id of its own between two stretches that start with white space
 JOINED = 1000
-MAX_CACHED = 2_000_000
+MAX_CACHED = 1_500_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -63,6 +63,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.small = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         between = self._ids([BETWEEN])[0]
         self.between = between[0] if len(between) == 1 else None
         # a vocabulary that lower-cases and drops white space gives equal ids to stretches that differ in these alone
@@ -73,9 +74,9 @@ class Encoder:
         self._reset()
 
     def _reset(self):
-        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.new = (self.keys, self.at, self.n)
-        self.ids = np.zeros(0, np.uint32)
+        self.ids = np.zeros(0, self.small)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -103,7 +104,7 @@ class Encoder:
         return np.concatenate(order), np.concatenate(counts), np.concatenate(flat)
 
     def _find(self, u: np.ndarray):
-        at, n, known = np.zeros(len(u), np.int64), np.zeros(len(u), np.int64), np.zeros(len(u), bool)
+        at, n, known = np.zeros(len(u), np.int32), np.zeros(len(u), np.int32), np.zeros(len(u), bool)
         for keys, a, m in ((self.keys, self.at, self.n), self.new):
             if len(keys):
                 i = np.minimum(np.searchsorted(keys, u), len(keys) - 1)
@@ -133,8 +134,9 @@ class Encoder:
             plain = ODD[buf[s]] & ((buf[s] == 32) | (buf[s] == 10)) & (odd[e] - odd[s] == 1) & (PRINTABLE[buf] | _letters(buf))[e - 1]
             order, m, flat = self._fresh([raw[i:j] for i, j in zip(s.tolist(), e.tolist())], plain & (self.between is not None))
             fresh = fresh[order]
-            a = len(self.ids) + np.cumsum(m) - m
-            self.ids = np.concatenate([self.ids, flat])
+            m = m.astype(np.int32)
+            a = (len(self.ids) + np.cumsum(m) - m).astype(np.int32)
+            self.ids = np.concatenate([self.ids, flat.astype(self.small)])
             at[fresh], n[fresh] = a, m
             k = np.concatenate([self.new[0], u[fresh]])
             order = np.argsort(k)
@@ -143,10 +145,10 @@ class Encoder:
                 k = np.concatenate([self.keys, self.new[0]])
                 order = np.argsort(k, kind="stable")
                 self.keys, self.at, self.n = (np.concatenate([x, y])[order] for x, y in zip((self.keys, self.at, self.n), self.new))
-                self.new = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        each = n[inv]
+                self.new = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        each = n[inv].astype(np.int64)
         first = np.concatenate([[0], np.cumsum(each)])
-        ids = self.ids[np.arange(first[-1]) + np.repeat(at[inv] - first[:-1], each)]
+        ids = self.ids[np.arange(first[-1]) + np.repeat(at[inv] - first[:-1], each)].astype(np.uint32)
         return ids, np.append(starts, len(buf)), first
 
 

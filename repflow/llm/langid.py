@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from repflow.llm.textkernel import LOWER, runs, utf8
 
 UND = "und"
-CODES = (1 << 24) + (1 << 16) + (1 << 8)      # 3-, 2- and 1-byte n-grams, side by side
 ROWS_AT_ONCE = 128
 HASH_RANGE = 1 << 30
 
@@ -99,8 +98,6 @@ def predict(docs: DataFrame, model: dict, carry: dict[str, Column], text_col: st
 
     def to_lang(batches):
         codes, weights = shared.value
-        column = np.full(CODES, -1, np.int32)
-        column[codes] = np.arange(len(codes))
         for b in batches:
             best, score = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
             buf, off = utf8(b.column("__text"))
@@ -111,8 +108,8 @@ def predict(docs: DataFrame, model: dict, carry: dict[str, Column], text_col: st
                     x = np.zeros((t - s, len(codes)), np.float32)
                     for r in np.flatnonzero(letter[s:t]):
                         g = grams(buf[off[s + r]:off[s + r + 1]])
-                        at = column[g]
-                        x[r, at[at >= 0]] = 1 / np.sqrt(len(g))
+                        at = np.minimum(np.searchsorted(codes, g), len(codes) - 1)
+                        x[r, at[codes[at] == g]] = 1 / np.sqrt(len(g))
                     f = x @ weights if len(codes) else np.zeros((t - s, 1), np.float32)
                     best[s:t] = f.argmax(1)
                     score[s:t] = np.clip((f.max(1) + 1) / 2, 0, 1)

@@ -24,6 +24,7 @@ HEADLINE = [
     "normalise_log1p", "highly_variable_genes", "scale_genes", "cell_type_scores", "spearman_typing",
     "stratified_split", "standardise_train_test", "mutual_information", "roc_auc",
     "series_matrix_parse", "match_folder_richness",
+    "knn_graph", "knn_classifier", "smote_oversample", "pca_embedding",
 ]
 
 

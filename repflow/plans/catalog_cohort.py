@@ -127,7 +127,7 @@ def _run_table(spark, sf):
                     F.concat(F.lit("SRR"), (F.lit(1000) + k).cast("string")).alias("Run_acc"))
 
 
-@register("cohort_run_join", "JN-2 SRC-10", with_ctes(f"""
+@register("cohort_run_join", "JN-2", with_ctes(f"""
     SELECT l.GSM_ID, l.ord, r.Experiment, r.Run_acc
     FROM (SELECT CASE WHEN ord % 13 = 0 THEN NULL ELSE 'GSM' || CAST(ord AS VARCHAR) END AS GSM_ID, ord FROM metadata) l
     LEFT JOIN ({_RUNTABLE_SQL}) r ON l.GSM_ID IS NOT DISTINCT FROM r.GSM_ID""", "metadata"))

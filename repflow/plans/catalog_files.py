@@ -26,7 +26,7 @@ def _scratch(spark, name):
     return shared_dir(spark, f"repflow-fixtures/{name}-{uuid.uuid4().hex[:12]}")
 
 
-@register("match_folder_richness", "SRC-6 SRC-7 SNK-1 SET-5 AGG-1", with_ctes(
+@register("match_folder_richness", "SRC-6 SRC-7 SNK-1 AGG-1", with_ctes(
     "SELECT sample, count(DISTINCT CDR3_match) AS Unique_CDR3_Count FROM matches GROUP BY sample", "matches"))
 def q_folder(spark, sf):
     out = _scratch(spark, "matches")
@@ -79,7 +79,7 @@ def q_series(spark, sf):
     return SRC.parse_series_matrix(spark, path).select("Title", "GSM_ID", "BioSample", "Disease", "patient_id")
 
 
-@register("incremental_match", "SNK-4 SNK-3 SNK-5 SNK-1 SRC-2 SRC-3", with_ctes("""
+@register("incremental_match", "SNK-4 SNK-1", with_ctes("""
     SELECT CAST(CAST(split_part(read_id, '_', 1) AS BIGINT) % 4 AS INTEGER) AS file_group, count(*) AS n_matches
     FROM hits GROUP BY 1""", "hits"))
 def q_incremental(spark, sf):
@@ -143,7 +143,7 @@ def q_publicness(spark, sf):
     return p.select("CDR3_match", r6("publicness_score").alias("publicness_score"))
 
 
-@register("vdj_csv_prefixed", "SRC-9 SRC-10 SNK-6", with_ctes("""
+@register("vdj_csv_prefixed", "SRC-9 SNK-6", with_ctes("""
     SELECT sample AS vdj_sample, barcode AS vdj_barcode, cdr3 AS vdj_cdr3 FROM contigs""", "contigs"))
 def q_vdj_csv(spark, sf):
     path = _scratch(spark, "vdj")

@@ -29,7 +29,7 @@ def q_bulk_match(spark, sf):
     return seq.match_bulk(fx.reads(spark, sf), fx.patterns(spark, sf))
 
 
-@register("sc_match", "SEQ-6 SRC-4", with_ctes(
+@register("sc_match", "SEQ-6", with_ctes(
     "SELECT read_id || '|' || strand || CAST(frame AS VARCHAR) AS seq_id, CDR3_match, UMI, CB FROM hits",
     "hits"))
 def q_sc_match(spark, sf):

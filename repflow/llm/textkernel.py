@@ -34,7 +34,7 @@ def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def runs(offsets: np.ndarray, max_bytes: int = 1 << 21):
+def runs(offsets: np.ndarray, max_bytes: int = 1 << 20):
     """Document ranges ``(i, j)`` of at most ``max_bytes`` bytes (a longer document stands alone)."""
     i, n = 0, len(offsets) - 1
     while i < n:

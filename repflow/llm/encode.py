@@ -31,7 +31,7 @@ ODD = np.zeros(256, dtype=bool)
 ODD[[32, *range(9, 14), *b"|<"]] = True
 BETWEEN = " |"                       # one id of its own between two stretches that start with white space
 JOINED = 1000
-MAX_CACHED = 1_500_000
+MAX_CACHED = 600_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 

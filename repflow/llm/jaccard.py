@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repflow.llm.tables import n_slices, stored
@@ -66,7 +66,7 @@ def summaries(docs: DataFrame, k: int, heavy_share: float) -> DataFrame:
     return docs.mapInArrow(summarise, "kind tinyint, id long, d long, n long")
 
 
-def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buckets: int) -> DataFrame:
+def prefix_index(docs: DataFrame, k: int, per_cent: int, heavy: np.ndarray, buckets: int) -> DataFrame:
     """``(token, d, n, shared, central)``: extended prefixes, in the common order, of the classes that may have a partner.
 
     ``shared`` are the numbers of a set's tokens that other classes hold, per frequency class.  Tokens are
@@ -120,7 +120,7 @@ def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buck
                     d = _digest(s)
                     if not len(s) or d in seen:
                         continue
-                    need = int(len(s) * differ) + 2
+                    need = len(s) * (100 - per_cent) // 100 + 2
                     common = np.isin(s, often) if len(often) else np.zeros(len(s), bool)
                     plain = s[~common] >> np.uint64(16)
                     held.append((plain, len(seen), 0))
@@ -178,7 +178,7 @@ def prefix_index(docs: DataFrame, k: int, differ: float, heavy: np.ndarray, buck
         sums = np.concatenate([[0], np.cumsum(ordered)])
         in_order = sums[np.append(start[1:], len(d))] - sums[start]
         alone = a - in_order                                    # ordered tokens that no other class has
-        allowed = (n * differ).astype(np.int64)
+        allowed = n * (100 - per_cent) // 100
         place = sums[:-1] - sums[start][group]                  # place among the class's shared ordered tokens
         keep = ~fact & (alone <= allowed)[group] & (~ordered | (place < (allowed + 2 - alone)[group]))
         g = group[keep]
@@ -290,7 +290,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
     """
     if not 50 <= per_cent <= 100:
         raise ValueError("per_cent is 50 to 100")
-    differ = 1 - per_cent / 100
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     seen = stored(summaries(src, k, heavy_share), "summaries")
     rows = seen.where("kind = 0").select("id", "d", "n")
@@ -301,7 +300,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
         .where(F.col("n") >= max(64, heavy_share / 2 * n_rows)).select("d").toPandas()["d"].to_numpy(np.int64)
     heavy = np.sort(heavy.view(np.uint64))
     buckets = max(n_slices(docs), -(-n_tokens // TOKENS_PER_BUCKET))
-    index = stored(prefix_index(src, k, differ, heavy, buckets), "prefixes")
+    index = stored(prefix_index(src, k, per_cent, heavy, buckets), "prefixes")
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("members"),
                                        F.max(F.struct("central", "d", "n", "shared")).alias("hub")).where("members > 1")
     met = stored(index.join(lists, "token"), "lists")            # the members of lists of two or more

@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from repflow.llm.langid import grams, identify
-from repflow.llm.quality import model_tables, quality, _log_p
+from repflow.llm.quality import model_tables, quality, quantiles, _log_p
 from repflow.llm.toxicity import score_documents, segments
 from .conftest import mod
 
@@ -93,3 +93,30 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     none = quality(odd_docs, trusted.limit(0)).collect()
     assert all(r.kept == (r.n_bytes > 0) for r in none)
     assert quality(no_docs, trusted).count() == 0
+
+
+def test_all_trusted_text_counts_however_long(spark):
+    # 80 MB of long texts, and 400 short ones of a rare language that a sample of fixed size would lose
+    long = spark.range(200).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("the long text number "), "id", F.lit(" goes on and on. ")), 10_000).alias("text"), F.lit("en").alias("lang"))
+    rare = spark.range(1000, 1400).select(F.col("id").alias("doc_id"), F.concat(F.lit("žluťoučký kůň úpěl ďábelské ódy "), F.sha2(F.col("id").cast("string"), 256)).alias("text"), F.lit("cs").alias("lang"))
+    docs = long.unionByName(rare)
+    got = quality(docs, docs.select("doc_id"), min_texts=30).groupBy("lang").agg(F.min("threshold").alias("t"), F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    limit, kept = {r.lang: r.t for r in got}, {r.lang: r.kept for r in got}
+    assert limit["cs"] != limit["en"] and kept["cs"] > 0.95 and kept["en"] > 0.95
+
+
+def test_quality_is_the_same_from_shared_and_joined_model(small, odd_docs, labels):
+    for df, trusted in ((small, labels.where("quality = 1").select("doc_id")), (odd_docs, odd_docs.select("doc_id"))):
+        rows = [sorted((r.doc_id or -1, r.lang or "", r.n_bytes, r.kept, round(r.perplexity or 0, 6), round(r.threshold, 6)) for r in quality(df, trusted, min_texts=5, **kw).collect())
+                for kw in ({}, {"max_shared": 0, "chunk_bytes": 40_000})]
+        assert rows[0] == rows[1] and len(rows[0]) == df.count()
+
+
+def test_quantiles_are_exact(spark):
+    rnd = np.random.default_rng(5)
+    rows = [(k, float(v)) for k, n in (("a", 1), ("b", 2), ("c", 400), ("d", 1001)) for v in np.round(rnd.normal(2, 0.3, n), 2 if k == "c" else 9)]
+    df = spark.createDataFrame(rows, "key string, rate double")
+    for q in (0.0, 0.5, 0.995, 1.0):
+        for r in quantiles(df, q).collect():
+            own = [v for k, v in rows if k == r.key]
+            assert r.n == len(own) and abs(r.limit - np.quantile(own, q)) < 1e-12

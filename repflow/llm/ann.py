@@ -9,7 +9,7 @@ precision, until ``r^2 >= q d_k^2`` with ``d_k`` the k-th verified distance and
 chi-square quantile of ``confidence``: a missed neighbour then has a projected distance that
 happens with probability ``1 - confidence`` at most.
 
-All rows are indexed.  Equal vectors share one tree point that keeps their ``k + 1``
+All distinct rows are indexed (repeated ones once).  Equal vectors share one tree point that keeps their ``k + 1``
 smallest ids (no others can be among the ``k`` nearest), so a vector that fills a
 third of the table costs one point per block.
 """
@@ -87,7 +87,7 @@ class Tree:
 
 def search_block(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, qx: np.ndarray, k: int, m: int, quantile: float,
                  seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(query ids, row ids, distances)``: each query's ``k`` nearest found in one block."""
+    """``(query ids, row ids, distances)``: each query's ``k`` nearest found in one block of distinct rows."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
     _, first, group = np.unique(np.ascontiguousarray(x + 0.0).view(f"V{8 * x.shape[1]}").ravel(), return_index=True, return_inverse=True)
@@ -108,8 +108,8 @@ def search_block(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, qx: np.ndarra
             diff = points[a:b] - v
             dist = np.sqrt((diff * diff).sum(1))
             near = np.flatnonzero(dist <= best[-1][0]) if len(best) >= k else range(b - a)
-            best += [(float(dist[i]), j) for i in near for j in members[a + i] if j != qid]
-            best = sorted(best)[:k]
+            found = {(float(dist[i]), j) for i in near for j in members[a + i] if j != qid}
+            best = sorted(found.union(best))[:k]
         out[0].extend([qid] * len(best))
         out[1].extend(j for _, j in best)
         out[2].extend(d for d, _ in best)
@@ -124,14 +124,15 @@ def nearest(vectors: DataFrame, every: int, k: int = 10, m: int = 8, confidence:
     to the smaller id.  Candidates are all rows but those with the query's own id; fewer
     than ``k`` are all returned.  Vectors that are null, zero or hold null or
     non-finite components take no part, nor do rows without id; vectors of
-    different lengths are never compared.  A repeated id is a candidate once per
-    distinct vector.  An empty table gives no rows; other columns are ignored.
+    different lengths are never compared.  A repeated row counts once; an id with
+    several vectors is a candidate once per distinct distance.  An empty table gives
+    no rows; other columns are ignored.
     """
     v = F.col(vec_col).cast("array<double>")
     bad = F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists(v, lambda e: e != 0))
-    rows = stored(rows.withColumn("dim", F.size("v")), "vectors")
+    rows = stored(rows.withColumn("dim", F.size("v")).dropDuplicates(["dim", "id", "v"]), "vectors")
     sizes = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") % every == 0).alias("nq"))
     plan = sizes.where("nq > 0").select("dim", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"),
                                         F.ceil(F.col("nq") / query_rows).cast("int").alias("parts"))

@@ -79,6 +79,20 @@ def test_nearest_on_odd_vectors(spark):
     assert nearest(df.limit(0), 10).count() == 0
 
 
+def test_nearest_with_repeated_rows(spark):
+    rnd = random.Random(2)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(6)]) for i in range(60)] + [(100 + i, [1.0, 0.0, 2.0, 1.0, 1.0, 1.0]) for i in range(14)]
+    odd = [(201, [1.0, -0.0, 2.0, 1.0, 1.0, 1.0]), (202, [3.0, 0.0, 2.0, 1.0, 1.0, 1.0]), (202, [-1.0, 0.0, 2.0, 1.0, 1.0, 1.0])]     # 202 twice at one distance
+    want = {q: sorted(set(_nearest_brute(rows + odd, 10, 99)[q]))[:10] for q in _nearest_brute(rows + odd, 10, 1)}
+    for times in (2, 20):
+        df = spark.createDataFrame([r for r in rows for _ in range(times if r[0] % 3 else 1)] + odd * times, "vec_id bigint, embedding array<double>").repartition(5)
+        for kw in ({}, {"block_rows": 25, "query_rows": 3}):
+            got = {}
+            for r in nearest(df, 10, confidence=0.999999, **kw).collect():
+                got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+            assert {q: [i for _, i in sorted(v)] for q, v in got.items()} == {q: [i for _, i in v] for q, v in want.items()}
+
+
 def test_nearest_recall_with_production_parameters(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in df.collect()]

@@ -296,7 +296,7 @@ def q_importance(spark, sf):
     from repflow.operators import models as MD
 
     train, _ = _train_test(spark, sf)
-    rf = MD.RandomForestClassifier(featuresCol="scaled", labelCol="label", numTrees=MD.RF_TREES, seed=MD.SEED).fit(train)
+    rf = MD.RandomForestClassifier(featuresCol="scaled", labelCol="label", numTrees=MD.SELECT_TREES, seed=MD.SEED).fit(train)
     names = [f"e{i}" for i in range(rf.numFeatures)]
     _, kept = MD.select_from_model(train, rf)
     t = MD.importance_table(rf, names).withColumn("selected", F.col("feature").isin([names[i] for i in kept]))
@@ -307,25 +307,23 @@ def q_importance(spark, sf):
 def q_resampling(spark, sf):
     from repflow.operators import models as MD
 
-    lab = fx.table(spark, sf, "labels")
     d = _doc_feats(spark, sf).drop("f_empty")
     d = ML.median_impute(d, ["f_chars", "f_lines"])
     d = ML.stratified_split(d, "toxic", "doc_id").withColumn("label", F.col("toxic").cast("double"))
     from pyspark.ml.feature import VectorAssembler
     d = VectorAssembler(inputCols=["f_chars", "f_lines"], outputCol="features").transform(d)
-    train, test = d.where("split = 'train'"), d.where("split = 'test'")
+    from repflow.plans.partitioning import materialize
+    trs, tes = (materialize(x) for x in MD.scale_vectors(d.where("split = 'train'"), d.where("split = 'test'")))
+    kw = {"featuresCol": "scaled", "labelCol": "toxic", "weightCol": "w"}
+    models = {"Logistic Regression": MD.LogisticRegression(maxIter=MD.LR_ITER, **kw),
+              "Random Forest": MD.RandomForestClassifier(numTrees=100, maxDepth=MD.RF_DEPTH, seed=MD.SEED, **kw),
+              "Gradient Boosting": MD.GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.3, seed=MD.SEED, **kw)}
     out = None
-    w = ML.class_weights(train, "toxic").select("toxic", F.col("weight").alias("w"))
-    variants = {"base": train, "over": ML.oversample(train, "toxic", "doc_id"),
-                "under": ML.undersample(train, "toxic", "doc_id"), "weighted": train.join(w, "toxic")}
-    for name, tr in variants.items():
-        trs, tes = MD.scale_vectors(tr, test)
-        lr = MD.LogisticRegression(featuresCol="scaled", labelCol="label", maxIter=100)
-        if name == "weighted":
-            lr.setWeightCol("w")
-        row = MD.evaluate(lr.fit(trs).transform(tes)).select(F.lit(name).alias("variant"), "*")
-        out = row if out is None else out.unionByName(row)
-    _ = lab
+    for name, tr in MD.resampled(trs, "toxic", "doc_id").items():
+        tr = materialize(tr)
+        for model, est in models.items():
+            row = MD.evaluate(est.fit(tr).transform(tes)).select(F.lit(model).alias("Model"), F.lit(name).alias("variant"), "*")
+            out = row if out is None else out.unionByName(row)
     return out
 
 
@@ -444,7 +442,7 @@ def q_knn_clusters(spark, sf):
 @register("cohort_model_v2", "ML-27 ML-9 ML-5 ML-8 ML-18 ML-19 ML-20 ML-22")
 def q_model_v2(spark, sf):
     """The v2 order without leakage: split -> scale (train stats) -> SMOTE (train only)
-    -> MI top-k (train only) -> CV-tuned forest + logistic -> soft vote -> holdout metrics."""
+    -> MI top-k (train only) -> CV-tuned forest and two boosters -> soft vote -> holdout metrics."""
     from pyspark.ml.functions import array_to_vector
     from repflow.operators import models as MD
     from repflow.operators import neighbors as NB
@@ -471,10 +469,6 @@ def q_model_v2(spark, sf):
 
     tr = materialize(MD.stratified_folds(features(res), "label", "id"))
     te = materialize(features(test))
-    rf = MD.RandomForestClassifier(featuresCol="features", labelCol="label", seed=MD.SEED)
-    maps = MD.random_search_maps(MD.ParamGridBuilder().addGrid(rf.numTrees, [20, 50])
-                                 .addGrid(rf.maxDepth, [4, 8]).build(), 2)
-    best_rf = MD.cross_validate(rf, tr, maps).bestModel
-    lr = MD.LogisticRegression(featuresCol="features", labelCol="label", maxIter=50, regParam=0.01).fit(tr)
-    voted = MD.soft_vote_models({"rf": best_rf, "lr": lr}, te, 10)
-    return MD.evaluate(voted)
+    n_classes = tr.select("label").distinct().count()
+    tuned = {name: MD.cross_validate(est, tr, maps).bestModel for name, (est, maps) in MD.searches(n_classes).items()}
+    return MD.evaluate(MD.soft_vote_models(tuned, te, n_classes))

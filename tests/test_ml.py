@@ -59,3 +59,41 @@ def test_feature_vectors_equal_wide_pivot(spark):
     assert vec == {"s1": [1.0, 2.0], "s2": [5.0, 0.0]}
     wide = {r["sample"]: [r["CB"], r["CA"]] for r in P.pivot_matrix(P.restrict_to(long, top), ["CB", "CA"]).collect()}
     assert wide == vec
+
+
+def test_models_have_the_settings_of_the_reference(spark):
+    from repflow.operators import models as MD
+
+    m = MD.classifiers(2)
+    assert m["Random Forest"].getNumTrees() == 200 and m["Random Forest"].getMaxDepth() == 30
+    assert (m["Gradient Boosting"].getMaxIter(), m["Gradient Boosting"].getStepSize()) == (300, 0.05)
+    draws = {name: maps for name, (_, maps) in MD.searches(10).items()}
+    assert {name: len(maps) for name, maps in draws.items()} == {"rf": 8, "xgb": 8, "lgb": 6}
+    drawn = {(name, p.name): set() for name, maps in draws.items() for p in maps[0]}
+    for name, maps in draws.items():
+        for pm in maps:
+            for p, v in pm.items():
+                drawn[name, p.name].add(v)
+    assert drawn["rf", "numTrees"] <= {200, 400, 600} and drawn["xgb", "maxIter"] <= {200, 400} and drawn["lgb", "maxIter"] <= {200, 400}
+
+
+def test_search_reaches_the_boosters_of_one_versus_rest(spark):
+    from repflow.operators import models as MD
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(float(i % 3), Vectors.dense([i % 3 + (i % 7) / 10, i % 5])) for i in range(60)], ["label", "features"])
+    est, maps = MD.searches(3)["lgb"]
+    pm = dict(maps[0]) | {p: 2 for p in maps[0] if p.name == "maxIter"}
+    model = est.fit(df, pm)
+    assert [m.getNumTrees for m in model.models] == [2, 2, 2]
+    assert MD.soft_vote_models({"a": model, "b": model, "c": model}, df, 3).count() == 60
+
+
+def test_resampling_has_every_variant(spark):
+    from repflow.operators import models as MD
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(i, int(i % 4 == 0), Vectors.dense([float(i), float(i * i % 17)])) for i in range(80)]
+    got = MD.resampled(spark.createDataFrame(rows, ["doc_id", "toxic", "scaled"]), "toxic", "doc_id")
+    n = {name: {r["toxic"]: r["count"] for r in df.groupBy("toxic").count().collect()} for name, df in got.items()}
+    assert n == {"base": {0: 60, 1: 20}, "over": {0: 60, 1: 60}, "under": {0: 20, 1: 20}, "smote": {0: 60, 1: 60}, "weighted": {0: 60, 1: 20}}

@@ -15,9 +15,10 @@ Tokens are the distinct ``k``-word shingles of a text.  Sets with
    central one; verified links give first components.  Only pairs that
    could still join two components are candidates from then on.
 4. Rare tokens are indexed singly.  Tokens of the frequent class (lists longer than
-   ``frequent`` that still hold several components) are indexed in combinations
+   ``frequent`` that still hold several components) are met in combinations
    of two, of which linked sets share one in their extended prefixes: the larger token is the
-   key and carries the smaller ones, so a pair meets once, in its smallest shared combination.
+   join key and carries the smaller ones; a condition on each pair of its list leaves a pair
+   once, in its smallest shared combination.
 5. Candidates of fitting size are verified on the whole shingle sets of the
    texts themselves.  Components come from label propagation with pointer jumps.
 """
@@ -278,7 +279,7 @@ def _pairs(index: DataFrame, per_cent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_share: float = 0.02, frequent: int = 32,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row per input row.
+    """``(doc_id, n_shingles, component_id)``, one row per input row: components, not all links.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; two texts link when
     ``100 |x & y| >= per_cent |x | y|`` of their shingle sets.  ``component_id`` is the smallest id

@@ -13,6 +13,7 @@ from repflow.llm.jaccard import jaccard_components
 from repflow.llm.langid import identify
 from repflow.llm.mixing import mix_sources
 from repflow.llm.packing import pack
+from repflow.llm.piece import round_trip
 from repflow.llm.quality import quality
 from repflow.llm.tables import crc_mod, table
 from repflow.llm.tokenbin import token_shards
@@ -109,6 +110,11 @@ def op1_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"))
 
 
+@query()
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -15,9 +15,11 @@ from repflow.llm.mixing import mix_sources
 from repflow.llm.packing import pack
 from repflow.llm.piece import round_trip
 from repflow.llm.quality import quality
+from repflow.llm.spelling import spelling_variants
 from repflow.llm.tables import crc_mod, table
 from repflow.llm.tokenbin import token_shards
 from repflow.llm.toxicity import score_documents
+from repflow.llm.turns import conversation_trie
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -110,6 +112,36 @@ def op1_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"))
 
 
+@query("""WITH raw AS (SELECT conv_id, strlen(coalesce(text, '')) AS size, turn,
+    sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS id FROM conversations WHERE conv_id IS NOT NULL),
+  t AS (SELECT conv_id, id, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS p FROM raw),
+  h AS (SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(flatten(list_prepend([4294967295::BIGINT],
+      list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: [ord(substr(conv_id::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, x: CASE WHEN x < 0 THEN xor(c >> 1, 3988292384 * (c & 1)) ELSE xor(c, x) END), 4294967295) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM raw)),
+  r AS (SELECT h.conv_id, t.p, t.id, t.size FROM h JOIN t ON t.conv_id = h.base AND t.p <= h.h
+    UNION ALL SELECT h.conv_id, t.p, t.id, t.size FROM h JOIN t ON t.conv_id = h.conv_id AND t.p > h.h),
+  s AS (SELECT h.conv_id, coalesce(list(r.id ORDER BY r.p) FILTER (r.p IS NOT NULL), []) AS ids,
+    coalesce(list(r.size ORDER BY r.p) FILTER (r.p IS NOT NULL), []) AS sizes FROM h LEFT JOIN r ON r.conv_id = h.conv_id GROUP BY h.conv_id),
+  m AS (SELECT conv_id, depth, md5(array_to_string(ids[1:depth], ',')) AS node, coalesce(sizes[depth], 0) AS size, len(ids) = depth AS ends
+    FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS depth FROM s)),
+  n AS (SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS own, bool_and(ends) AS leaf,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY depth, node),
+  a AS (SELECT m.depth, m.node, count(*) FILTER (n.leaf)::BIGINT AS n_leaves, sum(n.own)::BIGINT AS saved_tokens,
+    count(*) FILTER (n.depth = m.depth + 1)::BIGINT AS n_children FROM n JOIN m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY m.depth, m.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, a.n_children, a.n_leaves, a.saved_tokens, n.ends_sha256
+FROM n JOIN a ON a.depth = n.depth AND a.node = n.node
+LEFT JOIN (SELECT m.conv_id AS member, n.conv_id, n.depth FROM m JOIN n ON m.depth = n.depth AND m.node = n.node) p
+  ON p.member = n.conv_id AND p.depth = n.depth - 1""")
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"), rebuild=True)
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))

@@ -28,7 +28,7 @@ from repflow.llm.textkernel import LOWER, runs, segment_hash, utf8
 
 RUN_BYTES = 8 << 20
 FLUSH_BYTES = 48 << 20
-LONG = 48                                  # bytes; longer runs are checksummed one by one
+LONG = 48                                  # longer runs are checksummed one by one, longer words compared in linear time
 _CRC = np.arange(256, dtype=np.uint32)
 for _ in range(8):
     _CRC = np.where(_CRC & 1, (_CRC >> 1) ^ np.uint32(0xEDB88320), _CRC >> 1)
@@ -151,6 +151,16 @@ def _keyed(words: DataFrame, length: Column, shift: Column, side: str) -> DataFr
         *([F.col("__k.which").alias("which")] if side == "x" else [shift.alias("shift")]))
 
 
+def _one_edit(x: Column, y: Column, shift: Column) -> Column:
+    """Whether one code point replaced (``shift`` 0) or inserted (1) makes ``y`` of ``x``; linear in long words."""
+    a, b = F.split(x, ""), F.split(y, "")
+    same = F.zip_with(a, F.slice(b, 1, F.size(a)), lambda u, v: u == v)
+    front = F.array_position(same, F.lit(False)).cast("int")           # the first differing place, from 1; 0: none
+    long = F.when((front == 0) & (shift == 1), F.lit(True)).when(front == 0, F.lit(False)).otherwise(
+        F.substring(x, front + 1 - shift, F.length(x)) == F.substring(y, front + 1, F.length(y)))
+    return F.when(F.length(x) <= LONG, F.levenshtein(x, y, 1) == 1).otherwise(long)
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """``(x, x_n, y, y_n)``: every pair of distinct words one inserted, deleted or replaced code point apart, once.
 
@@ -165,7 +175,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     first = F.lit(None).cast("int")
     for i, s in reversed(list(enumerate(same))):
         first = F.when(s, i).otherwise(first)
-    return met.where(F.levenshtein("x", "y", 1) == 1).where(F.col("which") == first).select("x", "x_n", "y", "y_n")
+    return met.where(_one_edit(F.col("x"), F.col("y"), shift)).where(F.col("which") == first).select("x", "x_n", "y", "y_n")
 
 
 def roots(forms: DataFrame) -> DataFrame:

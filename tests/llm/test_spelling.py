@@ -75,7 +75,7 @@ def test_checksums_equal_zlib():
 
 def test_pairs_equal_brute_force(spark):
     rng = np.random.default_rng(2)
-    words = {"".join(rng.choice(list("abé"), rng.integers(1, 9))) for _ in range(900)} | {"aaaaaa", "aaaaaaa", "z" * 400, "z" * 401, "y" + "z" * 400}
+    words = {"".join(rng.choice(list("abé"), rng.integers(1, 9))) for _ in range(900)} | {"aaaaaa", "aaaaaaa", "z" * 400, "z" * 401, "y" + "z" * 400, "z" * 399 + "y", "z" * 200 + "xz" + "z" * 200, "z" * 200 + "xy" + "z" * 200}
     df = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
     got = [(r.x, r.y) for r in near_pairs(df).collect()]
     want = {frozenset((a, b)) for a in words for b in words if near(a, b)}
@@ -100,8 +100,8 @@ def test_a_chunk_shared_by_all_words(spark):
 
 def test_odd_input(spark, odd_docs, no_docs):
     words = "colour Colour ÉCOLE école cölour colou× naïveté×÷ " * 4
-    rows = [(1, words), (1, words), (None, words), (2, None), (3, ""), (4, "- 12 中文 é"), (5, "a" * 2_000_000 + " x" * 10), (6, "a" * 2_000_000 + " colours" * 60),
-            (7, ("a" * 2_000_000 + " ") * 3)] + [(i, "colour harbour harbours") for i in range(100, 900)]
+    rows = [(1, words), (1, words), (None, words), (2, None), (3, ""), (4, "- 12 中文 é"), (5, "a" * 200_000 + " x" * 10), (6, "a" * 200_000 + " colours" * 60),
+            (7, ("a" * 200_000 + " ") * 3)] + [(i, "colour harbour harbours") for i in range(100, 900)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("word", F.lit("clash")).withColumn("n", F.lit(1))
     words = brute_words(rows)
     assert any(len(w) == 5 + 6 or w == "harbor" or len(w) > 100 for w in words)

@@ -55,7 +55,10 @@ def match_run(spark: SparkSession, in_dir: str, patterns: DataFrame, out_dir: st
     hits = materialize(hits.select(named, "CDR3_match", *extra, "source_file"))
     if hits.limit(1).count():
         SK.write_matches(hits, out_dir, overwrite=True)       # dynamic: only this run's files are replaced
-    elif SK._read_or_none(spark, out_dir) is None:
+    if overwrite:       # a file of this run without a hit keeps none of its earlier ones
+        without = known.where("whole").join(hits.select("source_file"), "source_file", "left_anti")
+        SK.drop_outputs(spark, out_dir, without)
+    if SK._read_or_none(spark, out_dir) is None:
         SK.write_empty(hits.withColumn("output", SK.output_name(F.col("source_file"))).drop("source_file").schema, out_dir, spark)
     found = hits.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_matches"))
     done = known.join(found, "source_file", "left").select(

@@ -8,6 +8,8 @@ the selected (highly variable) genes.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ MAX_PCT_MITO = 20.0
 TARGET_SUM = 1e4
 HVG_MIN_MEAN, HVG_MAX_MEAN, HVG_MIN_DISP, HVG_BINS = 0.0125, 3.0, 0.5, 20
 SCALE_MAX = 10.0
+MAX_MODEL = 20_000_000          # rows of a typing model: genes x types, genes x reference samples
 # ---------------------------------------------------------------------------
 
 
@@ -148,20 +151,51 @@ def scale(coo: DataFrame, max_value: float = SCALE_MAX, clip_low: bool = True, c
     return entries, zeros
 
 
+def _vectors(coo: DataFrame, names: list[str]) -> DataFrame:
+    """``(cell, g, v)``: per cell the numbers (in ``names``) and values of its known genes (one entry per cell and gene)."""
+    index = coo.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "gene string, g int")      # genes of the model
+    rows = coo.join(F.broadcast(index), "gene").select("cell", "g", F.col("value").cast("double").alias("v"))
+    rows = rows.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("g", "v"))).alias("x"))
+    return rows.select("cell", F.transform("x", lambda x: x["g"]).alias("g"), F.transform("x", lambda x: x["v"]).alias("v"))
+
+
+def _bounded(df: DataFrame, what: str) -> list:
+    """The rows of a model table, at most ``MAX_MODEL`` of them."""
+    rows = df.limit(MAX_MODEL + 1).collect()
+    if len(rows) > MAX_MODEL:
+        raise ValueError(f"{what} has more than {MAX_MODEL} rows")
+    return rows
+
+
 def type_scores(logged: DataFrame, weights: DataFrame, intercepts: DataFrame) -> DataFrame:
     """MAT-14: per cell and type: sigmoid(sum of weight x value + intercept); best type per cell.
 
     ``weights(gene, cell_type, weight)``, ``intercepts(cell_type, intercept)`` are
-    model tables (bounded by genes x types), joined on gene.
+    model tables (at most ``MAX_MODEL`` rows).  A cell is one sparse vector over the model's genes, multiplied with the
+    genes x types matrix a batch at a time; cells without any of the genes are left out.  A type without an
+    intercept has 0; probabilities equal to 9 decimals are ties, broken by type name.
     """
-    s = logged.join(weights, "gene").groupBy("cell", "cell_type").agg(
-        F.sum(F.col("value") * F.col("weight")).alias("__s"))
-    s = s.join(F.broadcast(intercepts), "cell_type", "left")
-    s = s.withColumn("prob", 1.0 / (1.0 + F.exp(-(F.col("__s") + F.coalesce("intercept", F.lit(0.0))))))
-    # probabilities equal to 9 decimals are ties, broken by type name
-    w = Window.partitionBy("cell").orderBy(F.round("prob", 9).desc(), F.asc("cell_type"))
-    return s.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(
-        "cell", F.col("cell_type").alias("predicted_labels"), "prob")
+    from repflow.operators.spectral import _entries, _products
+
+    w = [r for r in _bounded(weights.select("gene", "cell_type", F.col("weight").cast("double")), "the weights") if None not in r]
+    types, genes = sorted({r[1] for r in w}), sorted({r[0] for r in w})
+    b = {r[0]: r[1] for r in _bounded(intercepts.select("cell_type", F.col("intercept").cast("double")), "the intercepts")}
+    m = np.zeros((len(genes), len(types)))
+    at_gene, at_type = {g: i for i, g in enumerate(genes)}, {t: i for i, t in enumerate(types)}
+    for gene, kind, value in w:
+        m[at_gene[gene], at_type[kind]] += value
+    shift = np.array([b.get(t) or 0.0 for t in types])
+    shared = logged.sparkSession.sparkContext.broadcast(m)
+
+    def to_best(batches):
+        for x in batches:
+            prob = 1.0 / (1.0 + np.exp(-(_products(*_entries(x), shared.value) + shift)))
+            best = np.round(prob, 9).argmax(1) if len(types) else np.zeros(0, int)
+            yield pa.record_batch([x.column("cell"), pa.array(np.array(types, object)[best], pa.string()), pa.array(prob[np.arange(len(best)), best])],
+                                  names=["cell", "predicted_labels", "prob"])
+
+    cells = _vectors(logged, genes)
+    return cells.mapInArrow(to_best, cells.select("cell").schema.add("predicted_labels", "string").add("prob", "double"))
 
 
 def majority_vote(labels: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -186,44 +220,56 @@ def spearman_typing(expr: DataFrame, ref: DataFrame, quantile: float = 0.8, tie_
     """MAT-16: reference-profile typing by Spearman correlation.
 
     ``expr(cell, gene, value)`` sparse (absent = 0); ``ref(ref_id, label, gene,
-    value)`` dense over the marker genes G (the genes of ``ref``).  Cell ranks
-    include the implicit zeros through closed forms: the absent genes share
-    one average rank, so sums over them come from totals minus the present
-    genes.  Score per label = ``quantile`` of the correlations with that
-    label's reference samples; the label with the top score wins (scores equal
-    to ``tie_digits`` decimals are ties, broken by label name).
+    value)`` dense over the marker genes G (the genes of ``ref``; at most ``MAX_MODEL`` rows).  A cell is one sparse
+    vector; its ranks include the implicit zeros in closed form (the absent genes share one average rank), and the
+    rank products with all profiles are one matrix product per batch, so the shuffle is linear in the entries.
+    Score per label = ``quantile`` of the correlations with that label's reference samples (undefined ones left
+    out); the label with the top score wins (scores equal to ``tie_digits`` decimals are ties, broken by label name).
+    Cells without any marker gene are left out.
     """
-    genes = ref.select("gene").distinct()
-    n_g = genes.agg(F.count(F.lit(1)).cast("double").alias("G"))
-    e = expr.join(F.broadcast(genes), "gene", "left_semi").where(F.col("value") != 0)
-    # per cell: k present genes; absent genes (all zero) share rank z = (G-k+1)/2 when values > 0
-    e = _one_row_join(e, n_g)
-    k = F.count(F.lit(1)).over(Window.partitionBy("cell"))
-    e = e.withColumn("__k", k)
-    neg = F.count_if(F.col("value") < 0).over(Window.partitionBy("cell"))
-    e = e.withColumn("__neg", neg)
-    e = _avg_ranks(e, "cell")
-    # shift: present values rank among themselves; zeros sit between negatives and positives
-    zeros = F.col("G") - F.col("__k")
-    e = e.withColumn("rank", F.when(F.col("value") > 0, F.col("rank") + zeros).otherwise(F.col("rank")))
-    e = e.withColumn("__z", F.col("__neg") + (zeros + 1) / 2.0)
-    rr = _avg_ranks(ref, "ref_id").select("ref_id", "label", "gene", F.col("rank").alias("__rr"))
-    ref_tot = rr.groupBy("ref_id", "label").agg(F.sum("__rr").alias("__sr"), F.sum(F.col("__rr") ** 2).alias("__srr"))
-    # present-gene cross sums per (cell, ref): bounded fan-out = number of reference samples
-    p = e.join(F.broadcast(rr), "gene").groupBy("cell", "ref_id").agg(
-        F.sum(F.col("rank") * F.col("__rr")).alias("__xy"), F.sum("__rr").alias("__sy_p"))
-    cell_tot = e.groupBy("cell").agg(F.first("G").alias("G"), F.first("__k").alias("__k"),
-                                     F.first("__z").alias("__z"), F.sum("rank").alias("__sx_p"),
-                                     F.sum(F.col("rank") ** 2).alias("__sxx_p"))
-    c = p.join(cell_tot, "cell").join(F.broadcast(ref_tot), "ref_id")
-    G, z, kk = F.col("G"), F.col("__z"), F.col("__k")
-    sxy = F.col("__xy") + z * (F.col("__sr") - F.col("__sy_p"))
-    sx = F.col("__sx_p") + (G - kk) * z
-    sxx = F.col("__sxx_p") + (G - kk) * z * z
-    cov = sxy - sx * F.col("__sr") / G
-    vx = sxx - sx * sx / G
-    vy = F.col("__srr") - F.col("__sr") * F.col("__sr") / G
-    c = c.select("cell", "ref_id", "label", F.try_divide(cov, F.sqrt(vx * vy)).alias("corr"))
-    s = c.groupBy("cell", "label").agg(F.percentile("corr", quantile).alias("score"))
-    w = Window.partitionBy("cell").orderBy(F.round("score", tie_digits).desc(), F.asc("label"))
-    return s.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select("cell", "label", "score")
+    from repflow.operators.spectral import _entries, _products
+
+    got = _bounded(_avg_ranks(ref, "ref_id").select("ref_id", "label", "gene", "rank"), "the reference")
+    genes, refs = sorted({r["gene"] for r in got}), sorted({(r["label"], r["ref_id"]) for r in got})
+    labels = sorted({x[0] for x in refs})
+    ranks = np.zeros((len(genes), len(refs)))
+    at_gene, at_ref = {g: i for i, g in enumerate(genes)}, {x: i for i, x in enumerate(refs)}
+    for r in got:
+        ranks[at_gene[r["gene"]], at_ref[r["label"], r["ref_id"]]] = r["rank"]
+    of = [np.array([i for i, x in enumerate(refs) if x[0] == lab]) for lab in labels]
+    n_g, s_r, v_r = float(len(genes)), ranks.sum(0), (ranks ** 2).sum(0) - ranks.sum(0) ** 2 / max(len(genes), 1)
+    shared = expr.sparkSession.sparkContext.broadcast(ranks)
+
+    def to_label(batches):
+        for x in batches:
+            g, v, off = _entries(x)
+            k = np.diff(off)
+            row = np.repeat(np.arange(len(k)), k)
+            order = np.lexsort((v, row))
+            first = np.ones(len(v), bool)                   # of equal values of a cell
+            first[1:] = (v[order][1:] != v[order][:-1]) | (row[order][1:] != row[order][:-1])
+            start = np.flatnonzero(first)
+            size = np.diff(np.append(start, len(v)))
+            place = start - off[:-1][row[order][start]]
+            rank = np.empty(len(v))
+            rank[order] = np.repeat(place + (size + 1) / 2.0, size)
+            zeros = n_g - k
+            rank += np.where(v > 0, zeros[row], 0.0)          # zeros stand between negative and positive values
+            z = np.bincount(row, v < 0, len(k)) + (zeros + 1) / 2.0
+            s_x = np.bincount(row, rank, len(k)) + zeros * z
+            v_x = np.bincount(row, rank * rank, len(k)) + zeros * z * z - s_x * s_x / n_g
+            s_xy = _products(g, rank, off, shared.value) + z[:, None] * (s_r - _products(g, np.ones(len(g)), off, shared.value))
+            with np.errstate(invalid="ignore", divide="ignore"):
+                corr = (s_xy - np.outer(s_x, s_r) / n_g) / np.sqrt(np.maximum(v_x, 0)[:, None] * np.maximum(v_r, 0))
+            corr[~np.isfinite(corr)] = np.nan
+            score = np.full((len(k), len(labels)), np.nan)
+            for i, at in enumerate(of):
+                some = ~np.isnan(corr[:, at]).all(1)
+                score[some, i] = np.nanquantile(corr[some][:, at], quantile, axis=1)
+            best = np.where(np.isnan(score), -np.inf, np.round(score, tie_digits)).argmax(1)
+            top = score[np.arange(len(k)), best]
+            yield pa.record_batch([x.column("cell"), pa.array(np.array(labels, object)[best], pa.string()),
+                                   pa.array(top, mask=np.isnan(top))], names=["cell", "label", "score"])
+
+    cells = _vectors(expr.where(F.col("value") != 0), genes)
+    return cells.mapInArrow(to_label, cells.select("cell").schema.add("label", "string").add("score", "double"))

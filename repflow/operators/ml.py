@@ -45,8 +45,12 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 def median_impute(df: DataFrame, cols) -> DataFrame:
     """ML-2: fill nulls with the exact column median; all-null columns are dropped."""
+    from repflow.operators.quantiles import exact_quantiles
+
     cols = list(cols)
-    med = df.agg(*[F.median(c).alias(c) for c in cols]).first()     # one row, one value per column
+    # one quantile search for all columns: (column, value) in long form; one median per column comes back
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in cols])))
+    med = dict.fromkeys(cols) | {r["c"]: r["q0"] for r in exact_quantiles(long, ["c"], "x", (0.5,)).collect()}
     keep = [c for c in cols if med[c] is not None]
     out = df.drop(*[c for c in cols if c not in keep])
     return out.fillna({c: float(med[c]) for c in keep})
@@ -58,6 +62,13 @@ def feature_variance(long: DataFrame) -> DataFrame:
     return v.withColumn("kept", F.col("variance") > 0)
 
 
+def drop_constant_features(long: DataFrame) -> DataFrame:
+    """ML-3: the rows of the features whose population variance is above 0 (nulls and NaN left out of it)."""
+    x = F.when(F.isnan("x"), F.lit(None)).otherwise(F.col("x"))
+    kept = long.groupBy("feature").agg(F.min(x).alias("__lo"), F.max(x).alias("__hi")).where("__lo < __hi")
+    return long.join(kept.select("feature"), "feature", "left_semi")
+
+
 RANK_BUCKETS = 4096
 
 
@@ -173,41 +184,50 @@ def metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> Da
         F.avg("f1").alias("f1_macro"))
 
 
-def cumulative_before(t: DataFrame, order_col: str, value_col: str, n_buckets: int = 256) -> DataFrame:
-    """Sum of ``value_col`` over rows with a smaller ``order_col`` (distinct keys).
+def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction", positive: int = 1) -> DataFrame:
+    """ML-22 for two classes: accuracy, balanced accuracy, and precision, recall and F1 of the ``positive`` class.
 
-    Distributed prefix sum: quantile buckets of the key (a bounded list of
-    split points from one ``approxQuantile`` pass), bucket totals and offsets
-    on a ``n_buckets``-row table, then a window inside each bucket only.
+    A share of nothing is 0; balanced accuracy averages over the classes present; an empty table gives nulls for both accuracies.
     """
-    from pyspark.ml.feature import Bucketizer
+    y, p = F.col(label) == positive, F.col(pred) == positive
+    c = df.where(F.col(label).isNotNull()).agg(
+        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~F.coalesce(p, F.lit(False))).alias("fn"),
+        F.count_if(~y & ~F.coalesce(p, F.lit(False))).alias("tn"))
+    tp, fp, fn, tn = (F.col(n) for n in ("tp", "fp", "fn", "tn"))
+    recall, spec = F.try_divide(tp, tp + fn), F.try_divide(tn, tn + fp)
+    zero = F.lit(0.0)
+    return c.select(F.try_divide(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+                    F.coalesce((recall + spec) / 2, recall, spec).alias("balanced_accuracy"),
+                    F.coalesce(F.try_divide(tp, tp + fp), zero).alias("precision"), F.coalesce(recall, zero).alias("recall"),
+                    F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), zero).alias("f1"))
+
+
+def cumulative_before(t: DataFrame, order_col: str, value_col: str) -> DataFrame:
+    """``before``: sum of the whole number ``value_col`` over rows with a smaller ``order_col`` (distinct keys, not null).
+
+    Distributed prefix sum over range partitions (:func:`repflow.operators.ranks.running_before`); their number follows
+    the session's shuffle partitions.  An empty table gives no rows.
+    """
+    from repflow.operators.ranks import running_before
 
-    qs = t.approxQuantile(order_col, [i / n_buckets for i in range(1, n_buckets)], 0.001)
-    splits = [float("-inf")] + sorted(set(qs)) + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol=order_col, outputCol="__b").transform(
-        t.withColumn(order_col, F.col(order_col).cast("double")))
-    tot = b.groupBy("__b").agg(F.sum(value_col).alias("__bt"))
-    off = tot.select("__b", F.coalesce(F.sum("__bt").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    b = b.join(F.broadcast(off), "__b")   # at most n_buckets rows
-    w = Window.partitionBy("__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    return b.withColumn("before", F.col("__off") + F.coalesce(F.sum(value_col).over(w), F.lit(0))) \
-        .drop("__b", "__off")
+    return running_before(t, [], [order_col], value_col)
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """ML-23: exact ROC AUC (Mann-Whitney U, ties count one half); null unless binary.
+    """ML-23: exact ROC AUC (Mann-Whitney U, ties count one half); null unless binary, null for an empty table.
+
+    Rows without a score take no part.
 
     Rows are first reduced to one row per distinct score (map-side combine),
     then negatives below each score come from a distributed prefix sum.
     """
-    t = df.groupBy(F.col(score).cast("double").alias("s")).agg(
+    t = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"),
         F.count_if(F.col(label).isNotNull() & ~F.col(label).isin(0, 1)).alias("other"))
     c = cumulative_before(t, "s", "neg")
     a = c.agg(F.sum(F.col("pos") * (F.col("before") + 0.5 * F.col("neg"))).alias("u"),
               F.sum("pos").alias("npos"), F.sum("neg").alias("nneg"), F.sum("other").alias("nother"))
-    auc = F.col("u") / (F.col("npos") * F.col("nneg"))
+    auc = F.try_divide(F.col("u"), F.col("npos") * F.col("nneg"))
     ok = (F.col("npos") > 0) & (F.col("nneg") > 0) & (F.col("nother") == 0)
     return a.select(F.when(ok, auc).alias("roc_auc"))
 

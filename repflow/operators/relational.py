@@ -116,16 +116,24 @@ def null_counts(df: DataFrame, cols=None) -> DataFrame:
 def describe_exact(df: DataFrame, value: str, by=(), approx: bool = False) -> DataFrame:
     """AGG-7: count, mean, sample std, min, quartiles, max per group.
 
-    Exact quartiles (the default, as compared with the oracle) hold a group's
-    values in one task; ``approx=True`` uses mergeable quantile sketches for
-    groups of unbounded size.
+    Exact quartiles come from :func:`repflow.operators.quantiles.exact_quantiles`, which never
+    gathers a group; ``approx=True`` uses mergeable quantile sketches in one pass instead.
     """
-    v = F.col(col_ref(value)).cast("double")
-    q = (lambda p: F.percentile_approx(v, p, 10000)) if approx else (lambda p: F.percentile(v, p))
-    return df.groupBy(*[F.col(col_ref(b)) for b in by]).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), q(0.25).alias("q25"), q(0.5).alias("q50"),
-        q(0.75).alias("q75"), F.max(v).alias("max"))
+    from repflow.operators.quantiles import exact_quantiles
+
+    v, by = F.col(col_ref(value)).cast("double"), list(by)
+    keys = [F.col(col_ref(b)).alias(b) for b in by]
+    sums = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min")]
+    if approx:
+        q = [F.percentile_approx(v, p, 10000).alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
+        return df.groupBy(*keys).agg(*sums, *q, F.max(v).alias("max"))
+    s = df.groupBy(*keys).agg(*sums, F.max(v).alias("max"))
+    t = exact_quantiles(df.select(*keys, v.alias("__value")), by, "__value", (0.25, 0.5, 0.75), ("q25", "q50", "q75"))
+    t = t.select(*[F.col(col_ref(b)).alias(f"__k{i}") for i, b in enumerate(by)], "q25", "q50", "q75")
+    # without groups both sides are one row
+    on = reduce(lambda x, y: x & y, [F.col(col_ref(b)).eqNullSafe(F.col(f"__k{i}")) for i, b in enumerate(by)], F.lit(True)) if by else None
+    j = s.join(t, on) if by else s.withColumn("__j", F.lit(1)).join(F.broadcast(t.withColumn("__j", F.lit(1))), "__j")
+    return j.select(*[F.col(col_ref(b)) for b in by], "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def flag_membership(df: DataFrame, ref: DataFrame, keys, ref_keys=None, flag: str = "is_in") -> DataFrame:
@@ -157,10 +165,37 @@ def target_guard(df: DataFrame, col: str, max_null_fraction: float = 0.5) -> Dat
     return s.withColumn("ok", F.col("n_null") <= F.col("n_rows") * max_null_fraction)
 
 
-def drop_null_target(df: DataFrame, col: str) -> DataFrame:
-    """FLT-6: rows whose target is not null (emptiness checked by the caller's guard)."""
+def require_target(df: DataFrame, col: str, max_null_fraction: float = 0.5) -> DataFrame:
+    """FLT-7 as a stop: the report of :func:`target_guard`, with ``few_classes`` (2 to 4 distinct values).
+
+    ``ValueError`` if the column is missing, more than ``max_null_fraction`` of it is null, or it has no value at all.
+    """
+    report = target_guard(df, col, max_null_fraction)
+    row = report.first()                                    # one row of counts
+    if not row["ok"] or not row["n_distinct"]:
+        raise ValueError(f"target {col!r}: {row['n_null']} of {row['n_rows']} values are null")
+    return report.withColumn("few_classes", F.col("n_distinct").between(2, 4))
+
+
+def drop_null_target(df: DataFrame, col: str, required: bool = False) -> DataFrame:
+    """FLT-6: rows whose target is not null; with ``required`` a ``ValueError`` if none is left."""
     validate_columns(df, [col], "metadata")
-    return df.where(F.col(col_ref(col)).isNotNull())
+    kept = df.where(F.col(col_ref(col)).isNotNull())
+    if required and not kept.limit(1).count():
+        raise ValueError(f"no row has a {col!r}")
+    return kept
+
+
+def align_metadata(samples: DataFrame, metadata: DataFrame, sample_col: str = "sample", key_col: str = "Run") -> DataFrame:
+    """JN-13: the metadata rows of a matrix's samples, next to the sample (several rows of one key fan out).
+
+    ``ValueError`` naming some samples if any has no metadata row; row order is by sample, as in the matrix.
+    """
+    s = samples.select(F.col(col_ref(sample_col)).alias("__sample")).distinct()
+    missing = [r[0] for r in s.join(metadata, s["__sample"] == metadata[key_col], "left_anti").limit(5).collect()]
+    if missing:
+        raise ValueError(f"samples without metadata, for example {missing}")
+    return s.join(metadata, s["__sample"] == metadata[key_col]).withColumnRenamed("__sample", sample_col).orderBy(sample_col)
 
 
 def unique_per_group(df: DataFrame, group: str, value: str, name: str) -> DataFrame:

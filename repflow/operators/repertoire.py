@@ -89,12 +89,13 @@ def depth(long: DataFrame) -> DataFrame:
 
 
 def normalise_by_depth(long: DataFrame) -> DataFrame:
-    """PVT-2 / JN-14 / WIN-2: ``value = count / total`` of the sample.
+    """PVT-2 / JN-14 / WIN-2: ``value = count / total`` of the sample (0 where the total is 0).
 
-    The total is a window sum over the sample partition - no join back.
+    Totals are partial sums, one row per sample, joined back; no sample is gathered in one task.
     """
-    w = Window.partitionBy("sample")
-    return long.withColumn("value", F.col("count") / F.sum("count").over(w))
+    total = long.groupBy(F.col("sample").alias("__s")).agg(F.sum("count").alias("__total"))
+    return long.join(total, F.col("sample").eqNullSafe(F.col("__s"))).withColumn(
+        "value", F.coalesce(F.try_divide(F.col("count"), F.col("__total")), F.lit(0.0))).drop("__s", "__total")
 
 
 def restrict_to(long: DataFrame, top: DataFrame) -> DataFrame:
@@ -125,24 +126,35 @@ def pivot_matrix(long: DataFrame, columns: list[str]) -> DataFrame:
     return wide.fillna(0.0, subset=columns)
 
 
-def sparse_vectors(long: DataFrame, top: DataFrame) -> DataFrame:
-    """PVT-1 scale path: one sparse ML vector per sample over the top-N index.
+def indexed_entries(long: DataFrame, top: DataFrame) -> tuple[DataFrame, int]:
+    """PVT-1 scale path: ``(sample, indices, values)`` over the top-N index, and N.
 
     Column ids are the sequence ranks in ``top`` (bounded by N, broadcast); each
     sample's stored entries (at most N) are gathered by one grouped aggregate.
     """
-    from pyspark.ml.linalg import Vectors, VectorUDT
-
     names = top.orderBy(F.desc("n_samples"), F.asc("sequence")).select("sequence").collect()     # N names
-    size = len(names)
     idx = long.sparkSession.createDataFrame([(r["sequence"], i) for i, r in enumerate(names)], "sequence string, j int")
+    cells = F.array_sort(F.collect_list(F.struct("j", F.col("value").cast("double").alias("value"))))
+    rows = long.join(F.broadcast(idx), "sequence").groupBy("sample").agg(cells.alias("c"))
+    return rows.select("sample", F.transform("c", lambda c: c["j"]).alias("indices"), F.transform("c", lambda c: c["value"]).alias("values")), len(names)
 
-    @F.udf(VectorUDT())
-    def vector(entries):
-        return Vectors.sparse(size, [e["j"] for e in entries], [e["value"] for e in entries])
 
-    cells = F.array_sort(F.collect_list(F.struct("j", F.col("value").cast("double").alias("value"))))
-    return long.join(F.broadcast(idx), "sequence").groupBy("sample").agg(vector(cells).alias("features"))
+def sparse_vectors(long: DataFrame, top: DataFrame) -> DataFrame:
+    """PVT-1 for ``pyspark.ml``: one vector of N values per sample, from :func:`indexed_entries` (a batch at a time)."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql.functions import arrow_udf
+
+    rows, size = indexed_entries(long, top)
+
+    @arrow_udf("array<double>")
+    def spread_out(j: pa.Array, v: pa.Array) -> pa.Array:
+        out = np.zeros((len(j), size))
+        out[np.repeat(np.arange(len(j)), np.diff(j.offsets.to_numpy())), j.flatten().to_numpy()] = v.flatten().to_numpy()
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, size, dtype=np.int32)), pa.array(out.ravel()))
+
+    return rows.select("sample", array_to_vector(spread_out("indices", "values")).alias("features"))
 
 
 def pair_samples(dict_a: DataFrame, dict_b: DataFrame) -> DataFrame:

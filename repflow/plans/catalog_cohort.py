@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from repflow.functions import scalar as S
 from repflow.operators import relational as R
 from repflow.operators import repertoire as P
+from repflow.operators.quantiles import exact_quantiles
 from repflow.plans import fixtures as fx
 from repflow.plans.oracle import with_ctes
+from repflow.plans.partitioning import materialize
 from repflow.plans.registry import r6, register
 
 RICH_SQL = """SELECT sample, count(DISTINCT CDR3_match) AS Unique_CDR3_Count, any_value(Tissue) AS Tissue
@@ -45,11 +47,10 @@ def q_richness_summary(spark, sf):
            CAST(floor(quantile_cont(Unique_CDR3_Count, 0.5)) AS BIGINT) FROM ({RICH_SQL})""", "matches"))
 def q_richness_median(spark, sf):
     r = _rich(spark, sf)
-    med = F.median("Unique_CDR3_Count")
-    by = r.groupBy("Tissue").agg(r6(med).alias("median_count"), F.floor(med).cast("bigint").alias("median_label"))
-    allr = r.agg(F.lit("All").alias("Tissue"), r6(med).alias("median_count"),
-                 F.floor(med).cast("bigint").alias("median_label"))
-    return by.unionByName(allr)
+    # every sample counts for its tissue and for all
+    both = r.select("Unique_CDR3_Count", F.explode(F.array("Tissue", F.lit("All"))).alias("Tissue"))
+    q = exact_quantiles(both, ["Tissue"], "Unique_CDR3_Count", (0.5,), ("med",))
+    return q.select("Tissue", r6("med").alias("median_count"), F.floor("med").cast("bigint").alias("median_label"))
 
 
 @register("richness_quartiles_by_tissue", "AGG-8 SCL-1", with_ctes(f"""
@@ -57,10 +58,8 @@ def q_richness_median(spark, sf):
            round(quantile_cont(lv, 0.75), 6) AS q75
     FROM (SELECT Tissue, log10(Unique_CDR3_Count + 1) AS lv FROM ({RICH_SQL})) GROUP BY Tissue""", "matches"))
 def q_richness_quartiles(spark, sf):
-    r = _rich(spark, sf)
-    q = F.percentile("Log_Value", [0.25, 0.5, 0.75])
-    return r.groupBy("Tissue").agg(q.alias("q")).select(
-        "Tissue", r6(F.col("q")[0]).alias("q25"), r6(F.col("q")[1]).alias("q50"), r6(F.col("q")[2]).alias("q75"))
+    q = exact_quantiles(_rich(spark, sf), ["Tissue"], "Log_Value", (0.25, 0.5, 0.75), ("q25", "q50", "q75"))
+    return q.select("Tissue", *[r6(c).alias(c) for c in ("q25", "q50", "q75")])
 
 
 @register("richness_describe_by_tissue", "AGG-7", with_ctes(f"""
@@ -191,10 +190,16 @@ def q_richness_md(spark, sf):
     "matches", "metadata"))
 def q_condition_stats(spark, sf):
     d = _rich_md(spark, sf).where(F.col("Condition").isin("Control", "UC", "CD"))
-    lv = S.log10_plus1(F.col("Unique_CDR3_Count"))
-    return d.groupBy("Tissue", "Condition").agg(
-        F.count(F.lit(1)).alias("n"), r6(F.median("Unique_CDR3_Count")).alias("median_count"),
-        r6(F.percentile(lv, 0.25)).alias("q25_log"), r6(F.percentile(lv, 0.75)).alias("q75_log"))
+    d = materialize(d.select("Tissue", "Condition", "Unique_CDR3_Count", S.log10_plus1(F.col("Unique_CDR3_Count")).alias("lv")))
+    by = ["Tissue", "Condition"]
+    # both values of a group in one search: (group, which value)
+    long = d.select(*by, F.inline(F.array(F.struct(F.lit("count").alias("of"), F.col("Unique_CDR3_Count").cast("double").alias("x")),
+                                          F.struct(F.lit("log").alias("of"), F.col("lv").alias("x")))))
+    q = materialize(exact_quantiles(long, [*by, "of"], "x", (0.25, 0.5, 0.75), ("q25", "q50", "q75")))
+    one = q.groupBy(*by).agg(F.max(F.when(F.col("of") == "count", F.col("q50"))).alias("median_count"),
+                             *[F.max(F.when(F.col("of") == "log", F.col(c))).alias(f"{c}_log") for c in ("q25", "q75")])
+    n = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return n.join(one, by).select(*by, "n", *[r6(c).alias(c) for c in ("median_count", "q25_log", "q75_log")])
 
 
 _COUNTS_SQL = """SELECT sample, CDR3_match AS sequence, CAST(coalesce(sum(count), 0) AS BIGINT) AS count

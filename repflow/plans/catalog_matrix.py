@@ -198,13 +198,12 @@ def q_majority(spark, sf):
     return M.majority_vote(typed.select("cell", "predicted_labels"), clusters)
 
 
-# reference profiles: 6 pseudo-bulk samples over the marker genes (gene number % 10 == 0)
+# reference profiles: 6 pseudo-bulk samples over all genes
 REF_LABELS = ("B cells", "CD4 T cells", "Monocytes")
 
 
 def _ref(spark, sf):
     e = fx.expression(spark, sf)
-    e = e.where(F.regexp_extract("gene", r"(\d+)", 1).cast("int") % 10 == 0)
     rid = (F.substring("cell", 5, 20).cast("int") % 6)
     lab = F.when(rid % 3 == 0, REF_LABELS[0]).when(rid % 3 == 1, REF_LABELS[1]).otherwise(REF_LABELS[2])
     return e.groupBy(rid.alias("ref_id"), lab.alias("label"), "gene").agg(F.log1p(F.sum("value")).alias("value"))
@@ -213,7 +212,7 @@ def _ref(spark, sf):
 _REF_SQL = """SELECT CAST(substring(cell, 5) AS INTEGER) % 6 AS ref_id,
                      CASE (CAST(substring(cell, 5) AS INTEGER) % 6) % 3 WHEN 0 THEN 'B cells' WHEN 1 THEN 'CD4 T cells'
                           ELSE 'Monocytes' END AS label, gene, ln(1 + sum(value)) AS value
-              FROM expr WHERE CAST(regexp_extract(gene, '(\\d+)', 1) AS INTEGER) % 10 = 0 GROUP BY 1, 2, 3"""
+              FROM expr GROUP BY 1, 2, 3"""
 
 
 @register("spearman_typing", "MAT-16", with_ctes("""

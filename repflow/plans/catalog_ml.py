@@ -29,7 +29,7 @@ CTES.update({
                CAST(NULL AS DOUBLE) AS f_empty
         FROM labels l JOIN documents d ON d.doc_id = l.doc_id"""),
     "preds": ((), """SELECT vec_id, label,
-                            list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS prediction
+                            CAST((list_position(embedding, list_max(embedding)) - 1) % 10 AS INTEGER) AS prediction
                      FROM embeddings"""),
 })
 
@@ -56,8 +56,8 @@ def _doc_feats(spark, sf):
 
 def _preds(spark, sf):
     e = _emb(spark, sf)
-    head = F.slice("embedding", 1, 10)
-    return e.select("vec_id", "label", (F.array_position(head, F.array_max(head)) - 1).cast("int").alias("prediction"))
+    best = F.array_position("embedding", F.array_max("embedding")) - 1           # of the whole vector
+    return e.select("vec_id", "label", (best % 10).cast("int").alias("prediction"))
 
 
 @register("label_encoding", "ML-1", with_ctes("""
@@ -191,10 +191,10 @@ def q_auc(spark, sf):
 
 @register("soft_vote", "ML-20", with_ctes("""
     SELECT vec_id, list_position(p, list_max(p)) - 1 AS prediction, round(list_max(p), 6) AS max_prob FROM (
-      SELECT vec_id, list_transform(range(1, 11), lambda i: (p1[i] + p2[i]) / 2) AS p FROM (
+      SELECT vec_id, list_transform(range(1, 33), lambda i: (p1[i] + p2[i]) / 2) AS p FROM (
         SELECT vec_id,
-               list_transform(embedding[1:10], lambda v: exp(v) / list_sum(list_transform(embedding[1:10], lambda u: exp(u)))) AS p1,
-               list_transform(embedding[11:20], lambda v: exp(v) / list_sum(list_transform(embedding[11:20], lambda u: exp(u)))) AS p2
+               list_transform(embedding[1:32], lambda v: exp(v) / list_sum(list_transform(embedding[1:32], lambda u: exp(u)))) AS p1,
+               list_transform(embedding[33:64], lambda v: exp(v) / list_sum(list_transform(embedding[33:64], lambda u: exp(u)))) AS p2
         FROM embeddings))"""))
 def q_soft_vote(spark, sf):
     e = _emb(spark, sf)
@@ -204,7 +204,7 @@ def q_soft_vote(spark, sf):
         tot = F.aggregate(ex, F.lit(0.0), lambda acc, v: acc + v)
         return F.transform(ex, lambda v: v / tot)
 
-    p = e.select("vec_id", softmax(F.slice("embedding", 1, 10)).alias("p1"), softmax(F.slice("embedding", 11, 10)).alias("p2"))
+    p = e.select("vec_id", softmax(F.slice("embedding", 1, 32)).alias("p1"), softmax(F.slice("embedding", 33, 32)).alias("p2"))
     v = ML.soft_vote(p, ["p1", "p2"])
     return v.select("vec_id", "prediction", r6(F.array_max("probability")).alias("max_prob"))
 

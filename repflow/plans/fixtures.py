@@ -120,6 +120,16 @@ def expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.sum("l_quantity").cast("double").alias("value"))
 
 
+def expression_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse expression matrix of 600 cells and up to 2,000 genes, with variable genes (MAT-7 selects some)."""
+    li = table(spark, sf_dir, "lineitem")
+    g = F.col("l_partkey") % 2000
+    return li.groupBy(
+        F.concat(F.lit("CELL"), (F.col("l_orderkey") % 600).cast("string")).alias("cell"),
+        F.concat(F.when(g < 20, "MT-").otherwise("G"), g.cast("string")).alias("gene"),
+    ).agg(F.sum("l_quantity").cast("double").alias("value"))
+
+
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VDJ contigs ``sample, barcode, cdr3``."""
     li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1)

@@ -81,6 +81,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                       CAST(l_partkey % 300 AS VARCHAR)) AS gene,
                CAST(sum(l_quantity) AS DOUBLE) AS value
         FROM lineitem GROUP BY 1, 2"""),
+    "expr_wide": ((), """
+        SELECT concat('CELL', CAST(l_orderkey % 600 AS VARCHAR)) AS cell,
+               concat(CASE WHEN l_partkey % 2000 < 20 THEN 'MT-' ELSE 'G' END,
+                      CAST(l_partkey % 2000 AS VARCHAR)) AS gene,
+               CAST(sum(l_quantity) AS DOUBLE) AS value
+        FROM lineitem GROUP BY 1, 2"""),
     "contigs": ((), """
         SELECT DISTINCT concat('SRX', CAST(1000 + l_suppkey % 16 AS VARCHAR), '_vdj') AS sample,
                concat('BC', CAST(l_orderkey % 400 AS VARCHAR), '-1') AS barcode,

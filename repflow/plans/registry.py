@@ -34,4 +34,5 @@ def r6(c) -> Column:
 def load_all() -> None:
     """Import every catalog module so its queries register."""
     from repflow.plans import (catalog_sequence, catalog_cohort, catalog_singlecell,  # noqa: F401
-                               catalog_matrix, catalog_ml, catalog_files)
+                               catalog_matrix, catalog_ml, catalog_files,
+                               catalog_structure)

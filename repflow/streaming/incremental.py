@@ -14,6 +14,30 @@ from pyspark.sql import functions as F
 
 from repflow.operators import sequence as seq
 from repflow.sinks.files import output_name
+from repflow.sources.files import raw_name
+
+
+def match_stream_versioned(spark: SparkSession, input_dir: str, patterns: DataFrame, table_dir: str, checkpoint_dir: str, schema,
+                           pattern_col: str = "CDR3.aa", seq_col: str = "sequence", id_col: str = "read_id",
+                           max_files_per_trigger: int = 64) -> None:
+    """One ``availableNow`` pass into a versioned match table (:mod:`repflow.sinks.runtable`).
+
+    Every micro-batch is one commit named by its number: a batch that is run again after a failure replaces what
+    it left.  Files without a hit are finished too.
+    """
+    from repflow.sinks import runtable as RT
+
+    index = seq.index_patterns(patterns, pattern_col)
+    carry = [c for c in ("count",) if c in schema.fieldNames()]
+    reads = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+             .parquet(input_dir).withColumn("source_file", raw_name("_metadata.file_name")))
+
+    def take(batch: DataFrame, number: int) -> None:
+        hits = seq.find_occurrences(seq.frames(batch, seq_col, keep=[id_col, *carry, "source_file"]), index)
+        rows = hits.select(seq._frame_id(id_col).alias("read_id"), "CDR3_match", *carry, "source_file")
+        RT.commit(rows, batch.select("source_file"), table_dir, f"batch-{number}", number + 1)
+
+    reads.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start().awaitTermination()
 
 
 def match_stream(spark: SparkSession, input_dir: str, patterns: DataFrame, output_dir: str,

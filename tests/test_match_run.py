@@ -50,3 +50,19 @@ def test_run_without_hits_leaves_a_typed_empty_table(spark, tmp_path):
     match_run(spark, src, spark.createDataFrame([("WW",)], "`CDR3.aa` string"), out)
     empty = spark.read.parquet(out)
     assert empty.count() == 0 and dict(empty.dtypes)["CDR3_match"] == "string" and dict(empty.dtypes)["count"] == "bigint"
+
+
+def test_overwrite_leaves_no_stale_rows(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _write(spark, src, "a b%.parquet", [("TGGTGG", "r1", 1)])
+    _write(spark, src, "c.parquet", [("ATGATG", "r2", 1), ("TGGTGG", "r3", 1)])
+    first, second = (spark.createDataFrame([(p,)], "`CDR3.aa` string") for p in ("WW", "MM"))
+    match_run(spark, src, first, out)
+    assert {r["output"] for r in spark.read.parquet(out).collect()} == {"matched_a b%", "matched_c"}
+    rep = {r["source_file"]: r["n_matches"] for r in match_run(spark, src, second, out, overwrite=True).collect()}
+    rows = spark.read.parquet(out).collect()
+    assert rep["a b%.parquet"] == 0 and {(r["output"], r["CDR3_match"]) for r in rows} == {("matched_c", "MM")}
+    none = spark.createDataFrame([("KKKK",)], "`CDR3.aa` string")
+    match_run(spark, src, none, out, overwrite=True)
+    assert spark.read.parquet(out).count() == 0 and "CDR3_match" in spark.read.parquet(out).columns
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"

@@ -36,21 +36,26 @@ def tokens(buf: np.ndarray, offsets: np.ndarray):
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments ``(start, end, score)`` of a score sequence, in order."""
+    """All maximal scoring segments ``(start, end, score)`` of a score sequence, in order.
+
+    Every open segment knows the nearest earlier one that starts at a lower sum, so the search for it
+    skips all others, which no later search visits again: the scan is linear in the sequence.
+    """
     total = np.cumsum(scores)
-    out: list[list[float]] = []                  # [start, end, sum before, sum after]
-    for p in np.flatnonzero(scores > 0):
-        cur = [int(p), int(p) + 1, float(total[p] - scores[p]), float(total[p])]
+    places = np.flatnonzero(scores > 0)
+    out: list[tuple[int, int, float, float, int]] = []       # start, end, sum before, sum after, nearest lower
+    for p, after, gain in zip(places.tolist(), total[places].tolist(), scores[places].tolist()):
+        start, before, j = p, after - gain, len(out) - 1
         while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= cur[2]:
-                j -= 1
-            if j < 0 or out[j][3] >= cur[3]:
-                out.append(cur)
+            while j >= 0 and out[j][2] >= before:
+                j = out[j][4]
+            if j < 0 or out[j][3] >= after:
+                out.append((start, p + 1, before, after, j))
                 break
-            cur = [out[j][0], cur[1], out[j][2], cur[3]]
+            start, _, before, _, lower = out[j]
             del out[j:]
-    return [(s, e, r - l) for s, e, l, r in out]
+            j = lower
+    return [(s, e, r - l) for s, e, l, r, _ in out]
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",

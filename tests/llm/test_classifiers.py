@@ -54,6 +54,17 @@ def test_segments_match_the_definition():
         assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
 
 
+def test_segments_of_long_texts_take_linear_time():
+    import time
+
+    rng = np.random.default_rng(6)
+    for scores in (np.where(rng.random(160_000) < 0.3, 1.0, -0.7), np.where(np.arange(160_000) % 2 == 0, 1.0, -1.5),
+                   np.where(np.arange(160_000) % 2 == 0, 1.5, -1.0)):
+        began = time.process_time()
+        got = segments(scores)
+        assert time.process_time() - began < 0.5 and all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+
+
 def test_toxic_held_out_rows(mid, labels):
     got = score_documents(mid, labels, mod(5, 0)).join(labels, "doc_id").where("held_out").toPandas()
     rank = got.score.rank()

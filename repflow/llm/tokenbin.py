@@ -2,7 +2,7 @@
 
 Layout of a shard file (little endian; one section after the other):
 
-    header    magic "RFTB", version u32, documents u64, ids u64, id bytes u32, levels u32
+    header    magic "RFTB", version u32, documents u64, ids u64, id bytes u32, levels u32, hash seed u32
     levels    bits of each level u64
     bitmap    the levels' bits, u64 words
     ranks     set bits before each word, u32
@@ -13,6 +13,7 @@ Layout of a shard file (little endian; one section after the other):
 The index is built level by level: a key whose hash position in a level is its
 own is settled there, the others go to the next, smaller level; the rank of
 a key's bit among all bits is its slot, so ``n`` keys fill exactly ``n`` slots.
+Keys that share a hash, or that ``MAX_LEVELS`` levels do not settle, get another hash seed.
 A lookup costs a few hashes and one rank, a fingerprint rejects foreign keys.
 
 Shards are written by the tasks of a range-partitioned, sorted table straight to
@@ -35,15 +36,16 @@ from repflow.llm.encode import encoder, vocabulary
 from repflow.llm.tables import n_slices, scratch, stored
 from repflow.llm.textkernel import mix, runs, utf8
 
-MAGIC, VERSION = b"RFTB", 1
-HEAD = np.dtype([("magic", "S4"), ("version", "<u4"), ("docs", "<u8"), ("ids", "<u8"), ("width", "<u4"), ("levels", "<u4")])
+MAGIC, VERSION = b"RFTB", 2
+MAX_LEVELS, MAX_SEEDS = 64, 16
+HEAD = np.dtype([("magic", "S4"), ("version", "<u4"), ("docs", "<u8"), ("ids", "<u8"), ("width", "<u4"), ("levels", "<u4"), ("seed", "<u4")])
 SLOT = np.dtype([("fingerprint", "<u4"), ("first", "<u8"), ("n", "<u8")])
 KEY = np.dtype([("id", "<i8"), ("null", "u1"), ("occurrence", "<u4")])
 MANIFEST = "path string, part int, nth int, n_docs long, n_ids long"
 
 
-def key_hash(keys: np.ndarray) -> np.ndarray:
-    h = mix(keys["id"].astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+def key_hash(keys: np.ndarray, seed: int = 0) -> np.ndarray:
+    h = mix(keys["id"].astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * np.uint64(2 * seed + 1))
     return mix(h ^ mix(keys["occurrence"].astype(np.uint64) * np.uint64(2) + keys["null"].astype(np.uint64)))
 
 
@@ -53,9 +55,11 @@ def _positions(h: np.ndarray, level: int, bits: int) -> np.ndarray:
 
 
 def build_index(h: np.ndarray, gamma: float = 1.7) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """``(level sizes, bitmap words, ranks)`` of a minimal perfect hash of distinct 64-bit hashes."""
+    """``(level sizes, bitmap words, ranks)`` of a minimal perfect hash of 64-bit hashes; ValueError if ``MAX_LEVELS`` do not settle them."""
     sizes, words, left = [], [], h
     while len(left):
+        if len(sizes) == MAX_LEVELS:
+            raise ValueError("hashes of an index repeat")
         bits = (int(len(left) * gamma) // 64 + 1) * 64
         p = _positions(left, len(sizes), bits)
         alone = np.bincount(p, minlength=bits) == 1
@@ -81,14 +85,20 @@ def find_slots(h: np.ndarray, sizes: list[int], bitmap: np.ndarray, ranks: np.nd
 
 
 def to_bytes(keys: np.ndarray, counts: np.ndarray, ids: np.ndarray, width: int) -> bytes:
-    h = key_hash(keys)
-    sizes, bitmap, ranks = build_index(h)
+    for seed in range(MAX_SEEDS):
+        h = key_hash(keys, seed)
+        try:
+            sizes, bitmap, ranks = build_index(h)
+            break
+        except ValueError:                       # two keys of one hash: another seed tells them apart
+            if seed == MAX_SEEDS - 1:
+                raise
     slots = np.zeros(len(keys), SLOT)
     at = find_slots(h, sizes, bitmap, ranks)
     slots["fingerprint"][at] = (h >> np.uint64(32)).astype("<u4")
     slots["first"][at] = np.cumsum(counts) - counts
     slots["n"][at] = counts
-    head = np.array([(MAGIC, VERSION, len(keys), len(ids), width, len(sizes))], HEAD)
+    head = np.array([(MAGIC, VERSION, len(keys), len(ids), width, len(sizes), seed)], HEAD)
     return b"".join(x.tobytes() for x in (head, np.array(sizes, "<u8"), bitmap, ranks, slots, keys, ids.astype(f"<u{width}")))
 
 
@@ -100,7 +110,7 @@ class Shard:
         head = self._take(HEAD, 1)[0]
         if head["magic"] != MAGIC or head["version"] != VERSION:
             raise ValueError("not a token shard")
-        n = int(head["docs"])
+        n, self.seed = int(head["docs"]), int(head["seed"])
         self.sizes = [int(x) for x in self._take(np.dtype("<u8"), int(head["levels"]))]
         self.bitmap = self._take(np.dtype("<u8"), sum(self.sizes) // 64)
         self.ranks = self._take(np.dtype("<u4"), len(self.bitmap))
@@ -114,7 +124,7 @@ class Shard:
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(found, first id, id count)`` of each key."""
-        h = key_hash(keys)
+        h = key_hash(keys, self.seed)
         slot = find_slots(h, self.sizes, self.bitmap, self.ranks)
         s = self.slots[np.maximum(slot, 0)] if len(self.slots) else np.zeros(len(h), SLOT)
         found = (slot >= 0) & (s["fingerprint"] == (h >> np.uint64(32)).astype("<u4"))

@@ -95,6 +95,24 @@ def test_perfect_hash_fills_every_slot_once():
         assert sorted(find_slots(h, *build_index(h)).tolist()) == list(range(n))
 
 
+def test_equal_hashes_end_and_get_another_seed(monkeypatch):
+    from repflow.llm import tokenbin
+
+    with pytest.raises(ValueError):
+        build_index(np.array([7, 7, 9], np.uint64))
+    keys = np.zeros(50, KEY)
+    keys["id"] = np.arange(50)
+
+    def clashing(k, seed=0):                     # the first seed takes keys 3 and 4 for one
+        h = key_hash(k, seed)
+        return np.where(k["id"] == 4, key_hash(np.array([(3, 0, 0)], KEY), 0), h) if seed == 0 else h
+
+    monkeypatch.setattr(tokenbin, "key_hash", clashing)
+    shard = Shard(to_bytes(keys, np.ones(50, np.int64), np.arange(50), 2))
+    found, first, n = shard.get(keys)
+    assert shard.seed == 1 and found.all() and first.tolist() == list(range(50)) and (n == 1).all()
+
+
 def test_shard_lookup_and_foreign_keys():
     keys = np.array([(5, 0, 0), (5, 0, 1), (0, 1, 0), (0, 0, 0), (-9, 0, 0)], KEY)
     counts = np.array([2, 1, 1, 3, 1])

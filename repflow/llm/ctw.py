@@ -139,12 +139,14 @@ def _sorted(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _chunk(df: DataFrame, id_col: str, n_chunks: int) -> Column:
-    """Chunk number of a row: ranges of the id (so stored neighbours meet), split further by hash."""
+    """Chunk number of a row: ranges of the id (so stored neighbours meet), split further by hash; rows without an id go to all chunks."""
     ranges = min(n_chunks, MAX_RANGES)
     at = df.where(F.col(id_col).isNotNull()).approxQuantile(id_col, [i / ranges for i in range(1, ranges)], 0.002) if ranges > 1 else []
     below = F.size(F.filter(F.array(*[F.lit(float(x)) for x in at]), lambda x: x < F.col(id_col))) if at else F.lit(0)
     splits = -(-n_chunks // ranges)
-    return F.coalesce(below, F.lit(0)) * splits + F.pmod(F.xxhash64(id_col), F.lit(splits)).cast("int")
+    spread = F.xxhash64(id_col, "text")
+    return F.when(F.col(id_col).isNull(), F.pmod(spread, F.lit(ranges * splits)).cast("int")).otherwise(
+        F.coalesce(below, F.lit(0)) * splits + F.pmod(spread, F.lit(splits)).cast("int"))
 
 
 def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes: int = 24 << 20, max_shared: int = 2_000_000, id_col: str = "doc_id",
@@ -292,7 +294,8 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes:
             u, inv = np.unique(segment_hash(LOWER[part], starts, ends), return_inverse=True)
             c = wc[np.searchsorted(wk, u)] if len(u) else np.zeros(0)
             symbols, begin = stream(part, starts, ends, first)
-            price = gp[np.searchsorted(gk, grams_of(symbols, begin, depth))]
+            grams_u, at_gram = np.unique(grams_of(symbols, begin, depth), return_inverse=True)       # sorted look-ups stay in cache
+            price = gp[np.searchsorted(gk, grams_u)][at_gram]
             base, known = np.log10(c + 1), (c > 0).astype(np.int64)
             doc = np.repeat(np.arange(j - i), np.diff(first))
             m = j - i

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,7 +139,42 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"), rebuild=True)
 
 
-@query()
+_UP, _DOWN = string.ascii_uppercase, string.ascii_lowercase
+# levenshtein counts bytes in DuckDB: the 64 letters of two bytes stand as one other character each
+_LATIN = "".join(chr(c) for c in range(0xC0, 0x100))
+_ONE = (_UP + string.digits + "!#$%&()*+,-./:;<=>?@[]^_`{|}~")[:64]
+
+
+def _crc_step(value: int) -> int:
+    """Four bits of crc32."""
+    for _ in range(4):
+        value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+_CRC = "[" + ", ".join(f"{_crc_step(i)}::BIGINT" for i in range(16)) + "]"
+
+
+@query(f"""WITH RECURSIVE runs AS (SELECT id, run, count(*) AS c FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text, '{_UP}', '{_DOWN}'), '[a-z\u00C0-\u00FF]+')) AS run
+    FROM documents WHERE text IS NOT NULL) GROUP BY ALL),
+  hexed AS (SELECT run, c, hex(encode(id || ':' || run)) AS x FROM runs),
+  crc AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(x)),
+      lambda i: (instr('0123456789ABCDEF', x[(i // 2) * 2 + 2 - i % 2]) - 1)::BIGINT)),
+      lambda s, n: xor(s >> 4, {_CRC}[(xor(s, n) & 15) + 1])), 4294967295) AS h FROM hexed),
+  words AS (SELECT word, sum(c)::BIGINT AS n FROM (
+      SELECT c, CASE WHEN h % 199 = 0 THEN run[:(h % length(run))] || run[(h % length(run)) + 2:] ELSE run END AS word FROM crc)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+  cuts AS (SELECT word, n, word AS k FROM words UNION ALL
+    SELECT word, n, word[:i] || word[i + 2:] AS k FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+  pairs AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.k = b.k AND a.word <> b.word
+    WHERE levenshtein(translate(a.word, '{_LATIN}', '{_ONE}'), translate(b.word, '{_LATIN}', '{_ONE}')) = 1),
+  best AS (SELECT word, count(*) AS n_near, min({{'m': -near_n, 'w': near}}) AS b FROM pairs GROUP BY word),
+  forms AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN -b.b.m >= 5 * w.n THEN b.b.w END AS form,
+    CASE WHEN -b.b.m >= 5 * w.n THEN -b.b.m END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word),
+  chain AS (SELECT word, word AS root, form FROM forms UNION ALL
+    SELECT c.word, f.word AS root, f.form FROM chain c JOIN forms f ON f.word = c.form)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word WHERE c.form IS NULL""")
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 

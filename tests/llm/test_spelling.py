@@ -2,11 +2,12 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from repflow.llm.queries import QUERIES
+from repflow.llm.queries import ORACLE, QUERIES
 from repflow.llm.spelling import checksums, group_variants, near_pairs, spelling_variants, word_counts
 from tests.llm.brute import LOW
 
@@ -119,3 +120,7 @@ def test_query_equals_brute_force(spark):
     words = brute_words(rows)
     got = _got(QUERIES["op12_spelling_variants"](spark, table))
     assert got == brute_groups(words) and any(v[0] for v in got.values())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{table}/documents.parquet'")
+    rows = con.execute(f"SELECT word, form, root, n, n_near, form_n FROM ({ORACLE['op12_spelling_variants']})").fetchall()
+    assert {r[0]: r[1:] for r in rows} == got

@@ -45,7 +45,7 @@ MANIFEST = "path string, part int, nth int, n_docs long, n_ids long"
 
 
 def key_hash(keys: np.ndarray, seed: int = 0) -> np.ndarray:
-    h = mix(keys["id"].astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * np.uint64(2 * seed + 1))
+    h = mix(keys["id"].astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15 * (2 * seed + 1) % 2**64))
     return mix(h ^ mix(keys["occurrence"].astype(np.uint64) * np.uint64(2) + keys["null"].astype(np.uint64)))
 
 

@@ -53,8 +53,9 @@ def jittered(long: DataFrame, jitter: float = JITTER, seed: int = SEED) -> DataF
     number = F.col("feature").cast("long") if dict(d.dtypes)["feature"] in ("int", "bigint", "smallint", "tinyint") \
         else F.pmod(F.xxhash64("feature"), F.lit(HASH_MOD))
     h = F.pmod(F.pmod(F.col("id"), F.lit(1 << 30)) * HASH_MULT + F.pmod(number, F.lit(1 << 30)) * FEATURE_MULT + seed, F.lit(HASH_MOD))
-    # two rounds of a fixed integer hash, so that neighbours in id or feature get unrelated steps
-    h = F.pmod(F.pmod(h, F.lit(65_536)) * HASH_MULT + F.floor(h / 65_536), F.lit(HASH_MOD))
+    for _ in range(2):          # products of both halves: neighbours in id or feature get unrelated steps, no equal distances
+        low, high = F.pmod(h, F.lit(65_536)), F.shiftright(h, 16)
+        h = F.pmod(low * high * FEATURE_MULT + low * HASH_MULT + high, F.lit(HASH_MOD))
     scale = d.groupBy("feature").agg(F.greatest(F.lit(1.0), F.round(F.avg(F.abs("x")), 6)).alias("__scale"))
     step = F.lit(jitter) * F.col("__scale") * ((h / float(HASH_MOD) - 0.5) * 3.4641016151377544)
     return d.join(scale, "feature").select("id", "feature", (F.col("x") + step).alias("x"), "y")

@@ -7,6 +7,8 @@ per sample.  All aggregations are partial (map-side) before the shuffle.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,8 +143,6 @@ def indexed_entries(long: DataFrame, top: DataFrame) -> tuple[DataFrame, int]:
 
 def sparse_vectors(long: DataFrame, top: DataFrame) -> DataFrame:
     """PVT-1 for ``pyspark.ml``: one vector of N values per sample, from :func:`indexed_entries` (a batch at a time)."""
-    import numpy as np
-    import pyarrow as pa
     from pyspark.ml.functions import array_to_vector
     from pyspark.sql.functions import arrow_udf
 

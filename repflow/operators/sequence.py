@@ -22,6 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repflow.functions.bloom import RollingHash, build_filter, passes
 from repflow.functions.codon import (STANDARD_CODE, is_valid_read, normalise_nucleotides,
                                      reverse_complement, translate_frame, FRAME_ORDER,
                                      six_frames_arrow_udf)
@@ -38,6 +39,9 @@ TAIL_LEN = 3
 # to a shuffle (AQE): the text twice plus row, key and table slots per pattern.
 PATTERN_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 BYTES_PER_BUILT_ROW = 96
+# From this many patterns on, heads and tails pass nearly every window: a Bloom filter
+# over whole patterns then keeps foreign windows out of the shuffle.
+BLOOM_MIN_PATTERNS = 50_000
 
 
 def clean_patterns(patterns: DataFrame, col: str = "pattern") -> DataFrame:
@@ -112,12 +116,14 @@ def _codes_of(strings: list[str], n: int) -> np.ndarray:
 
 
 def index_patterns(patterns: DataFrame, col: str = "pattern", head_len: int = HEAD_LEN,
-                   broadcast_max_bytes: int = PATTERN_BROADCAST_MAX_BYTES) -> PatternIndex:
+                   broadcast_max_bytes: int = PATTERN_BROADCAST_MAX_BYTES, bloom_min: int = BLOOM_MIN_PATTERNS) -> PatternIndex:
     """Summarise the pattern set by the heads and tails of its patterns.
 
     Tables: which lengths occur under each ``head_len``-letter head, and which tails
     under each length; at most 26^head_len and 26^3 entries per length whatever
     the pattern count.  Patterns shorter than the head are listed by length (at most 26 + 26^2 + 26^3).
+    From ``bloom_min`` patterns on a blocked Bloom filter over the rest joins them (12 bits a pattern,
+    at most 256 MB), which about one foreign window in a hundred passes.
     """
     spark = patterns.sparkSession
     ensure_checkpoint_dir(spark)
@@ -147,13 +153,15 @@ def index_patterns(patterns: DataFrame, col: str = "pattern", head_len: int = HE
     for length in sorted({len(r["pattern"]) for r in few}):
         short[length] = np.zeros(26 ** length, bool)
         short[length][_codes_of([r["pattern"] for r in few if len(r["pattern"]) == length], length)] = True
-    return PatternIndex(patterns=pats, head_len=head_len, tables=spark.sparkContext.broadcast((lengths, masks, ends, short)),
+    bloom = build_filter(rest, "pattern", n_pat) if n_pat >= bloom_min else None
+    return PatternIndex(patterns=pats, head_len=head_len, tables=spark.sparkContext.broadcast((lengths, masks, ends, short, bloom)),
                         broadcast_patterns=2 * n_bytes + BYTES_PER_BUILT_ROW * n_pat <= broadcast_max_bytes)
 
 
 def _windows(text: np.ndarray, offsets: np.ndarray, head_len: int, tables) -> list[tuple[np.ndarray, int]]:
-    """``(start positions in text, length)`` of the windows that pass head and tail, inside one protein each."""
-    lengths, masks, ends, short = tables
+    """``(start positions in text, length)`` of the windows that pass head, tail and filter, inside one protein each."""
+    lengths, masks, ends, short, bloom = tables
+    rolling = RollingHash(text) if bloom is not None else None
     room = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(text))      # letters left in the protein
     out = []
     for length, known in short.items():
@@ -171,7 +179,8 @@ def _windows(text: np.ndarray, offsets: np.ndarray, head_len: int, tables) -> li
             s = start[(mask >> np.uint64(min(i, 63)) & np.uint64(1)) > 0]
             s = s[room[s] >= length]
             end = tail[s + length - tail_len]
-            out.append((s[(end >= 0) & ends[length][end]], length))
+            s = s[(end >= 0) & ends[length][end]]
+            out.append((s[passes(rolling.of(s, length), bloom)] if rolling and len(s) else s, length))
     return [(s, n) for s, n in out if len(s)]
 
 

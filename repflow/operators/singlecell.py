@@ -62,6 +62,32 @@ def cell_expression_summary(expr: DataFrame, barcode: str = "barcode") -> DataFr
                                F.sum("value").alias("total_counts"))
 
 
+def expression_vectors(expr: DataFrame, barcode: str = "barcode") -> DataFrame:
+    """JN-7: ``(CB, genes, values)``: one expression vector per cleaned barcode (SCL-4), genes in order.
+
+    Entries of one barcode and gene are added up; null genes and values are left out.
+    """
+    e = expr.where("gene IS NOT NULL AND value IS NOT NULL").groupBy(
+        S.clean_expression_barcode(F.col(barcode)).alias("CB"), "gene").agg(F.sum("value").alias("value"))
+    x = e.groupBy("CB").agg(F.sort_array(F.collect_list(F.struct("gene", "value"))).alias("x"))
+    return x.select("CB", F.transform("x", lambda v: v["gene"]).alias("genes"), F.transform("x", lambda v: v["value"]).alias("values"))
+
+
+def with_expression(table: DataFrame, expr: DataFrame, barcode: str = "barcode") -> DataFrame:
+    """JN-7: the classifier table with each row's cell's expression vector (null where the cell has none)."""
+    return table.join(expression_vectors(expr, barcode), "CB", "left").select(*table.columns, "genes", "values")
+
+
+def feature_columns(table: DataFrame, rule: str = "v2", exclude=("label", "is_in_vdj")) -> list[str]:
+    """PRJ-2: the feature columns of a table: ``v1`` numeric types only, ``v2`` everything but strings, both without ``exclude``."""
+    from pyspark.sql import types as T
+
+    if rule not in ("v1", "v2"):
+        raise ValueError("rule is v1 or v2")
+    kept = (lambda t: isinstance(t, T.NumericType)) if rule == "v1" else (lambda t: not isinstance(t, (T.StringType, T.CharType, T.VarcharType)))
+    return [f.name for f in table.schema.fields if f.name not in exclude and kept(f.dataType)]
+
+
 def classifier_table(unified: DataFrame, publicness: DataFrame, expr: DataFrame,
                      cell_types: DataFrame | None, vdj: DataFrame) -> DataFrame:
     """JN-6, JN-7, JN-8, JN-9, PRJ-3: the classifier table.

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repflow.operators import repertoire as P
+from repflow.operators.ranks import running_before
 from repflow.plans import fixtures as fx
 from repflow.plans.oracle import with_ctes
 from repflow.plans.registry import r6, register
@@ -42,7 +43,9 @@ def _write_series_matrix(spark, sf, path):
     grp = F.when(k % 2 == 1, "blood").otherwise("biopsy")
     disease = (F.when(k % 5 == 0, "UC active").when(k % 5 == 1, "cd").when(k % 5 == 2, "CONTROL")
                .when(k % 5 == 3, None).otherwise("other"))
-    cells = s.select(grp.alias("grp"), k,
+    # one file per group and 500 samples: a line of the format holds all of a file's samples
+    part = F.concat(grp, F.lit("-"), F.floor(k / 500).cast("string"))
+    cells = s.select(part.alias("grp"), k,
                      F.concat(F.lit('"P'), (k % 60).cast("string"), F.lit(" sample "), k.cast("string"), F.lit('"')).alias("t"),
                      F.concat(F.lit('"GSM'), k.cast("string"), F.lit('"')).alias("g"),
                      F.concat(F.lit('"BioSample: biosample/SAMN'), k.cast("string"), F.lit('"')).alias("b"),
@@ -92,12 +95,10 @@ def q_incremental(spark, sf):
     pats = fx.patterns(spark, sf)
     schema = T.StructType([T.StructField("read_id", T.StringType()), T.StructField("sequence", T.StringType()),
                            T.StructField("count", T.LongType())])
-    # two input files first, the other two arrive later: the rerun only takes the new ones
-    for g in (0, 1):
-        reads.where(F.col("g") == g).drop("g").coalesce(1).write.mode("append").parquet(src)
+    # half of the reads first, the other half arrives later: the rerun only takes the new files
+    reads.where("g < 2").drop("g").write.mode("append").parquet(src)
     match_stream(spark, src, pats, out, ckpt, schema)
-    for g in (2, 3):
-        reads.where(F.col("g") == g).drop("g").coalesce(1).write.mode("append").parquet(src)
+    reads.where("g >= 2").drop("g").write.mode("append").parquet(src)
     match_stream(spark, src, pats, out, ckpt, schema)
     match_stream(spark, src, pats, out, ckpt, schema)          # nothing new: output unchanged
     res = spark.read.parquet(out)
@@ -107,19 +108,18 @@ def q_incremental(spark, sf):
 
 def _write_mtx(spark, sf, folder):
     e = fx.expression_barcoded(spark, sf)
-    from pyspark.sql import Window
-    bc = e.select("barcode").distinct().withColumn("c", F.row_number().over(Window.orderBy("barcode")))
-    ft = e.select("gene").distinct().withColumn("g", F.row_number().over(Window.orderBy("gene")))
+    bc = running_before(e.select("barcode").distinct(), [], ["barcode"]).withColumn("c", F.col("before") + 1)
+    ft = running_before(e.select("gene").distinct(), [], ["gene"]).withColumn("g", F.col("before") + 1)
     bc.orderBy("c").select("barcode").coalesce(1).write.text(f"{folder}/barcodes.tsv")
     ft.orderBy("g").select(F.concat(F.lit("ENSG"), F.col("g").cast("string"), F.lit("\t"), "gene",
                                     F.lit("\tGene Expression")).alias("value")).coalesce(1).write.text(f"{folder}/features.tsv")
     ent = e.join(bc, "barcode").join(ft, "gene")
-    sizes = ent.agg(F.concat_ws(" ", F.countDistinct("g").cast("string"), F.countDistinct("c").cast("string"),
-                                F.count(F.lit(1)).cast("string")).alias("value")).select(F.lit(1).alias("o"), "value")
-    head = spark.createDataFrame([(0, "%%MatrixMarket matrix coordinate real general")], "o int, value string")
-    body = ent.select(F.lit(2).alias("o"), F.concat_ws(" ", F.col("g").cast("string"), F.col("c").cast("string"),
-                                                       F.col("value").cast("string")).alias("value"))
-    head.unionByName(sizes).unionByName(body).orderBy("o").select("value").coalesce(1).write.text(f"{folder}/matrix.mtx")
+    n = ent.agg(F.countDistinct("g"), F.countDistinct("c"), F.count(F.lit(1))).first()
+    head = ["%%MatrixMarket matrix coordinate real general", "% derived", " ".join(map(str, n))]
+    spark.createDataFrame([("\n".join(head),)], "value string").coalesce(1).write.text(f"{folder}/matrix.mtx")
+    # the entries follow in as many files as there are tasks
+    ent.select(F.concat_ws(" ", F.col("g").cast("string"), F.col("c").cast("string"), F.col("value").cast("string")).alias("value")) \
+        .write.mode("append").text(f"{folder}/matrix.mtx")
 
 
 @register("tenx_mtx_read", "SRC-12 SCL-4 PVT-5", with_ctes(
@@ -137,8 +137,8 @@ def q_mtx(spark, sf):
     "publicness"))
 def q_publicness(spark, sf):
     path = _scratch(spark, "publicness")
-    pub = fx.publicness(spark, sf).orderBy("ord").select("CDR3_match", "publicness_score")
-    SK.write_csv(pub, path)
+    pub = fx.publicness(spark, sf).orderBy("ord").select("CDR3_match", "publicness_score")     # files in order of ord
+    SK.write_csv(pub, path, files=0)
     p = SRC.read_publicness(spark, path)
     return p.select("CDR3_match", r6("publicness_score").alias("publicness_score"))
 
@@ -147,5 +147,5 @@ def q_publicness(spark, sf):
     SELECT sample AS vdj_sample, barcode AS vdj_barcode, cdr3 AS vdj_cdr3 FROM contigs""", "contigs"))
 def q_vdj_csv(spark, sf):
     path = _scratch(spark, "vdj")
-    SK.write_csv(fx.contigs(spark, sf), path)
+    SK.write_csv(fx.contigs(spark, sf), path, files=0)
     return SRC.read_prefixed_csv(spark, path, "vdj_").select("vdj_sample", "vdj_barcode", "vdj_cdr3")

@@ -168,6 +168,18 @@ def q_metrics(spark, sf):
     return m.select(*[r6(c).alias(c) for c in m.columns])
 
 
+@register("binary_metrics", "ML-22", with_ctes("""
+    SELECT round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS balanced_accuracy,
+           round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
+           round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1
+    FROM (SELECT count(*) FILTER (WHERE toxic = 1 AND quality = 0) AS tp, count(*) FILTER (WHERE toxic = 0 AND quality = 0) AS fp,
+                 count(*) FILTER (WHERE toxic = 1 AND quality <> 0) AS fn, count(*) FILTER (WHERE toxic = 0 AND quality <> 0) AS tn FROM labels)"""))
+def q_binary(spark, sf):
+    """Low quality as a forecast of toxic: the metrics of the positive class."""
+    m = ML.binary_metrics(fx.table(spark, sf, "labels").withColumn("prediction", (F.col("quality") == 0).cast("int")), "toxic")
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
 @register("roc_auc", "ML-23", with_ctes("""
     SELECT 'toxic' AS target, round((sum(r) FILTER (WHERE y = 1) - npos * (npos + 1) / 2.0) / (npos * nneg), 6) AS roc_auc
     FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r,
@@ -425,18 +437,14 @@ def q_smote(spark, sf):
     return s.select("source_id", "j", "label", r6(tot).alias("vec_sum"), r6(F.col("vec")[0]).alias("vec_first"))
 
 
-_LP_ROUNDS = 5
-_LP_EXTRA = {'und': 'SELECT DISTINCT a, b FROM (SELECT qid AS a, nid AS b FROM knn10 UNION ALL SELECT nid, qid FROM knn10)', 'lab0': 'SELECT DISTINCT a AS node, a AS cluster FROM und', 'lab1': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab0 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab0)\n        GROUP BY node, cluster) WHERE r = 1', 'lab2': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab1 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab1)\n        GROUP BY node, cluster) WHERE r = 1', 'lab3': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab2 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab2)\n        GROUP BY node, cluster) WHERE r = 1', 'lab4': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab3 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab3)\n        GROUP BY node, cluster) WHERE r = 1', 'lab5': 'SELECT node, cluster FROM (\n        SELECT node, cluster, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, cluster) AS r FROM (\n          SELECT u.a AS node, l.cluster FROM und u JOIN lab4 l ON l.node = u.b\n          UNION ALL SELECT node, cluster FROM lab4)\n        GROUP BY node, cluster) WHERE r = 1'}
-
-
-@register("knn_clusters", "MAT-13", with_ctes(f"SELECT node, cluster FROM lab{_LP_ROUNDS}", "knn10", extra=_LP_EXTRA))
+@register("knn_clusters", "MAT-13")
 def q_knn_clusters(spark, sf):
-    """Community labels on the exact kNN graph (label propagation, fixed rounds)."""
+    """Community labels on the exact kNN graph by label propagation until they rest (``rested`` says whether they did)."""
     from repflow.operators import neighbors as NB
     from repflow.plans.partitioning import materialize
 
     edges = materialize(NB.knn(_vec(spark, sf), 10))
-    return NB.label_propagation(edges, _LP_ROUNDS)
+    return NB.label_propagation(edges)
 
 
 @register("cohort_model_v2", "ML-27 ML-9 ML-5 ML-8 ML-18 ML-19 ML-20 ML-22")

@@ -63,6 +63,21 @@ def q_classifier(spark, sf):
     return t.select(*[r6(c).alias(c) if c in _ROUND else F.col(c) for c in t.columns])
 
 
+@register("classifier_expression", "JN-7", with_ctes(f"""
+    SELECT c.IgBlast_sequence_id, c.seq_id, c.UMI, c.CB, c.is_in_vdj, len(x.genes) AS n_values, x.genes[1] AS first_gene,
+           round(list_sum(list_transform(range(1, len(x.genes) + 1), lambda i: i * x.vals[i])), 6) AS weighted
+    FROM ({_CLASSIFIER}) c LEFT JOIN (
+      SELECT CB, list(gene ORDER BY gene) AS genes, list(value ORDER BY gene) AS vals FROM (
+        SELECT replace(barcode, '-1', '') AS CB, gene, sum(value) AS value FROM expr_bc GROUP BY 1, 2) GROUP BY CB) x ON x.CB = c.CB""",
+    *_SC_CTES))
+def q_classifier_expression(spark, sf):
+    """The classifier table with one expression vector per cell; its size, first gene and place-weighted sum stand for it."""
+    t = SC.with_expression(_classifier(spark, sf), fx.expression_barcoded(spark, sf))
+    placed = F.aggregate(F.transform("values", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return t.select("IgBlast_sequence_id", "seq_id", "UMI", "CB", "is_in_vdj", F.when(F.col("genes").isNotNull(), F.size("genes")).cast("long").alias("n_values"),
+                    F.get("genes", F.lit(0)).alias("first_gene"), r6(placed).alias("weighted"))
+
+
 @register("repertoire_summary", "AGG-14 SET-1 AGG-12", with_ctes(f"""
     SELECT count(DISTINCT CDR3_match) AS n_cdr3_matches, count(DISTINCT CB) AS n_barcodes,
            count(*) FILTER (WHERE is_in_vdj) AS n_rows_in_vdj,
@@ -235,11 +250,7 @@ def q_hash(spark, sf):
 def q_features(spark, sf):
     """Numeric feature columns by schema minus the exclusion list, assembled into one vector."""
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.sql import types as T
 
     t = _classifier(spark, sf)
-    exclude = {"label", "is_in_vdj"}
-    numeric = [f.name for f in t.schema.fields
-               if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
-    return VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="keep").transform(t) \
+    return VectorAssembler(inputCols=SC.feature_columns(t, "v1"), outputCol="features", handleInvalid="keep").transform(t) \
         .select("IgBlast_sequence_id", "features", "label")

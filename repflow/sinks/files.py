@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repflow.functions.scalar import sha1_12
-
 
 def output_name(source_file) -> F.Column:
     """SNK-1: ``matched_<stem>`` for an input file name."""
@@ -127,17 +125,25 @@ def write_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def input_fingerprint(spark: SparkSession, path: str, extra: str = "") -> str:
-    """SNK-8: SHA-1 (first 12 hex) over sorted (file name, size, mtime) plus ``extra``.
+def input_fingerprint(spark: SparkSession, path: str, extra: str = "", config: dict | None = None, metadata_path: str | None = None) -> str:
+    """SNK-8: first 12 hex of SHA-1 over the files' (name, size, mtime), ``config``, the metadata file and ``extra``.
 
-    The listing is aggregated by Spark; only the 12-character key returns.
+    The files' own SHA-1 digests are added up in four parts (a sum does not depend on the order, so no task or
+    driver holds the listing); with the number of files the sums stand for the set.  ``config`` counts by its sorted JSON.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-             .select(F.concat_ws("|", F.element_at(F.split("path", "/"), -1), F.col("length").cast("string"),
-                                 F.col("modificationTime").cast("long").cast("string")).alias("f")))
-    key = files.agg(F.concat_ws(";", F.array_sort(F.collect_list("f"))).alias("k")) \
-        .select(sha1_12(F.concat(F.col("k"), F.lit("#" + extra))).alias("h")).first()["h"]
-    return key
+    import hashlib
+    import json
+
+    def state(p: str) -> str:
+        one = F.sha1(F.concat_ws("|", F.element_at(F.split("path", "/"), -1), F.col("length").cast("string"),
+                                 F.col("modificationTime").cast("double").cast("string")))
+        parts = [F.sum(F.conv(F.substring(one, 1 + 10 * i, 10), 16, 10).cast("decimal(38,0)")) for i in range(4)]
+        row = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p).select("path", "length", "modificationTime") \
+            .agg(F.count(F.lit(1)), *parts).first()
+        return "/".join(map(str, row))
+
+    told = [state(path), json.dumps(config or {}, sort_keys=True, default=str), state(metadata_path) if metadata_path else "", extra]
+    return hashlib.sha1("#".join(told).encode()).hexdigest()[:12]
 
 
 def cached_table(spark: SparkSession, cache_root: str, key: str, builder: Callable[[], DataFrame],
@@ -151,6 +157,25 @@ def cached_table(spark: SparkSession, cache_root: str, key: str, builder: Callab
     return spark.read.parquet(path)
 
 
+def save_run(path: str, model, selected: list[str], scaler=None, spark: SparkSession | None = None) -> None:
+    """SNK-10: a fitted model, its scaler and the selected features, each in its own folder under ``path``."""
+    spark = spark or SparkSession.active()
+    base = path.rstrip("/")
+    model.write().overwrite().save(f"{base}/model")
+    if scaler is not None:
+        scaler.write().overwrite().save(f"{base}/scaler")
+    rows = [(i, str(f)) for i, f in enumerate(selected)]                     # a bounded list: the model's inputs
+    spark.createDataFrame(rows, "ord int, feature string").coalesce(1).write.mode("overwrite").parquet(f"{base}/selected")
+
+
+def load_run(path: str, model_class, scaler_class=None, spark: SparkSession | None = None):
+    """``(model, selected features in order, scaler or None)`` of :func:`save_run`."""
+    spark = spark or SparkSession.active()
+    base = path.rstrip("/")
+    selected = [r["feature"] for r in spark.read.parquet(f"{base}/selected").orderBy("ord").collect()]
+    return model_class.load(f"{base}/model"), selected, scaler_class.load(f"{base}/scaler") if scaler_class else None
+
+
 def save_model(model, path: str) -> None:
     """SNK-10: persist a fitted ``pyspark.ml`` model or pipeline."""
     model.write().overwrite().save(path)

@@ -53,6 +53,21 @@ def scan_with_source(spark: SparkSession, path: str, columns, glob: str = "*.par
     return df.select(*[F.col(col_ref(c)) for c in columns], raw_name("_metadata.file_name").alias("source_file"))
 
 
+def scan_by_name(spark: SparkSession, path: str, glob: str, columns=None, fmt: str = "parquet", sep: str = ",") -> DataFrame:
+    """SRC-8: every file whose name matches ``glob``, with ``source_file`` and the accession ``srx`` of its name (SCL-6).
+
+    ``fmt`` is ``parquet`` or ``csv`` (with header, all columns as text).  ``columns`` are checked at plan time.
+    Files without an accession in their name have a null ``srx``; ``ValueError`` when nothing matches.
+    """
+    list_files(spark, path, glob)
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
+    df = reader.option("mergeSchema", "true").parquet(path) if fmt == "parquet" else reader.option("header", "true").option("sep", sep).csv(path)
+    if columns:
+        validate_columns(df, list(columns), path)
+    name = raw_name("_metadata.file_name")
+    return df.select(*[F.col(col_ref(c)) for c in (columns or df.columns)], name.alias("source_file"), S.extract_srx(name).alias("srx"))
+
+
 def row_counts(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """``source_file, footer_rows`` by the files' footers (no column is read); a file without footer is absent."""
     return (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
@@ -148,7 +163,9 @@ def read_10x_mtx(spark: SparkSession, folder: str, gene_symbols: bool = True) ->
     """SRC-12: 10x ``matrix.mtx`` + ``barcodes.tsv`` + ``features.tsv`` -> COO ``(cell, gene, value)``.
 
     The matrix is genes x cells (1-based coordinates); barcodes lose every
-    ``-1`` (SCL-4).  Lookup tables are numbered by :func:`with_line_numbers`.
+    ``-1`` (SCL-4).  Lookup tables are numbered by :func:`with_line_numbers`.  The entries are
+    neither numbered nor shuffled: of each file with a ``%%MatrixMarket`` banner the first line that is no comment holds
+    the sizes and is left out; ``matrix.mtx`` may also be a folder whose further files hold entries only.
     """
     def numbered(name):
         t = spark.read.option("sep", "\t").csv(f"{folder}/{name}")
@@ -159,9 +176,12 @@ def read_10x_mtx(spark: SparkSession, folder: str, gene_symbols: bool = True) ->
     ft = numbered("features.tsv*")
     gcol = "_c1" if gene_symbols and "_c1" in ft.columns else "_c0"
     ft = ft.select(F.col("__i").alias("__g"), F.col(gcol).alias("gene"))
-    mtx = with_line_numbers(spark.read.text(f"{folder}/matrix.mtx*"), "__l").where(~F.col("value").startswith("%"))
-    first = mtx.groupBy("file").agg(F.min("__l").alias("__first"))   # first non-comment line holds the sizes
-    mtx = mtx.join(F.broadcast(first), "file").where(F.col("__l") > F.col("__first"))
+    lines = spark.read.text(f"{folder}/matrix.mtx*").select("value", F.col("_metadata.file_path").alias("file"),
+                                                            F.monotonically_increasing_id().alias("__m"))
+    comment = F.col("value").startswith("%")
+    first = lines.groupBy("file").agg(F.bool_or(F.col("value").startswith("%%MatrixMarket")).alias("__banner"),
+                                      F.min(F.when(~comment & (F.trim("value") != ""), F.col("__m"))).alias("__m")).where("__banner")
+    mtx = lines.where(~comment & (F.trim("value") != "")).join(F.broadcast(first.select("file", "__m")), ["file", "__m"], "left_anti")     # one row per file
     parts = F.split(F.trim("value"), r"\s+")
     coo = mtx.select(parts[0].cast("long").alias("__g"), parts[1].cast("long").alias("__c"),
                      parts[2].cast("double").alias("value"))

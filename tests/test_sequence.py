@@ -98,3 +98,45 @@ def test_shuffle_path_and_head_lengths_agree(spark, head_len):
     h = seq.find_occurrences(seq.frames(r, keep=["read_id", "count"]), idx)
     got = sorted(tuple(x) for x in h.select(seq._frame_id("read_id").alias("read_id"), "CDR3_match", "count").collect())
     assert got == bulk_hits(reads, pats)
+
+
+def test_filter_holds_every_member_and_few_others(spark):
+    import numpy as np
+
+    from repflow.functions.bloom import RollingHash, build_filter, passes
+
+    rng = np.random.default_rng(1)
+    words = {"".join(rng.choice(list("ACDEFGHIKLMNPQRSTVWY"), rng.integers(5, 14))) for _ in range(5000)}
+    bloom = build_filter(spark.createDataFrame([(w,) for w in words], "pattern string"), "pattern", len(words))
+
+    def share(strings):
+        text = np.frombuffer("".join(strings).encode(), np.uint8)
+        n = np.array([len(s) for s in strings])
+        return passes(RollingHash(text).of(np.cumsum(n) - n, n), bloom).mean()
+
+    assert share(sorted(words)) == 1.0
+    others = {"".join(rng.choice(list("ACDEFGHIKLMNPQRSTVWY"), 9)) for _ in range(20_000)} - words
+    assert share(sorted(others)) < 0.03
+
+
+def test_search_with_the_filter_equals_search_without(spark):
+    import random
+
+    rnd = random.Random(4)
+    letters = "ACDEFG"
+    pats = [("".join(rnd.choice(letters) for _ in range(rnd.randint(2, 12))),) for _ in range(3000)]
+    proteins = [(i, "".join(rnd.choice(letters + "*") for _ in range(rnd.randint(0, 200)))) for i in range(60)] + [(99, None)]
+    df = spark.createDataFrame(proteins, "id int, protein string")
+    patterns = spark.createDataFrame(pats, "pattern string")
+    plain, filtered = (seq.index_patterns(patterns, bloom_min=n) for n in (10**9, 1))
+    got = [sorted((r["id"], r["pos"], r["CDR3_match"]) for r in seq.find_occurrences(df, i).collect()) for i in (plain, filtered)]
+    want = sorted((i, k + 1, p) for i, t in proteins if t for p in {x[0] for x in pats} for k in range(len(t)) if t.startswith(p, k))
+    assert got[0] == got[1] == want and plain.tables.value[4] is None and filtered.tables.value[4] is not None
+    # windows that reach the join: the hits and few others
+    windows = 0
+    for _, t in proteins:
+        if t:
+            import numpy as np
+            text = np.frombuffer(t.encode(), np.uint8)
+            windows += sum(len(s) for s, _ in seq._windows(text, np.array([0, len(text)]), filtered.head_len, filtered.tables.value))
+    assert len(want) <= windows <= 1.05 * len(want) + 50

@@ -31,7 +31,7 @@ from repflow.llm.textkernel import LOWER, runs, segment_hash, utf8, words
 
 SPACE, END = 0x20, 0x0A
 MAX_RANGES = 256
-FLUSH = 2_000_000
+FLUSH = 1_200_000
 RUN_BYTES = 1 << 18                      # text priced at a time; its sorts and look-ups stay in cache
 LN2 = float(np.log(2))
 
@@ -189,7 +189,7 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes:
             buf, off = utf8(b.column("text"))
             chunk = b.column("chunk").to_numpy()
             train = ~b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            for i, j in runs(off, 1 << 20):
+            for i, j in runs(off, 1 << 19):
                 part, at = buf[off[i]:off[j]], off[i:j + 1] - off[i]
                 starts, ends, first = words(part, at)
                 h = segment_hash(LOWER[part], starts, ends)

@@ -17,6 +17,7 @@ from repflow.operators import repertoire as P
 from repflow.operators.ranks import running_before
 from repflow.plans import fixtures as fx
 from repflow.plans.oracle import with_ctes
+from repflow.plans.partitioning import sorted_pieces
 from repflow.plans.registry import r6, register
 from repflow.session import shared_dir
 from repflow.sinks import files as SK
@@ -137,7 +138,7 @@ def q_mtx(spark, sf):
     "publicness"))
 def q_publicness(spark, sf):
     path = _scratch(spark, "publicness")
-    pub = fx.publicness(spark, sf).orderBy("ord").select("CDR3_match", "publicness_score")     # files in order of ord
+    pub = sorted_pieces(fx.publicness(spark, sf), "ord").select("CDR3_match", "publicness_score")     # files in order of ord
     SK.write_csv(pub, path, files=0)
     p = SRC.read_publicness(spark, path)
     return p.select("CDR3_match", r6("publicness_score").alias("publicness_score"))

@@ -22,6 +22,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if estimate < target * split else df
 
 
+def sorted_pieces(df: DataFrame, order: str, piece_bytes: int = 4 << 20) -> DataFrame:
+    """``df`` in order of ``order`` over its partitions, which are more than the session's for a table of many ``piece_bytes``.
+
+    The size is the planner's estimate (of a scan: compressed bytes) and starts no job.
+    """
+    n = -(-int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // piece_bytes)
+    if n <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.orderBy(order)
+    return df.repartitionByRange(min(n, 100_000), order).sortWithinPartitions(order)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the session's checkpoint dir and cut its lineage.
 

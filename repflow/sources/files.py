@@ -189,13 +189,17 @@ def read_10x_mtx(spark: SparkSession, folder: str, gene_symbols: bool = True) ->
 
 
 def read_publicness(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-13: publicness CSV, first row per sequence in file order."""
+    """SRC-13: publicness CSV, first row per sequence in file order.
+
+    Grouped minima of (file, split, row): no row is numbered and no sequence's rows are sorted.
+    """
     df = spark.read.option("header", "true").option("inferSchema", "true").csv(path)
     validate_columns(df, ["CDR3_match", "publicness_score"], path)
-    df = with_line_numbers(df, "__ord").select("CDR3_match", "publicness_score", "file", "__ord")
-    df = df.withColumn("__ord", F.struct("file", "__ord"))
-    w = Window.partitionBy("CDR3_match").orderBy("__ord")
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__ord", "file")
+    df = df.select("CDR3_match", "publicness_score", F.col("_metadata.file_path").alias("__file"),
+                   F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__row"))
+    firsts = df.groupBy("CDR3_match", "__file", "__start").agg(
+        F.min("__row").alias("__first"), F.min_by("publicness_score", "__row").alias("publicness_score"))     # one row per sequence and split
+    return firsts.groupBy("CDR3_match").agg(F.min_by("publicness_score", F.struct("__file", "__start", "__first")).alias("publicness_score"))
 
 
 # SRC-14: source folders and output name per sample type

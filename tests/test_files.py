@@ -127,3 +127,21 @@ def test_series_matrix_many_files_one_job(spark, tmp_path):
     out = SRC.parse_series_matrix(spark, str(tmp_path / "s*.txt"))
     assert sorted(r["GSM_ID"] for r in out.collect()) == ["GSM00", "GSM01", "GSM10", "GSM11", "GSM20", "GSM21"]
     assert sorted(r["patient_id"] for r in out.collect())[:2] == ["00", "01"]
+
+
+def test_publicness_keeps_the_first_row_in_file_order_without_windows(spark, tmp_path):
+    for name, rows in (("b.csv", ["AAA,9", "CCC,8"]), ("a.csv", ["AAA,1.5", "GGG,", "AAA,2", "GGG,3", ",7", ",6"])):
+        (tmp_path / name).write_text("\n".join(["CDR3_match,publicness_score", *rows]) + "\n")
+    got = SRC.read_publicness(spark, str(tmp_path))
+    assert {tuple(r) for r in got.collect()} == {("AAA", 1.5), ("GGG", None), (None, 7.0), ("CCC", 8.0)}
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sorted_pieces_are_in_order_and_more_for_larger_tables(spark):
+    from repflow.plans.partitioning import sorted_pieces
+
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("o"))
+    for piece in (100, 1 << 30):
+        got = sorted_pieces(df, "o", piece)
+        assert [r["o"] for r in got.collect()] == list(range(5000))
+    assert sorted_pieces(df, "o", 100).rdd.getNumPartitions() == 400

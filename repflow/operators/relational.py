@@ -59,15 +59,16 @@ def join_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner",
 def keep_first(df: DataFrame, keys, order_col: str) -> DataFrame:
     """DED-1 / WIN-1: the first row per key by an explicit ordinal.
 
-    ``min_by`` over the whole row is a partial (map-side) aggregate, so a key
-    holding a large share of the rows is reduced before the shuffle instead of
-    being sorted in one task.  Output: key columns first, then the others.
+    ``min_by`` is a partial (map-side) aggregate, so a key holding a large share
+    of the rows is reduced before the shuffle instead of being sorted in one
+    task.  One ``min_by`` per column, all of the same row: numbers then need no
+    sort of the rows (a struct would).  Output: key columns first, then the others.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     others = [c for c in df.columns if c not in keys]
     agg = df.groupBy(*[F.col(col_ref(k)) for k in keys]).agg(
-        F.min_by(F.struct(*[F.col(col_ref(c)) for c in others]), F.col(col_ref(order_col))).alias("__first"))
-    return agg.select(*[F.col(col_ref(k)) for k in keys], "__first.*")
+        *[F.min_by(F.col(col_ref(c)), F.col(col_ref(order_col))).alias(c) for c in others])
+    return agg.select(*[F.col(col_ref(c)) for c in [*keys, *others]])
 
 
 def first_containing(samples: DataFrame, sample_col: str, ids: DataFrame, id_col: str,

@@ -29,3 +29,10 @@ def test_keep_first_and_membership(spark):
     q = spark.createDataFrame([("x", None), ("x", "z")], "a string, b string")
     flags = sorted((r["b"] or "", r["is_in"]) for r in R.flag_membership(q, ref, ["a", "b"]).collect())
     assert flags == [("", True), ("z", False)]
+
+
+def test_keep_first_of_numbers_sorts_no_rows(spark):
+    df = spark.createDataFrame([("x", 2, 0.5, None), ("x", 1, None, 7), ("y", 3, 1.5, 2), (None, 4, 2.5, 1)], "k string, o int, v double, n bigint")
+    got = R.keep_first(df, "k", "o")
+    assert {tuple(r) for r in got.collect()} == {("x", 1, None, 7), ("y", 3, 1.5, 2), (None, 4, 2.5, 1)}
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()

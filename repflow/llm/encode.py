@@ -31,7 +31,7 @@ ODD = np.zeros(256, dtype=bool)
 ODD[[32, *range(9, 14), *b"|<"]] = True
 BETWEEN = " |"                       # one id of its own between two stretches that start with white space
 JOINED = 1000
-MAX_CACHED = 600_000
+MAX_CACHED = 600_000                 # stretches of the table and of the one before it
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -66,12 +66,23 @@ class Encoder:
         self.small = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         between = self._ids([BETWEEN])[0]
         self.between = between[0] if len(between) == 1 else None
+        self.length = self._lengths()
         # a vocabulary that lower-cases and drops white space gives equal ids to stretches that differ in these alone
         self.fold = np.arange(256, dtype=np.uint8)
         if '"type":"Lowercase"' in self.tokenizer.to_str() and self._ids(["\nAbc"]) == self._ids([" abc"]):
             self.fold = LOWER.copy()
             self.fold[10] = 32
         self._reset()
+        self.former = (self.keys, self.at, self.n, self.ids)
+
+    def _lengths(self) -> np.ndarray | None:
+        """Bytes per id of a byte-level vocabulary, where the ids themselves tell which stretch they belong to."""
+        if '"type":"ByteLevel"' not in self.tokenizer.to_str():
+            return None
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        length = np.zeros(max(names.values()) + 1, np.int64)
+        length[list(names.values())] = [len(x) for x in names]
+        return length if all(length[x].sum() == len(t) for t, x in ((t, self._ids([t])[0]) for t in (" abc", "\nAbc", " abc, d"))) else None
 
     def _reset(self):
         self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
@@ -86,9 +97,20 @@ class Encoder:
         order, counts, flat, rest = [], [], [], np.flatnonzero(~plain).tolist()
         which = np.flatnonzero(plain)
         groups = [which[k:k + JOINED] for k in range(0, len(which), JOINED)]
-        joined = [(BETWEEN.encode().join([parts[i] for i in g])).decode("utf-8", "replace") for g in groups]
+        between = BETWEEN.encode() if self.length is None else b""
+        joined = [(between.join([parts[i] for i in g])).decode("utf-8", "replace") for g in groups]
         for g, ids in zip(groups, self._ids(joined)):
             ids = np.array(ids, np.uint32)
+            if self.length is not None:
+                edge, end = np.cumsum([len(parts[i]) for i in g]), np.cumsum(self.length[ids])
+                last = np.minimum(np.searchsorted(end, edge), len(end) - 1)
+                if end[-1] == edge[-1] and (end[last] == edge).all():      # every stretch ends with an id
+                    order.append(g)
+                    counts.append(np.diff(last, prepend=-1))
+                    flat.append(ids)
+                else:
+                    rest += g.tolist()
+                continue
             is_between = ids == self.between
             at = np.flatnonzero(is_between)
             if len(at) == len(g) - 1:
@@ -103,6 +125,23 @@ class Encoder:
         flat += [np.array(x, np.uint32) for x in got]
         return np.concatenate(order), np.concatenate(counts), np.concatenate(flat)
 
+    def _recall(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(which, id counts, flat ids)`` of the stretches of the former table."""
+        keys, at, n, ids = self.former
+        if not len(keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int32), ids
+        i = np.minimum(np.searchsorted(keys, u), len(keys) - 1)
+        which = np.flatnonzero(keys[i] == u)
+        at, n = at[i[which]], n[i[which]]
+        first = np.cumsum(n) - n
+        return which, n, ids[np.arange(int(n.sum())) + np.repeat(at - first, n)]
+
+    def _merge(self):
+        keys = np.concatenate([self.keys, self.new[0]])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.at, self.n = (np.concatenate([x, y])[order] for x, y in zip((self.keys, self.at, self.n), self.new))
+        self.new = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+
     def _find(self, u: np.ndarray):
         at, n, known = np.zeros(len(u), np.int32), np.zeros(len(u), np.int32), np.zeros(len(u), bool)
         for keys, a, m in ((self.keys, self.at, self.n), self.new):
@@ -122,7 +161,9 @@ class Encoder:
             buf = self.fold[buf]
         ends = np.append(starts[1:], len(buf))
         u, one, inv = np.unique(segment_hash(buf, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(self.new[0]) > MAX_CACHED:
+        if len(self.keys) + len(self.new[0]) > MAX_CACHED // 2:      # stretches met again come back from the former table
+            self._merge()
+            self.former = (self.keys, self.at, self.n, self.ids)
             self._reset()
         at, n, known = self._find(u)
         fresh = np.flatnonzero(~known)
@@ -132,8 +173,13 @@ class Encoder:
             # one space or line feed, then one word without white space, separator or special token
             odd = np.concatenate([[0], np.cumsum(ODD[buf])])
             plain = ODD[buf[s]] & ((buf[s] == 32) | (buf[s] == 10)) & (odd[e] - odd[s] == 1) & (PRINTABLE[buf] | _letters(buf))[e - 1]
-            order, m, flat = self._fresh([raw[i:j] for i, j in zip(s.tolist(), e.tolist())], plain & (self.between is not None))
-            fresh = fresh[order]
+            was, m, flat = self._recall(u[fresh])
+            rest = np.delete(np.arange(len(fresh)), was)
+            if len(rest):
+                order, more, ids = self._fresh([raw[i:j] for i, j in zip(s[rest].tolist(), e[rest].tolist())],
+                                               plain[rest] & (self.between is not None or self.length is not None))
+                was, m, flat = np.concatenate([was, rest[order]]), np.concatenate([m, more]), np.concatenate([flat, ids])
+            fresh = fresh[was]
             m = m.astype(np.int32)
             a = (len(self.ids) + np.cumsum(m) - m).astype(np.int32)
             self.ids = np.concatenate([self.ids, flat.astype(self.small)])
@@ -142,10 +188,7 @@ class Encoder:
             order = np.argsort(k)
             self.new = (k[order], np.concatenate([self.new[1], a])[order], np.concatenate([self.new[2], m])[order])
             if len(self.new[0]) > 20_000 + len(self.keys) // 4:
-                k = np.concatenate([self.keys, self.new[0]])
-                order = np.argsort(k, kind="stable")
-                self.keys, self.at, self.n = (np.concatenate([x, y])[order] for x, y in zip((self.keys, self.at, self.n), self.new))
-                self.new = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+                self._merge()
         each = n[inv].astype(np.int64)
         first = np.concatenate([[0], np.cumsum(each)])
         ids = self.ids[np.arange(first[-1]) + np.repeat(at[inv] - first[:-1], each)].astype(np.uint32)

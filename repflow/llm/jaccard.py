@@ -67,6 +67,32 @@ def summaries(docs: DataFrame, k: int, heavy_share: float) -> DataFrame:
     return docs.mapInArrow(summarise, "kind tinyint, id long, d long, n long")
 
 
+def _by_bucket(own: list, buckets: int):
+    """``(bucket, byte planes of its sorted tokens, texts, each token's place among the texts)`` of ``own``, pairs (tokens, text), which is emptied.
+
+    Few and narrow arrays at a time: an executor holds several such buffers.
+    """
+    if not own:
+        return
+    token = np.concatenate([x[0] for x in own])
+    doc = np.repeat(np.array([x[1] for x in own], np.uint16), [len(x[0]) for x in own])
+    own.clear()
+    at = (token % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((token, at))
+    at = at[order]
+    cuts = np.searchsorted(at, np.arange(buckets + 1))
+    del at
+    doc = doc[order]
+    token = token[order]
+    del order
+    for x in np.flatnonzero(np.diff(cuts)).tolist():
+        part = slice(cuts[x], cuts[x + 1])
+        names, local = np.unique(doc[part], return_inverse=True)
+        # six byte planes: the high ones of sorted tokens compress well
+        planes = np.ascontiguousarray(token[part].view(np.uint8).reshape(-1, 8)[:, :6].T)
+        yield x, planes.tobytes(), names, local.astype("<u2").tobytes()
+
+
 def prefix_index(docs: DataFrame, k: int, per_cent: int, heavy: np.ndarray, buckets: int) -> DataFrame:
     """``(token, d, n, shared, central)``: extended prefixes, in the common order, of the classes that may have a partner.
 
@@ -86,21 +112,10 @@ def prefix_index(docs: DataFrame, k: int, per_cent: int, heavy: np.ndarray, buck
             facts = np.array(list(seen.values()), np.int64).reshape(-1, 2)
             cols: list[list] = [[], [], [], [], []]
             for heavy_part in (0, 1):
-                own = [x for x in held if x[2] == heavy_part and len(x[0])]
-                if not own:
-                    continue
-                token = np.concatenate([x[0] for x in own])
-                doc = np.repeat([x[1] for x in own], [len(x[0]) for x in own])
-                at = (token % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((token, at))
-                token, doc, at = token[order], doc[order], at[order]
-                cuts = np.searchsorted(at, np.arange(buckets + 1))
-                for x in np.flatnonzero(np.diff(cuts)).tolist():
-                    part = slice(cuts[x], cuts[x + 1])
-                    names, local = np.unique(doc[part], return_inverse=True)
-                    # six byte planes: the high ones of sorted tokens compress well
-                    planes = np.ascontiguousarray(token[part].view(np.uint8).reshape(-1, 8)[:, :6].T)
-                    for c, v in zip(cols, (x, heavy_part, planes.tobytes(), local.astype("<u2").tobytes(), ds[names].tobytes())):
+                own = [held[x] for x in range(heavy_part, len(held), 2) if len(held[x][0])]
+                held[heavy_part::2] = [None] * len(held[heavy_part::2])
+                for x, planes, doc, local in _by_bucket(own, buckets):
+                    for c, v in zip(cols, (x, heavy_part, planes, local, ds[doc].tobytes())):
                         c.append(v)
             # the classes' own facts travel with the buckets too
             to = (ds.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
@@ -124,8 +139,8 @@ def prefix_index(docs: DataFrame, k: int, per_cent: int, heavy: np.ndarray, buck
                     need = len(s) * (100 - per_cent) // 100 + 2
                     common = np.isin(s, often) if len(often) else np.zeros(len(s), bool)
                     plain = s[~common] >> np.uint64(16)
-                    held.append((plain, len(seen), 0))
-                    held.append((s[common][:max(0, need - len(plain))] >> np.uint64(16), len(seen), 1))
+                    held.append((plain, len(seen)))                      # even places: plain tokens, odd places: heavy ones
+                    held.append((s[common][:max(0, need - len(plain))] >> np.uint64(16), len(seen)))
                     seen[d] = (len(s), len(plain))
                     size += len(plain)
                     if size > FLUSH or len(seen) >= FLUSH_TEXTS:
@@ -150,11 +165,15 @@ def prefix_index(docs: DataFrame, k: int, per_cent: int, heavy: np.ndarray, buck
         token, own, part = (np.concatenate(x) if x else np.zeros(0, ty) for x, ty in
                             ((token, np.uint64), (own, np.int64), (part, np.uint8)))
         order = np.lexsort((own, token))
-        token, own, part = token[order], own[order], part[order]
+        token = token[order]
+        own = own[order]
+        part = part[order]
+        del order
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (own[1:] != own[:-1])]) if len(token) else np.zeros(0, bool)
         token, own, part = token[new], own[new], part[new]
-        _, inv, count = np.unique(token, return_inverse=True, return_counts=True)
-        df = count[inv] if len(token) else np.zeros(0, np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
+        count = np.diff(np.append(starts, len(token)))           # equal tokens lie together
+        df = np.repeat(count, count)
         keep = (df >= 2) | (part == 1)
         m = len(facts)
         return pa.table({

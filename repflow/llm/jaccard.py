@@ -34,6 +34,7 @@ from repflow.llm.tables import n_slices, stored
 from repflow.llm.textkernel import runs, set_digest, shingle_sets, utf8
 
 TOKENS_PER_BUCKET = 2_000_000
+TOKENS_PER_FILE = 500_000                # of all sets' tokens, for a file of any stored table
 FLUSH, FLUSH_TEXTS = 2_000_000, 60_000
 HEAVY = (1 << 31) - 1
 CLASS_ENDS = (2, 8, 32, 128)             # frequency classes of shared tokens; above these one more, and the heavy tokens
@@ -266,15 +267,15 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, per_cent: int) -> DataFra
     return placed.groupBy("i", "j").cogroup(sent.groupBy("ti", "tj")).applyInArrow(check, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``(node, label)``: the smallest node reachable, for every node of ``(a, b)``."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "labels")
+def components(edges: DataFrame, files: int | None = None) -> DataFrame:
+    """``(node, label)``: the smallest node reachable, for every node of ``(a, b)``; ``files`` as in ``stored``."""
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links", files)
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "labels", files)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
         jump = step.select(F.col("node").alias("at"), F.col("label").alias("further"))
-        new = stored(step.join(jump, step["label"] == jump["at"]).select("node", F.least("label", "further").alias("label"), "was"), "labels")
+        new = stored(step.join(jump, step["label"] == jump["at"]).select("node", F.least("label", "further").alias("label"), "was"), "labels", files)
         labels, changed = new.select("node", "label"), new.where("label <> was").limit(1).count()
         if not changed:
             return labels
@@ -320,34 +321,36 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
         .where(F.col("n") >= max(64, heavy_share / 2 * n_rows)).select("d").toPandas()["d"].to_numpy(np.int64)
     heavy = np.sort(heavy.view(np.uint64))
     buckets = max(n_slices(docs), -(-n_tokens // TOKENS_PER_BUCKET))
-    index = stored(prefix_index(src, k, per_cent, heavy, buckets), "prefixes")
+    # a table of a few rows for each partition is not written in as many files: every file costs a task and a process to set its mode
+    files = max(docs.sparkSession.sparkContext.defaultParallelism, -(-n_tokens // TOKENS_PER_FILE))
+    index = stored(prefix_index(src, k, per_cent, heavy, buckets), "prefixes", files)
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("members"),
                                        F.max(F.struct("central", "d", "n", "shared")).alias("hub")).where("members > 1")
-    met = stored(index.join(lists, "token"), "lists")            # the members of lists of two or more
+    met = stored(index.join(lists, "token"), "lists", files)            # the members of lists of two or more
     texts = met.select("d").distinct()
     first = rows.groupBy("d").agg(F.min("id").alias("id"))
     texts = texts.join(first, "d").withColumnRenamed("id", "rep")
-    texts = stored(_own_text(src.join(texts, src["id"].eqNullSafe(texts["rep"])).select("d", "text"), k), "texts")
+    texts = stored(_own_text(src.join(texts, src["id"].eqNullSafe(texts["rep"])).select("d", "text"), k), "texts", files)
     central = met.where((F.col("d") != F.col("hub.d")) & _fits(F.col("n"), F.col("shared"), F.col("hub.n"), F.col("hub.shared"), per_cent)) \
         .select(F.least("d", F.col("hub.d")).alias("a"), F.greatest("d", F.col("hub.d")).alias("b")).distinct()
-    central = stored(central, "central")
-    links = stored(verify(central, texts, k, per_cent), "links")
-    labels = components(links)
+    central = stored(central, "central", files)
+    links = stored(verify(central, texts, k, per_cent), "links", files)
+    labels = components(links, files)
     open_ = met.select("token", "d", "n", "shared").join(labels.select(F.col("node").alias("d"), "label"), "d", "left") \
         .withColumn("label", F.coalesce("label", "d"))
     mixed = open_.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")) \
         .where("lo < hi").select("token", "members")
-    open_ = stored(open_.join(mixed, "token"), "open")           # lists that still hold several components
+    open_ = stored(open_.join(mixed, "token"), "open", files)           # lists that still hold several components
     of_two = open_.where(F.col("members") > frequent)
     mine = of_two.groupBy(F.col("d").alias("own")).agg(F.sort_array(F.collect_list("token")).alias("hot"))
     of_two = of_two.join(mine, F.col("d") == F.col("own")).withColumn(
         "before", F.slice("hot", F.lit(1), F.array_position("hot", F.col("token")).cast("int") - 1)).drop("hot", "own")
     more = _pairs(open_.where(F.col("members") <= frequent), per_cent).union(_pairs(of_two.where(F.size("before") > 0), per_cent))
-    more = stored(more.distinct(), "pairs")
-    more = stored(more.join(central, ["a", "b"], "left_anti"), "candidates")
-    found = stored(verify(more, texts, k, per_cent), "links")
+    more = stored(more.distinct(), "pairs", files)
+    more = stored(more.join(central, ["a", "b"], "left_anti"), "candidates", files)
+    found = stored(verify(more, texts, k, per_cent), "links", files)
     if found.limit(1).count():
-        labels = components(links.unionByName(found))
+        labels = components(links.unionByName(found), files)
     lab = labels.select(F.col("node").alias("d"), "label")
     named = rows.where("n > 0").groupBy("d").agg(F.min("id").alias("id")).join(lab, "d", "left") \
         .select("d", "id", F.coalesce("label", "d").alias("label"))

@@ -21,10 +21,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back (cuts lineage, survives lost executors)."""
+def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (cuts lineage, survives lost executors).
+
+    ``files`` bounds the number of files of a table that is small for its partitions; the tasks that write it are as many.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -32,3 +32,23 @@ def test_bytes_held_for_a_token():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 45 * 1_000_000              # 64 with wide arrays held all at once
+
+
+def test_small_tables_are_not_written_in_a_file_for_each_partition(spark, odd_docs, monkeypatch):
+    from pathlib import Path
+
+    from repflow.llm import jaccard, tables
+
+    paths = []
+    monkeypatch.setattr(tables, "scratch", lambda s, name, made=tables.scratch: paths.append(made(s, name)) or paths[-1])
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_components(odd_docs).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert (9, 8) in got and (14, 13) in got
+    files = [len(list(Path(p.removeprefix("file:")).glob("part-*"))) for p in paths]
+    assert len(files) > 8 and max(files) <= max(spark.sparkContext.defaultParallelism, odd_docs.rdd.getNumPartitions())

@@ -10,18 +10,20 @@ over the ``N`` points whose class has more than one.  Equal values are told apar
 the data's resolution, a hash of the row's id and the feature.
 
 No feature and no class is ever in one task: ranks come from range partitions (ties split by a hash) with
-offsets per partition; class neighbours are windows over blocks of ranks that overlap by ``k`` rows; the counts ``m`` are
+offsets per partition; class neighbours are found in blocks of ranks that overlap by ``k`` rows; the counts ``m`` are
 differences of two rank look-ups, answered by one sorted pass over points and look-ups together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repflow.operators.ml import HASH_MOD, HASH_MULT, SEED
 from repflow.operators.ranks import running_before
-from repflow.plans.partitioning import materialize
+from repflow.plans.partitioning import stored
 
 JITTER = 1e-10
 FEATURE_MULT = 40503
@@ -56,7 +58,7 @@ def jittered(long: DataFrame, jitter: float = JITTER, seed: int = SEED) -> DataF
     for _ in range(2):          # products of both halves: neighbours in id or feature get unrelated steps, no equal distances
         low, high = F.pmod(h, F.lit(65_536)), F.shiftright(h, 16)
         h = F.pmod(low * high * FEATURE_MULT + low * HASH_MULT + high, F.lit(HASH_MOD))
-    scale = d.groupBy("feature").agg(F.greatest(F.lit(1.0), F.round(F.avg(F.abs("x")), 6)).alias("__scale"))
+    scale = stored(d.groupBy("feature").agg(F.greatest(F.lit(1.0), F.round(F.avg(F.abs("x")), 6)).alias("__scale")))
     step = F.lit(jitter) * F.col("__scale") * ((h / float(HASH_MOD) - 0.5) * 3.4641016151377544)
     return d.join(scale, "feature").select("id", "feature", (F.col("x") + step).alias("x"), "y")
 
@@ -66,35 +68,40 @@ def class_distances(points: DataFrame, k: int) -> DataFrame:
 
     ``flat`` marks radius 0.  Points alone in their class are left out.
     """
-    ranked = running_before(points.withColumn("__salt", F.xxhash64("id")), ["feature", "y"], ["x", "__salt"], None).drop("__salt")
-    ranked = materialize(ranked)
-    sizes = ranked.groupBy("feature", "y").agg(F.count(F.lit(1)).alias("n_c")).where("n_c > 1")
+    ranked = running_before(points.withColumn("__salt", F.xxhash64("id")), ["feature", "y"], ["x", "__salt"], keep=["id", "x"])
+    sizes = stored(ranked.groupBy("feature", "y").agg(F.count(F.lit(1)).alias("n_c")).where("n_c > 1"))
     b, at = F.floor(F.col("before") / BLOCK_ROWS), F.col("before") % BLOCK_ROWS
     own = ranked.join(sizes, ["feature", "y"]).withColumn("__b", F.explode(F.array_compact(F.array(
         b, F.when(at < k, b - 1), F.when(at >= BLOCK_ROWS - k, b + 1)))))
-    w = Window.partitionBy("feature", "y", "__b").orderBy("before")
-    x = F.col("x")
-    back = [x, *[F.lag("x", j).over(w) for j in range(1, k + 1)]]
-    ahead = [x, *[F.lead("x", j).over(w) for j in range(1, k + 1)]]
-    d = own.select("id", "feature", "x", "y", "n_c", "before", "__b", *[c.alias(f"__l{j}") for j, c in enumerate(back)], *[c.alias(f"__r{j}") for j, c in enumerate(ahead)])
-
-    def nearest(kk: int) -> Column:
-        options = []
-        for j in range(kk + 1):
-            lo, hi = F.col(f"__l{j}"), F.col(f"__r{kk - j}")
-            left, right = x - lo, hi - x
-            r = F.greatest(left, right)
-            options.append(F.when(lo.isNotNull() & hi.isNotNull(), F.struct(
-                r.alias("r"), F.when(left >= right, lo).otherwise(x - r).alias("lo"), F.when(right >= left, hi).otherwise(x + r).alias("hi"))))
-        return F.array_min(F.array(*options))
-
-    k_c = F.least(F.lit(k), F.col("n_c") - 1)
-    best = nearest(k)
-    for kk in range(1, k):
-        best = F.when(k_c == kk, nearest(kk)).otherwise(best)
-    return d.where(F.floor(F.col("before") / BLOCK_ROWS) == F.col("__b")).select(
-        "id", "feature", "x", "y", "n_c", k_c.alias("k_c"), best.alias("__n")).select(
-        "id", "feature", "x", "y", "n_c", "k_c", (F.col("__n.r") == 0).alias("flat"), "__n.lo", "__n.hi")
+    kinds, block = dict(ranked.dtypes), BLOCK_ROWS
+    return own.groupBy("feature", "y", "__b").applyInArrow(
+        lambda t: _block_distances(t, k, block), ", ".join(f"`{c}` {kinds[c]}" for c in ("id", "feature", "x", "y"))
+        + ", n_c long, k_c int, flat boolean, lo double, hi double")
+
+
+def _block_distances(t: pa.Table, k: int, block: int) -> pa.Table:
+    """One block of ranks of a class, its overlap left out again, with the open interval that each row's ``k``-th neighbour bounds."""
+    t = t.sort_by("before")
+    x, n_c = t["x"].to_numpy(), t["n_c"][0].as_py()
+    kk, n = min(k, n_c - 1), len(t)
+    r, lo, hi = (np.full(n, np.inf) for _ in range(3))
+    found = np.zeros(n, bool)
+    for j in range(kk + 1):                      # j neighbours below, the others above
+        mid = slice(j, n - (kk - j))
+        below, above, v = x[:n - kk], x[kk:], x[mid]
+        if not len(v):
+            continue
+        left, right = v - below, above - v
+        far = np.maximum(left, right)
+        a, b = np.where(left >= right, below, v - far), np.where(right >= left, above, v + far)
+        less = ~found[mid] | (far < r[mid]) | ((far == r[mid]) & ((a < lo[mid]) | ((a == lo[mid]) & (b < hi[mid]))))
+        for kept, new in ((r, far), (lo, a), (hi, b)):
+            kept[mid] = np.where(less, new, kept[mid])
+        found[mid] = True
+    t = t.append_column("k_c", pa.array(np.full(n, kk, np.int32))).append_column("flat", pa.array(r == 0))
+    t = t.append_column("lo", pa.array(lo)).append_column("hi", pa.array(hi))
+    own = t["before"].to_numpy() // block == t["__b"].to_numpy()
+    return t.filter(pa.array(own)).select(["id", "feature", "x", "y", "n_c", "k_c", "flat", "lo", "hi"])
 
 
 def mutual_information_knn(long: DataFrame, k: int = 3, jitter: float = JITTER, seed: int = SEED) -> DataFrame:
@@ -103,8 +110,8 @@ def mutual_information_knn(long: DataFrame, k: int = 3, jitter: float = JITTER,
     Rows with a null, NaN or infinite ``x`` or a null ``y`` are left out; a feature without two points of one class
     has ``mi`` 0.  An empty table gives no rows.
     """
-    clean = materialize(jittered(long, jitter, seed))
-    points = materialize(class_distances(clean, k))
+    clean = jittered(stored(long.select("id", "feature", "x", "y")), jitter, seed)
+    points = stored(class_distances(clean, k))
     one = F.lit(1)
     # look-ups: how many points lie at or below (kind 2), or below (kind 0), a value
     ask = [F.struct(F.when(F.col("flat"), F.col("x")).otherwise(F.col("hi")).alias("v"),
@@ -114,7 +121,7 @@ def mutual_information_knn(long: DataFrame, k: int = 3, jitter: float = JITTER,
            F.struct(F.col("x").alias("v"), one.alias("kind"), F.lit(0).alias("sign"))]
     events = points.select("id", "feature", F.explode(F.array(*ask)).alias("e")).select(
         "id", "feature", "e.v", "e.kind", "e.sign", (F.col("e.kind") == 1).cast("int").alias("point"), F.xxhash64("id").alias("__salt"))
-    ranked = running_before(events, ["feature"], ["v", "kind", "__salt"], "point").where("kind <> 1")
+    ranked = running_before(events, ["feature"], ["v", "kind", "__salt"], "point", keep=["id", "kind", "sign"]).where("kind <> 1")
     m = ranked.groupBy("feature", "id").agg(F.sum(F.col("sign") * F.col("before")).alias("m"))
     n_m = m.groupBy("feature").agg(F.avg(digamma(F.col("m"))).alias("psi_m"))
     rest = points.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.avg(digamma(F.col("k_c"))).alias("psi_k"), F.avg(digamma(F.col("n_c"))).alias("psi_c"))

@@ -76,3 +76,19 @@ def test_ties_small_classes_and_odd_values(spark):
     got, want = _got(df, jitter=0), _brute(rows)
     assert set(got) == {0, 1, 2, 3} and all(abs(got[f] - want[f]) < 1e-9 for f in got)
     assert _got(df.limit(0)) == {}
+
+
+def test_cohort_matrix_has_every_cell_without_a_join_of_cells(spark, monkeypatch):
+    from repflow.plans import catalog_structure as cs
+
+    seen = [("SRR1001", "CAAA", 3), ("SRR1001", "CAAT", 1), ("SRR1001", "CAAA", 1), ("SRR1002", "CAAT", 2), ("SRR1003", "CAAA", 9), ("SRR1004", "CAAT", 5)]
+    monkeypatch.setattr(cs.fx, "matches", lambda s, d: spark.createDataFrame(seen, "sample string, CDR3_match string, count long"))
+    monkeypatch.setattr(cs.fx, "metadata", lambda s, d: spark.createDataFrame(
+        [("SRR1001", "active"), ("SRR1002", "inactive"), ("SRR1003", None), ("SRR1004", "active"), ("SRR1004", "inactive")], "Run string, target string"))
+    monkeypatch.setattr(cs.P, "is_productive", lambda c: c.isNotNull())
+    got = cs.cohort_matrix(spark, "")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan.split("Join", 1)[-1]                      # cells come after every join
+    at = {(1001, "active"): {"CAAA": 0.8, "CAAT": 0.2}, (1002, "inactive"): {"CAAT": 1.0}, (1004, "active"): {"CAAT": 1.0}, (1004, "inactive"): {"CAAT": 1.0}}
+    names = ["CAAT", "CAAA"]                                                        # by growing prevalence rank
+    assert sorted(tuple(r) for r in got.collect()) == sorted((i, j, v.get(n, 0.0), y) for (i, y), v in at.items() for j, n in enumerate(names))

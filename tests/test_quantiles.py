@@ -62,3 +62,21 @@ def test_users_of_the_quantiles(spark):
     assert R.describe_exact(df, "v").first()["q50"] == 2.0
     filled = ML.median_impute(df, ["v", "w"])
     assert sorted((r["v"], r["w"]) for r in filled.collect()) == [(1.0, 6.0), (2.0, 5.0), (2.0, 7.0), (10.0, 6.0)]
+
+
+def test_offsets_of_partitions_join_without_moving_the_rows(spark):
+    from repflow.operators.ranks import running_before
+
+    df = spark.range(2_000).select((F.col("id") % 3).alias("g"), F.xxhash64("id").alias("v"), F.lit("x").alias("wide"))
+    df = df.unionByName(spark.range(1).select(F.lit(None).cast("long").alias("g"), F.lit(1).cast("long").alias("v"), F.lit("n").alias("wide")))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = running_before(df, ["g"], ["v"], keep=["v"])
+        plan = r._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(tuple(x) for x in r.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert "SortMergeJoin" not in plan and r.columns == ["g", "v", "before"]
+    want = [(g, v, i) for g in range(3) for i, v in enumerate(sorted(x["v"] for x in df.where(F.col("g") == g).collect()))]
+    assert rows == want

@@ -6,7 +6,8 @@
 4. ``mix_sources``: every document as often as the capped mix of the sources takes it.
 5. ``pack_sequences``: sequences of at most 2048 ids; one row per piece.
 
-The first four return the columns of ``documents``.  Stages that drop or repeat rows
+The first four return the columns of ``documents``.  A stage's result has as many partitions, so as many files, as its texts
+ask for.  Stages that drop or repeat rows
 join their decisions to the rows by the id; rows of one id share its decision, a null
 id is an id of its own.  Every stage takes an empty table.
 """
@@ -21,7 +22,7 @@ from repflow.llm.jaccard import jaccard_components
 from repflow.llm.langid import UND, fit, has_letter, predict
 from repflow.llm.mixing import mixed_documents
 from repflow.llm.packing import pack
-from repflow.llm.tables import crc_mod, scratch
+from repflow.llm.tables import crc_mod, fitted, scratch
 
 # language ID, dedup, near dedup and packing cannot all be written as SQL
 ORACLE_SQL = None
@@ -64,8 +65,12 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES = [("language_id", language_id), ("exact_dedup", dedup_exact), ("ngram_jaccard", dedup_near),
-          ("mix_sources", mix), ("pack_sequences", packed)]
+def _fitted(stage):
+    return lambda spark, docs, sf_dir: fitted(stage(spark, docs, sf_dir), docs)
+
+
+STAGES = [(name, _fitted(stage)) for name, stage in (
+    ("language_id", language_id), ("exact_dedup", dedup_exact), ("ngram_jaccard", dedup_near), ("mix_sources", mix), ("pack_sequences", packed))]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,8 @@ from repflow.llm.tables import n_slices, stored
 from repflow.llm.textkernel import runs, set_digest, shingle_sets, utf8
 
 TOKENS_PER_BUCKET = 2_000_000
-TOKENS_PER_FILE = 500_000                # of all sets' tokens, for a file of any stored table
+TOKENS_PER_FILE = 2_000_000              # of all sets' tokens, for a file of any stored table
+ROWS_PER_FILE = 200_000                  # of all texts, for a file of a table with a few rows a text
 FLUSH, FLUSH_TEXTS = 2_000_000, 60_000
 HEAVY = (1 << 31) - 1
 CLASS_ENDS = (2, 8, 32, 128)             # frequency classes of shared tokens; above these one more, and the heavy tokens
@@ -323,6 +324,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
     buckets = max(n_slices(docs), -(-n_tokens // TOKENS_PER_BUCKET))
     # a table of a few rows for each partition is not written in as many files: every file costs a task and a process to set its mode
     files = max(docs.sparkSession.sparkContext.defaultParallelism, -(-n_tokens // TOKENS_PER_FILE))
+    few = min(files, max(docs.sparkSession.sparkContext.defaultParallelism, -(-n_rows // ROWS_PER_FILE)))
     index = stored(prefix_index(src, k, per_cent, heavy, buckets), "prefixes", files)
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("members"),
                                        F.max(F.struct("central", "d", "n", "shared")).alias("hub")).where("members > 1")
@@ -335,7 +337,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
         .select(F.least("d", F.col("hub.d")).alias("a"), F.greatest("d", F.col("hub.d")).alias("b")).distinct()
     central = stored(central, "central", files)
     links = stored(verify(central, texts, k, per_cent), "links", files)
-    labels = components(links, files)
+    labels = components(links, few)
     open_ = met.select("token", "d", "n", "shared").join(labels.select(F.col("node").alias("d"), "label"), "d", "left") \
         .withColumn("label", F.coalesce("label", "d"))
     mixed = open_.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")) \
@@ -350,7 +352,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
     more = stored(more.join(central, ["a", "b"], "left_anti"), "candidates", files)
     found = stored(verify(more, texts, k, per_cent), "links", files)
     if found.limit(1).count():
-        labels = components(links.unionByName(found), files)
+        labels = components(links.unionByName(found), few)
     lab = labels.select(F.col("node").alias("d"), "label")
     named = rows.where("n > 0").groupBy("d").agg(F.min("id").alias("id")).join(lab, "d", "left") \
         .select("d", "id", F.coalesce("label", "d").alias("label"))

@@ -70,7 +70,8 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int
                               seeded_hash(F.col(id_col).cast("long"), seed).alias("h")), "mixrows")
     bits = max(0, math.ceil(math.log2(max(1, rows.count() / ROWS_PER_BUCKET))))
     rows = rows.withColumn("bucket", F.shiftright("h", HASH_BITS - bits))
-    buckets = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mixbuckets")
+    buckets = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mixbuckets",
+                     docs.sparkSession.sparkContext.defaultParallelism)
     filled = water_fill(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     filled = filled.withColumn("whole", F.least(whole, F.lit(max_epochs)).cast("long")) \

@@ -21,7 +21,6 @@ from collections import deque
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,16 +119,20 @@ def pack(docs: DataFrame, vocab: str | None = None, size: int = 2048, end_id: in
     vocab = vocab or vocabulary("byte_bpe_50k.json")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     src = src.repartitionByRange(shards or n_slices(docs), "doc_id").sortWithinPartitions("doc_id", "text")
+    src = src.withColumn("shard", F.spark_partition_id())       # holds where one task runs several partitions
 
     def pack_shard(batches):
         enc = encoder(vocab)
-        stream = _Stream(size, sentence_penalty, hard_penalty, hard_step, TaskContext.get().partitionId())
+        stream = None
         names = [f.split()[0] for f in SCHEMA.split(", ")]
 
         def rows(found):
             return pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * len(names))], names=names)
 
         for b in batches:
+            if not b.num_rows:
+                continue
+            stream = stream or _Stream(size, sentence_penalty, hard_penalty, hard_step, b.column("shard")[0].as_py())
             buf, off = utf8(b.column("text"))
             doc_ids = b.column("doc_id").to_pylist()
             for i, j in runs(off):
@@ -144,6 +147,7 @@ def pack(docs: DataFrame, vocab: str | None = None, size: int = 2048, end_id: in
                 ends = first[1:-1][stop] + np.searchsorted(at[1:], e, side="right") if len(s) else s
                 stream.add(doc_ids[i:j], ids, bound + inner, ends)
                 yield rows(stream.solve(False))
-        yield rows(stream.solve(True))
+        if stream:
+            yield rows(stream.solve(True))
 
     return src.mapInArrow(pack_shard, SCHEMA)

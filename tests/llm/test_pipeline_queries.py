@@ -45,6 +45,20 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs, tmp_path):
     assert out.count() == 0
 
 
+def test_stages_write_as_many_files_as_their_texts_ask_for(spark, odd_docs, tmp_path):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    docs = odd_docs.unionByName(odd_docs.withColumn("doc_id", odd_docs.doc_id + 100)).repartition(60).localCheckpoint()
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, "").write.parquet(str(tmp_path / name))
+            assert len(list((tmp_path / name).glob("part-*"))) <= spark.sparkContext.defaultParallelism, name
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 def test_the_rest_imports_without_this_package(tmp_path):
     for name in ("repflow", "__spark_entry__.py"):
         os.symlink(os.path.join(ROOT, name), tmp_path / name) if name.endswith(".py") else None

@@ -138,3 +138,10 @@ def test_token_shards_round_trip(odd_docs, no_docs, shard_ids):
         at += len(ids)
     assert got == want
     assert token_shards(no_docs).count() == 0
+
+
+def test_pieces_do_not_depend_on_how_many_tasks_run_the_shards(spark, odd_docs):
+    docs = odd_docs.select("doc_id", "text")
+    apart, together = pack(docs, shards=5).collect(), pack(docs, shards=5).coalesce(1).collect()
+    assert sorted(map(str, apart)) == sorted(map(str, together))
+    assert len({r.sequence_id for r in together}) == len({(r.sequence_id, 0) for r in together if r.offset == 0}) == sum(r.offset == 0 for r in together)

@@ -29,6 +29,21 @@ def test_ids_equal_the_library_on_whole_texts(mid, name):
         assert got == [e.ids for e in enc.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_go_to_the_model_and_the_rest_to_the_whole_tokenizer(name):
+    import pyarrow as pa
+
+    texts = [f"start élan{i % 7} ünder stone{'abcdefgh'[i % 8]} œuvre ñandú naïve$$$ word### 100% a*b cost$5 ÉCOLE ß ÿ Ÿ ×a÷ ét" for i in range(40)]
+    enc, given = Encoder(vocabulary(name)), []
+    whole = enc._ids
+    enc._ids = lambda xs: given.extend(xs) or whole(xs)
+    buf, off = utf8(pa.array(texts, pa.string()))
+    ids, starts, first = enc.encode(buf, off)
+    at = first[np.searchsorted(starts, off)]
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert given and not any(w in x for w in (" ünder", " stonea", " ñandú", " naïve", " word") for x in given)
+
+
 def _least(places, penalty, size):
     f = [0.0] + [float("inf")] * (len(places) - 1)
     for j in range(1, len(places)):

@@ -55,27 +55,31 @@ def stream(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndar
     n = ends - starts + 1
     docs = len(first) - 1
     doc = np.repeat(np.arange(docs), np.diff(first))
-    at = np.cumsum(n) - n + doc                              # one end symbol per document before
-    out = np.full(int(n.sum()) + docs, SPACE, np.uint8)
-    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    solid = inner < np.repeat(n, n) - 1
-    out[(np.repeat(at, n) + inner)[solid]] = LOWER[buf[(np.repeat(starts, n) + inner)[solid]]]
     size = np.bincount(doc, n, docs).astype(np.int64) + 1
     begin = np.cumsum(size) - size
-    out[begin + size - 1] = END
+    out = np.empty(int(n.sum()) + docs, np.uint8)
+    solid = np.ones(len(out), bool)
+    behind = np.cumsum(n) - 1 + doc                          # one end symbol per document before
+    out[behind], solid[behind] = SPACE, False
+    out[begin + size - 1], solid[begin + size - 1] = END, False
+    edge = np.zeros(len(buf) + 1, np.int8)                   # 1 where a word starts, -1 where one ends and none starts
+    edge[starts] = 1
+    edge[ends] -= 1
+    out[solid] = LOWER[buf[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]]
     return out, begin
 
 
 def grams_of(symbols: np.ndarray, begin: np.ndarray, depth: int) -> np.ndarray:
     """Per symbol its gram: the symbol in the lowest byte, the context bytes, nearest first, above it (0 before the text)."""
-    pos = np.arange(len(symbols)) - np.repeat(begin, np.diff(np.append(begin, len(symbols))))
-    flat = symbols.astype(np.uint64)
-    gram = flat.copy()
-    for t in range(1, depth + 1):
-        back = np.zeros(len(flat), np.uint64)
-        back[t:] = flat[:-t]
-        back[pos < t] = 0
-        gram |= back << np.uint64(8 * t)
+    gram, have = symbols.astype(np.uint64), 1
+    while have <= depth:                                     # bytes so far, and as many more from the gram that lies that far back
+        more = min(have, depth + 1 - have)
+        back = gram[:-have] & np.uint64((1 << (8 * more)) - 1)
+        gram[have:] |= back << np.uint64(8 * have)
+        have += more
+    size = np.diff(np.append(begin, len(symbols)))
+    for p in range(depth):                                   # nothing lies before a text
+        gram[begin[size > p] + p] &= np.uint64((1 << (8 * (p + 1))) - 1)
     return gram
 
 
@@ -134,9 +138,18 @@ def subtree(grams: np.ndarray, n: np.ndarray, depth: int, top: int):
 
 
 def _sorted(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct unsigned keys in order, with their values."""
-    key, one = np.unique(key.view(np.uint64), return_index=True)
-    return key, value[one]
+    """Unsigned keys in order, with their values (those of equal keys are the same)."""
+    key = key.view(np.uint64)
+    order = np.argsort(key)
+    return key[order], value[order]
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their ``n``; sorted runs are merged."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[at], np.add.reduceat(n[order], at) if len(at) else n[:0]
 
 
 def _chunk(df: DataFrame, id_col: str, n_chunks: int) -> Column:
@@ -175,8 +188,9 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes:
 
         def merged(parts, kind):
             parts = [x for x in parts if x[0] == kind]
-            u, inv = np.unique(np.concatenate([x[1] for x in parts]), return_inverse=True)
-            return kind, u, np.bincount(inv, np.concatenate([x[2] for x in parts]), len(u)).astype(np.int64)
+            if len(parts) == 1:
+                return parts[0]
+            return kind, *_summed(np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]))
 
         def emit(chunk):
             for kind in (0, 1):
@@ -202,8 +216,8 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, chunk_bytes:
                         own = chunk[row] == c
                         learn = own & train[row]
                         u, n = np.unique(keys[learn], return_counts=True)
-                        rest = np.setdiff1d(keys[own & ~learn], u)
-                        held.setdefault(c, []).extend([(kind, u, n), (kind, rest, np.zeros(len(rest), np.int64))])
+                        rest = np.unique(keys[own & ~learn], return_counts=True)[0]      # the way that sorts
+                        held.setdefault(c, []).append((kind, *_summed(np.concatenate([u, rest]), np.append(n, np.zeros(len(rest), np.int64)))))
                     if sum(len(x[1]) for x in held[c]) > FLUSH:
                         held[c] = [merged(held[c], kind) for kind in (0, 1)]
                         if sum(len(x[1]) for x in held[c]) > FLUSH // 2:

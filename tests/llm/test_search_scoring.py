@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from repflow.llm import jaccard as J
 from repflow.llm.ann import chi2_quantile, nearest
-from repflow.llm.ctw import grams_of, lgamma, score_texts, subtree
+from repflow.llm.ctw import _summed, grams_of, lgamma, score_texts, stream, subtree
 from repflow.llm.jaccard import jaccard_components
 from .brute import base_scores, components
 from .conftest import mod
@@ -168,6 +169,30 @@ def test_context_tree_weighting_matches_direct_recursion():
     assert np.allclose(got, _ctw_prob(history, text, 2)) and abs(got.sum() - 1) < 1e-9
 
 
+def test_stream_and_grams_of_texts_and_the_bytes_they_hold():
+    import pyarrow as pa
+
+    from repflow.llm.textkernel import utf8, words
+
+    for texts in (["", "a", " Ab  cd\té ", "x", "", "QQQQQQQQQ z"], ["", ""], ["b"], []):
+        buf, off = utf8(pa.array(texts, pa.string()))
+        symbols, begin = stream(buf, *words(buf, off))
+        want = [b"".join(w + b" " for w in t.encode().lower().split()) + b"\n" for t in texts]
+        assert symbols.tobytes() == b"".join(want) and begin.tolist() == [sum(map(len, want[:i])) for i in range(len(want))]
+        for depth in range(2, 8):
+            grams = [sum(x[i - k] << 8 * k for k in range(min(i, depth) + 1)) for x in want for i in range(len(x))]
+            assert grams_of(symbols, begin, depth).tolist() == grams
+    key, n = _summed(np.array([3, 5, 3, 9, 5], np.uint64), np.array([1, 0, 2, 4, 8]))
+    assert key.tolist() == [3, 5, 9] and n.tolist() == [3, 8, 4]
+    buf, off = utf8(pa.array(["some words of a text " * 25_000]))
+    at = words(buf, off)
+    tracemalloc.start()
+    grams_of(*stream(buf, *at), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 33 * len(buf)               # 41 with a place in 8 bytes for every byte
+
+
 def test_scores_match_counts_on_both_paths(small, odd_docs, no_docs):
     import zlib
 

@@ -22,7 +22,7 @@ from repflow.llm.jaccard import jaccard_components
 from repflow.llm.langid import UND, fit, has_letter, predict
 from repflow.llm.mixing import mixed_documents
 from repflow.llm.packing import pack
-from repflow.llm.tables import crc_mod, fitted, scratch
+from repflow.llm.tables import crc_mod, n_files, scratch
 
 # language ID, dedup, near dedup and packing cannot all be written as SQL
 ORACLE_SQL = None
@@ -34,7 +34,7 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(docs: DataFrame, files: int) -> DataFrame:
     """Learns as the query does; keeps what is in a learnt language."""
     model = fit(docs, F.col("lang"), F.coalesce(crc_mod(F.col("doc_id"), 3) != 1, F.lit(False)))
     if not model["langs"]:                       # nothing to learn from: only texts without a letter go
@@ -43,30 +43,34 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.where(F.col("lang_pred") != UND).select("row.*")
 
 
-def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def dedup_exact(docs: DataFrame, files: int) -> DataFrame:
     """Keeps the row with the largest id of every group of equal texts."""
     kept = exact_dedup(docs).where("kept")
     return _only(docs, kept)
 
 
-def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def dedup_near(docs: DataFrame, files: int) -> DataFrame:
     """Keeps the row with the smallest id of every group of near copies."""
-    kept = jaccard_components(docs).where("doc_id <=> component_id")
+    kept = jaccard_components(docs, files=files).where("doc_id <=> component_id")
     return _only(docs, kept)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def mix(docs: DataFrame, files: int) -> DataFrame:
     """The rows as often as the mix takes them."""
-    return mixed_documents(docs)
+    return mixed_documents(docs, files=files)
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packed(docs: DataFrame, files: int) -> DataFrame:
     """The pieces of the packed sequences."""
     return pack(docs)
 
 
 def _fitted(stage):
-    return lambda spark, docs, sf_dir: fitted(stage(spark, docs, sf_dir), docs)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        files = n_files(docs)
+        return stage(docs, files).coalesce(files)
+
+    return run_stage
 
 
 STAGES = [(name, _fitted(stage)) for name, stage in (

@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repflow.llm.tables import n_slices, stored
+from repflow.llm.tables import even, n_slices, stored
 from repflow.llm.textkernel import runs, set_digest, shingle_sets, utf8
 
 TOKENS_PER_BUCKET = 2_000_000
-TOKENS_PER_FILE = 2_000_000              # of all sets' tokens, for a file of any stored table
+TOKENS_PER_FILE = 8_000_000              # of all sets' tokens, for a file of any stored table
 ROWS_PER_FILE = 200_000                  # of all texts, for a file of a table with a few rows a text
 FLUSH, FLUSH_TEXTS = 2_000_000, 60_000
 HEAVY = (1 << 31) - 1
@@ -299,7 +299,7 @@ def _pairs(index: DataFrame, per_cent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_share: float = 0.02, frequent: int = 32,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                       id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per input row: components, not all links.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; two texts link when
@@ -307,13 +307,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
     reachable by links.  Texts of fewer than ``k`` words are one shingle;
     null texts and texts without words have the empty set and link with nothing, themselves under other
     ids included.  Null ids are never smallest unless alone; repeated rows are linked texts.
-    An empty table gives no rows; other columns are ignored.  Shingles and
+    An empty table gives no rows; other columns are ignored.  The first pass is stored in at most ``files`` files.  Shingles and
     sets are told apart by 64-bit hashes.
     """
     if not 50 <= per_cent <= 100:
         raise ValueError("per_cent is 50 to 100")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    seen = stored(summaries(src, k, heavy_share), "summaries")
+    seen = stored(summaries(src, k, heavy_share), "summaries", files)
     rows = seen.where("kind = 0").select("id", "d", "n")
     total = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
     n_rows, n_tokens = int(total[0]), int(total[1] or 0)
@@ -323,8 +323,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, per_cent: int = 75, heavy_sh
     heavy = np.sort(heavy.view(np.uint64))
     buckets = max(n_slices(docs), -(-n_tokens // TOKENS_PER_BUCKET))
     # a table of a few rows for each partition is not written in as many files: every file costs a task and a process to set its mode
-    files = max(docs.sparkSession.sparkContext.defaultParallelism, -(-n_tokens // TOKENS_PER_FILE))
-    few = min(files, max(docs.sparkSession.sparkContext.defaultParallelism, -(-n_rows // ROWS_PER_FILE)))
+    files = even(docs, -(-n_tokens // TOKENS_PER_FILE))
+    few = min(files, even(docs, -(-n_rows // ROWS_PER_FILE)))
     index = stored(prefix_index(src, k, per_cent, heavy, buckets), "prefixes", files)
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("members"),
                                        F.max(F.struct("central", "d", "n", "shared")).alias("hub")).where("members > 1")

@@ -60,14 +60,14 @@ def water_fill(sources: DataFrame, weights: tuple[int, ...], max_epochs: int) ->
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 7,
-         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", files: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(rows, params)``: narrow rows ``(id, source, size, h)`` and one row of sampling parameters per source.
 
     Null text has size 0; null source is a source of its own, last in order.
     """
     rows = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
                               n_words(F.col(text_col).cast("string")).alias("size"),
-                              seeded_hash(F.col(id_col).cast("long"), seed).alias("h")), "mixrows")
+                              seeded_hash(F.col(id_col).cast("long"), seed).alias("h")), "mixrows", files)
     bits = max(0, math.ceil(math.log2(max(1, rows.count() / ROWS_PER_BUCKET))))
     rows = rows.withColumn("bucket", F.shiftright("h", HASH_BITS - bits))
     buckets = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mixbuckets",

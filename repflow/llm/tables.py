@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from repflow.session import ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
-BYTES_PER_FILE = 8 << 20                 # of the texts, for a file of a table of documents
+BYTES_PER_FILE = 64 << 20                # of the texts, for a file of a table of documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,13 +32,19 @@ def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fitted(df: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df``, made of ``docs``, in as many partitions as the texts of ``docs`` ask for, or those it has if fewer.
+def n_files(docs: DataFrame, text_col: str = "text") -> int:
+    """Files that the texts of ``docs`` ask for, as many for each core.
 
     Every file that a task writes costs processes that set its mode, which share the executor's memory until they run.
     """
     n_bytes = int(docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0)
-    return df.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, -(-n_bytes // BYTES_PER_FILE)))
+    return even(docs, -(-n_bytes // BYTES_PER_FILE))
+
+
+def even(df: DataFrame, n: int) -> int:
+    """``n`` or a little more: a multiple of the session's cores, so that tasks end together."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-n // cores)) * cores
 
 
 def crc_mod(col: Column, n: int) -> Column:

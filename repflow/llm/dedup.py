@@ -30,20 +30,24 @@ from repflow.llm.textkernel import LOWER, utf8
 RUN = "node int, digest binary, best long, n_rows long, n_bytes long"
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, digest, n_bytes)`` per row; A-Z lower-cased, null text counts as empty."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+
 
-    def to_digest(batches):
-        for b in batches:
-            buf, off = utf8(b.column("text"))
-            low = LOWER[buf].tobytes()
-            yield pa.record_batch([
-                b.column("id"),
-                pa.array([hashlib.sha256(low[s:e]).digest() for s, e in zip(off[:-1], off[1:])], pa.binary()),
-                pa.array(np.diff(off), pa.int64())], names=["id", "digest", "n_bytes"])
+def _digested(batches):
+    """Batches ``(id, digest, n_bytes)`` of batches ``(id, text)``."""
+    for b in batches:
+        buf, off = utf8(b.column("text"))
+        low = LOWER[buf].tobytes()
+        yield pa.record_batch([
+            b.column("id"),
+            pa.array([hashlib.sha256(low[s:e]).digest() for s, e in zip(off[:-1], off[1:])], pa.binary()),
+            pa.array(np.diff(off), pa.int64())], names=["id", "digest", "n_bytes"])
 
-    return src.mapInArrow(to_digest, "id long, digest binary, n_bytes long")
+
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, digest, n_bytes)`` per row; A-Z lower-cased, null text counts as empty."""
+    return _texts(docs, id_col, text_col).mapInArrow(_digested, "id long, digest binary, n_bytes long")
 
 
 def _merge(t: pa.Table, largest: bool) -> pa.Table:
@@ -94,7 +98,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def to_run(batches):
         parts = []
-        for b in batches:
+        for b in _digested(batches):             # in the same worker: a chain of two would start two for each task
             parts.append(_merge(pa.table({"digest": b.column("digest"), "best": b.column("id"),
                                           "n_rows": pa.array(np.ones(b.num_rows), pa.int64()),
                                           "n_bytes": b.column("n_bytes")}), largest))
@@ -106,7 +110,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out = out.add_column(0, "node", pa.array(np.full(len(out), node), pa.int32()))
             yield from out.to_batches()
 
-    best = tree_merge(rows.mapInArrow(to_run, RUN), fan, rounds, largest)
+    best = tree_merge(_texts(docs, id_col, text_col).mapInArrow(to_run, RUN), fan, rounds, largest)
     won = best.select(F.col("digest").alias("d"), "best", "n_rows")
     return rows.join(won, F.col("digest") == F.col("d")).select(
         F.col("id").alias("doc_id"), F.col("best").alias("keep_id"), F.col("n_rows").alias("group_size"),

@@ -89,3 +89,17 @@ def test_mixed_documents_repeat_rows_as_planned(small):
     mixed = mixed_documents(small)
     assert mixed.columns == small.columns
     assert Counter(r.doc_id for r in mixed.select("doc_id").collect()) == Counter(want)
+
+
+def test_no_task_of_the_dedup_needs_two_python_workers(odd_docs):
+    import re
+
+    from repflow.llm.dedup import exact_dedup as dedup
+
+    plan = dedup(odd_docs)._jdf.queryExecution().sparkPlan().toString()
+    lines = [re.sub(r"^[\s:+|-]*", "", x) for x in plan.splitlines()]
+    assert any(x.startswith("MapInArrow") for x in lines)
+    for a, b in zip(lines, lines[1:]):
+        if a.startswith("MapInArrow"):
+            after = next(x for x in lines[lines.index(a) + 1:] if not x.startswith(("Project", "*")))
+            assert not after.startswith("MapInArrow") and not b.startswith("MapInArrow")
